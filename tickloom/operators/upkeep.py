@@ -74,7 +74,7 @@ def write_by_month(rows, path, mode="overwrite"):
 
 
 def read_months(spark, path, schema):
-    return spark.read.schema(T.StructType(schema.fields).add("month", "string")).parquet(path)
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("month", T.StringType())])).parquet(path)
 
 
 def upsert_months(spark, path, updates, keys=KEYS):

@@ -120,15 +120,15 @@ def silver_rates(spark, sf):
 @query(
     "silver_rejects",
     "pair reasons n:l",
-    """SELECT pair, array_to_string(list_filter([
+    """SELECT pair, reasons, count(*) AS n FROM (SELECT pair, concat_ws(',',
          CASE WHEN date IS NULL THEN 'missing_date' END,
          CASE WHEN NOT (open > 0 AND high > 0 AND low > 0 AND close > 0) THEN 'non_positive_price' END,
          CASE WHEN high < low THEN 'high_below_low' END,
          CASE WHEN open < low OR open > high THEN 'open_outside_range' END,
          CASE WHEN close < low OR close > high THEN 'close_outside_range' END,
          CASE WHEN date IS NULL OR date < DATE '2000-01-01' OR date > (SELECT max(date) FROM bars)
-              THEN 'date_out_of_range' END], x -> x IS NOT NULL), ',') AS reasons, count(*) AS n
-       FROM dirty GROUP BY ALL HAVING reasons <> ''""",
+              THEN 'date_out_of_range' END) AS reasons
+       FROM dirty) WHERE reasons <> '' GROUP BY 1, 2""",
 )
 def silver_rejects(spark, sf):
     bad = quality.rejected_bars(inputs.dirty_bars(spark, sf), _as_of(spark, sf))

@@ -166,6 +166,11 @@ def ma_crossovers(spark, sf):
     return signals.ma_crossovers(inputs.bars(spark, sf))
 
 
+def naming(word, columns=signals.STATES):
+    """How many of the label columns contain ``word``."""
+    return " + ".join(f"CASE WHEN contains({c}, '{word}') THEN 1 ELSE 0 END" for c in columns)
+
+
 SIGNALS_SQL = f"""WITH ind AS (
     SELECT a.pair, a.date, a.close, e.rn, {SMA_STATE_SQL} AS moving_average, up, down,
       e.ema_12 - e.ema_26 AS macd, e.signal, mid + 2 * sd AS upper_band, mid - 2 * sd AS lower_band
@@ -186,8 +191,7 @@ SIGNALS_SQL = f"""WITH ind AS (
     CASE WHEN close > upper_band THEN 'Sell (Above Upper Band)' WHEN close < lower_band THEN 'Buy (Below Lower Band)'
          ELSE 'Neutral (Within Bands)' END AS bollinger
     FROM lagged QUALIFY row_number() OVER (PARTITION BY pair ORDER BY date DESC) = 1),
-  votes AS (SELECT *, len(list_filter([moving_average, rsi, macd, bollinger], x -> contains(x, 'Buy'))) AS buys,
-    len(list_filter([moving_average, rsi, macd, bollinger], x -> contains(x, 'Sell'))) AS sells FROM states)
+  votes AS (SELECT *, {naming('Buy')} AS buys, {naming('Sell')} AS sells FROM states)
   SELECT pair, date, CASE WHEN rn >= 200 THEN moving_average END AS moving_average,
     CASE WHEN rn >= 200 THEN rsi END AS rsi, CASE WHEN rn >= 200 THEN macd END AS macd,
     CASE WHEN rn >= 200 THEN bollinger END AS bollinger,
@@ -206,7 +210,7 @@ def trading_signals(spark, sf):
     "pair buy:l sell:l neutral:l",
     "SELECT pair, "
     + ", ".join(
-        f"len(list_filter([moving_average, rsi, macd, bollinger, overall], x -> contains(x, '{s}'))) AS {s.lower()}"
+        f"{naming(s, (*signals.STATES, 'overall'))} AS {s.lower()}"
         for s in ("Buy", "Sell", "Neutral")
     )
     + f" FROM ({SIGNALS_SQL})",

@@ -10,9 +10,9 @@ from tickloom.streaming import jobs
 
 
 def event_stream(spark, sf):
-    path = f"{sf}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    events = spark.readStream.schema(schema).parquet(path)
+    schema = inputs.table(spark, sf, "events").schema
+    # A pattern, because a stream over a plain path must be a folder.
+    events = spark.readStream.schema(schema).parquet(f"{sf}/event[s].parquet")
     # The files hold times without a zone; a watermark needs instants.
     return events.select(
         "event_id", F.col("event_type").alias("pair"), F.col("ts").cast("timestamp").alias("ts"),
