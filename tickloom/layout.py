@@ -12,7 +12,7 @@ in order.  Two layouts make that safe:
   receives copies of the few neighbours its frames reach, is windowed on its own,
   and drops the copies again.  Results equal the uncut series.
 
-Operators only see a DataFrame and a ``WindowSpec``; they do not know the layout.
+Operators only see a DataFrame and a :class:`SeriesWindow`; they do not know the layout.
 """
 
 from dataclasses import dataclass, replace
@@ -22,6 +22,29 @@ from pyspark.sql import Window, functions as F, types as T
 BLOCK_ROWS = 1 << 16
 
 
+@dataclass(frozen=True)
+class SeriesWindow:
+    """The window of one series (or of one block of it) in time order."""
+
+    by: tuple
+    order: str
+
+    @property
+    def spec(self):
+        return Window.partitionBy(*self.by).orderBy(self.order)
+
+    def rows(self, first, last):
+        return self.spec.rowsBetween(first, last)
+
+    def chunked(self, chunk):
+        """Two windows over the same sort order: rows within their chunk, and all rows.
+
+        ``chunk`` must not decrease along the series.
+        """
+        inside = Window.partitionBy(*self.by, chunk).orderBy(self.order)
+        return inside, Window.partitionBy(*self.by).orderBy(chunk, self.order)
+
+
 @dataclass(frozen=True)
 class Layout:
     key: str = "pair"
@@ -31,8 +54,8 @@ class Layout:
     split: bool = False
 
     def window(self, *extra):
-        """The ordered window of a whole series (daily layout only)."""
-        return Window.partitionBy(self.key, *extra).orderBy(self.order)
+        """The window of a whole series (daily layout) or of a block of it."""
+        return SeriesWindow((self.key, *extra), self.order)
 
 
 def layout_of(bars, key="pair", order="date", step=None, block_rows=BLOCK_ROWS):
@@ -70,8 +93,7 @@ def carried(per_block, layout, **carry):
 def numbered(bars, layout, total=None):
     """Add ``_pos``, the 0-based place of a row in its series; with ``total``, the length."""
     if not layout.split:
-        w = layout.window()
-        out = bars.withColumn("_pos", (F.row_number().over(w) - 1).cast("long"))
+        out = bars.withColumn("_pos", (F.row_number().over(layout.window().spec) - 1).cast("long"))
         if total:
             out = out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(layout.key)))
         return out
@@ -81,9 +103,8 @@ def numbered(bars, layout, total=None):
     if total:
         lengths = sizes.groupBy(layout.key).agg(F.sum("_n").alias(total))
         offsets = offsets.join(lengths, layout.key)
-    in_block = Window.partitionBy(layout.key, "_tblk").orderBy(layout.order)
     return (
-        tagged.withColumn("_rn", F.row_number().over(in_block))
+        tagged.withColumn("_rn", F.row_number().over(layout.window("_tblk").spec))
         .join(offsets, [layout.key, "_tblk"])
         .withColumn("_pos", F.col("_before") + F.col("_rn") - 1)
         .drop("_tblk", "_rn", "_before")
@@ -114,8 +135,7 @@ def over_series(bars, build, back=0, ahead=0, layout=None, pos=False, total=None
     if ahead:
         homes.append(F.when((off < ahead) & (block > 0), copy(block - 1, False)))
     spread = rows.select("*", F.inline(F.array_compact(F.array(*homes))))
-    w = Window.partitionBy(layout.key, "_blk").orderBy(layout.order)
-    return build(spread, w).filter("_own").drop("_blk", "_own", "_pos")
+    return build(spread, layout.window("_blk")).filter("_own").drop("_blk", "_own", "_pos")
 
 
 def over_prefix(bars, build, summaries, carry, layout=None):
@@ -135,8 +155,8 @@ def over_prefix(bars, build, summaries, carry, layout=None):
         *[a.alias(n) for n, a in summaries.items()]
     )
     before = carried(per_block, layout, **carry)
-    w = Window.partitionBy(layout.key, "_tblk").orderBy(layout.order)
-    return build(tagged.join(before, [layout.key, "_tblk"]), w).drop("_tblk", *carry)
+    joined = tagged.join(before, [layout.key, "_tblk"])
+    return build(joined, layout.window("_tblk")).drop("_tblk", *carry)
 
 
 def with_block_rows(layout, rows):

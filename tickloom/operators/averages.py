@@ -10,14 +10,14 @@ Four different things are called a moving average here; each has its own name:
 
 import math
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tickloom.functions.prices import as_col
 from tickloom.layout import over_series
 
 
 def last_rows(w, n):
-    return w.rowsBetween(1 - n, 0)
+    return w.rows(1 - n, 0)
 
 
 def rolling_mean(c, w, n):
@@ -31,38 +31,101 @@ def strict(aggregate, c, w, n):
     return F.when(full, aggregate(as_col(c)).over(frame))
 
 
+# Spark adds a sliding frame up anew for every row.  Beyond this many rows a mean is
+# taken from running sums instead, at constant work per row; shorter frames join in
+# unless they are so much shorter that the difference of sums would lose digits.
+LONG_FRAME = 40
+MAX_RATIO = 16
+
+
+def add_means(df, w, means, full=False):
+    """Add means over the last n rows: name -> (column, n).
+
+    With ``full`` a mean is NULL until its frame holds n values.  Frames longer than
+    LONG_FRAME need ``_pos`` on the rows.
+    """
+    longest = max(n for _, n in means.values())
+    by_sums = longest > LONG_FRAME
+    long = {k: (c, n) for k, (c, n) in means.items() if by_sums and n * MAX_RATIO >= longest}
+    short = {k: m for k, m in means.items() if k not in long}
+    if short:
+        df = df.withColumns(
+            {
+                k: strict(F.avg, c, w, n) if full else rolling_mean(c, w, n)
+                for k, (c, n) in short.items()
+            }
+        )
+    return _add_long_means(df, w, long, full) if long else df
+
+
+def _add_long_means(df, w, means, full):
+    """Running sums that restart every ``size`` rows, so that they stay of the frame's
+    magnitude: sum of a frame = running sum here - running sum n rows ago, plus the total
+    of the chunk before where the frame starts in it."""
+    size = max(n for _, n in means.values())
+    inside, along = w.chunked("_chunk")
+    inside = inside.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    columns = sorted({c for c, _ in means.values()})
+    df = df.withColumns({"_chunk": F.floor(F.col("_pos") / size), "_j": F.col("_pos") % size})
+    running = {}
+    for c in columns:
+        running[f"_sum_{c}"] = F.coalesce(F.sum(c).over(inside), F.lit(0.0))
+        running[f"_num_{c}"] = F.count(c).over(inside)
+    df = df.withColumns(running)
+
+    def in_frame(r, n):
+        before = F.last(F.when(F.col("_j") == size - 1, F.col(r)), ignorenulls=True).over(earlier)
+        crossing = F.when(F.col("_j") < n, before)
+        gone = F.lag(r, n).over(along)
+        return F.col(r) + F.coalesce(crossing, F.lit(0)) - F.coalesce(gone, F.lit(0))
+
+    def mean(c, n):
+        total, count = in_frame(f"_sum_{c}", n), in_frame(f"_num_{c}", n)
+        return F.when(count == n if full else count > 0, total / count)
+
+    added = df.withColumns({k: mean(c, n) for k, (c, n) in means.items()})
+    return added.drop("_chunk", "_j", *running)
+
+
 def moving_averages(bars, sizes=(7, 30, 90), layout=None):
     return over_series(
         bars,
-        lambda df, w: df.withColumns({f"ma_{n}_day": rolling_mean("close", w, n) for n in sizes}),
-        back=max(sizes) - 1,
+        lambda df, w: add_means(df, w, {f"ma_{n}_day": ("close", n) for n in sizes}),
+        back=max(sizes),
         layout=layout,
+        pos=True,
     )
 
 
 def sma_strict(bars, sizes=(20, 50, 200), layout=None):
     return over_series(
         bars,
-        lambda df, w: df.withColumns({f"sma_{n}": strict(F.avg, "close", w, n) for n in sizes}),
-        back=max(sizes) - 1,
+        lambda df, w: add_means(df, w, {f"sma_{n}": ("close", n) for n in sizes}, full=True),
+        back=max(sizes),
         layout=layout,
+        pos=True,
     )
 
 
 def add_one_step_emas(df, w, sizes, c="close"):
     """ema_n columns from the partial mean of the row before; first row NULL."""
-    df = df.withColumns({f"_sma_{n}": rolling_mean(c, w, n) for n in sizes})
+    df = add_means(df, w, {f"_sma_{n}": (c, n) for n in sizes})
 
     def ema(n):
         k = 2.0 / (n + 1)
-        return as_col(c) * k + F.lag(f"_sma_{n}").over(w) * (1 - k)
+        return as_col(c) * k + F.lag(f"_sma_{n}").over(w.spec) * (1 - k)
 
     return df.withColumns({f"ema_{n}": ema(n) for n in sizes}).drop(*[f"_sma_{n}" for n in sizes])
 
 
 def technical_ema(bars, sizes=(9, 22, 50), layout=None):
     return over_series(
-        bars, lambda df, w: add_one_step_emas(df, w, sizes), back=max(sizes), layout=layout
+        bars,
+        lambda df, w: add_one_step_emas(df, w, sizes),
+        back=max(sizes) + 1,
+        layout=layout,
+        pos=True,
     )
 
 
@@ -71,12 +134,13 @@ def technical_ema(bars, sizes=(9, 22, 50), layout=None):
 # Unrolled, y_t = sum_i a * b^i * x_(t-i) with b = 1 - a, and the first row of the
 # series weighs 1 instead of a.  Beyond `memory(a)` rows b^i is below 2^-128, which
 # no double keeps next to a value of comparable size, so the recursion is a frame of
-# bounded reach and distributes like any other.  The weighted sum is built in a few
-# passes over the same sort order: each pass adds shifted copies of the last one,
-# covering 16x more rows.
+# bounded reach and distributes like any other.  It is summed in chunks of that
+# length: a running sum of x_i / b^i restarts with each chunk, which keeps the powers
+# inside double range, and the chunk before hands over its last value.  Work per row
+# is constant whatever the span.
 
-PASS_WIDTH = 16
-_NEGLIGIBLE = 128 * math.log(2)
+_FORGOTTEN = 128 * math.log(2)
+_SAFE_POWER = 600.0  # b^-i stays below e^600, well inside double range
 
 
 def alpha_of_span(n):
@@ -85,46 +149,52 @@ def alpha_of_span(n):
 
 def memory(alpha):
     """Rows after which a value no longer changes a recursive mean in double precision."""
-    return 1 if alpha >= 1 else math.ceil(_NEGLIGIBLE / -math.log1p(-alpha))
-
-
-def _passes(rows):
-    """(stride, copies) of each pass; together they cover at least ``rows`` rows."""
-    stride, out = 1, []
-    while stride < rows:
-        copies = min(PASS_WIDTH, math.ceil(rows / stride))
-        out.append((stride, copies))
-        stride *= copies
-    return out
+    return 1 if alpha >= 1 else math.ceil(_FORGOTTEN / -math.log1p(-alpha))
 
 
 def reach(*alphas):
     """Rows behind a row that its recursive mean reads."""
-    return max(math.prod(c for _, c in _passes(memory(a))) - 1 if a < 1 else 0 for a in alphas)
+    return max(map(memory, alphas))
 
 
 def recursive_means(df, w, means):
     """Add recursive means: name -> (column, alpha).  Needs ``_pos`` on the rows.
 
-    Inputs must not be NULL (forward-fill first).
+    Means whose speeds are close share their chunks and so their sort.  Inputs must not
+    be NULL (forward-fill first).
     """
-    df = df.withColumns(
-        {n: as_col(c) * F.when(F.col("_pos") == 0, 1.0).otherwise(a) for n, (c, a) in means.items()}
-    )
-    plans = {n: _passes(memory(a)) for n, (_, a) in means.items()}
-    for i in range(max(map(len, plans.values()))):
-        step = {}
-        for n, (_, a) in means.items():
-            if i < len(plans[n]):
-                stride, copies = plans[n][i]
-                term = F.col(n)
-                for j in range(1, copies):
-                    term = term + F.lag(n, j * stride, 0.0).over(w) * (1 - a) ** (j * stride)
-                step[n] = term
-        df = df.withColumns(step)
+    copies = {n: as_col(c) for n, (c, a) in means.items() if a >= 1}
+    df = df.withColumns(copies) if copies else df
+    means = {n: m for n, m in means.items() if n not in copies}
+    groups = []
+    for name, (c, a) in sorted(means.items(), key=lambda m: m[1][1]):
+        if groups and -math.log1p(-a) * groups[-1][0] < _SAFE_POWER:
+            groups[-1][1][name] = (c, a)
+        else:
+            groups.append((memory(a), {name: (c, a)}))
+    for size, members in groups:
+        df = _chunked_means(df, w, size, members)
     return df
 
 
+def _chunked_means(df, w, size, means):
+    df = df.withColumns({"_chunk": F.floor(F.col("_pos") / size), "_j": F.col("_pos") % size})
+    inside, along = w.chunked("_chunk")
+    local, full = {}, {}
+    for n, (c, a) in means.items():
+        weight = F.when(F.col("_pos") == 0, 1.0).otherwise(a)
+        scaled = as_col(c) * weight * F.pow(F.lit(1 - a), -F.col("_j"))
+        local[n] = F.sum(scaled).over(inside.rowsBetween(Window.unboundedPreceding, 0)) * F.pow(
+            F.lit(1 - a), F.col("_j")
+        )
+        ends = F.when(F.col("_j") == size - 1, F.col(n))
+        carry = F.last(ends, ignorenulls=True).over(
+            along.rowsBetween(Window.unboundedPreceding, -1)
+        )
+        full[n] = F.col(n) + F.coalesce(carry, F.lit(0.0)) * F.pow(F.lit(1 - a), F.col("_j") + 1)
+    return df.withColumns(local).withColumns(full).drop("_chunk", "_j")
+
+
 def ema(bars, spans=(12, 26), c="close", warm_up=False, layout=None):
     """Recursive EMAs; with ``warm_up`` the first span - 1 rows are NULL."""
     alphas = {n: alpha_of_span(n) for n in spans}

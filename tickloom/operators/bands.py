@@ -67,7 +67,7 @@ def price_band(rows, n=20, layout=None):
     """Lowest and highest close within n rows on both sides, and the width in percent."""
 
     def build(df, w):
-        frame = w.rowsBetween(-n, n)
+        frame = w.rows(-n, n)
         df = df.withColumns(
             {
                 "support_level": F.min("close").over(frame),

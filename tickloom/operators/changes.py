@@ -11,9 +11,9 @@ def add_rate_lags(df, w, c="close"):
     """Close 1, 7 and 30 rows (not calendar days) before."""
     return df.withColumns(
         {
-            "prev_day_rate": F.lag(c, 1).over(w),
-            "prev_week_rate": F.lag(c, 7).over(w),
-            "prev_month_rate": F.lag(c, 30).over(w),
+            "prev_day_rate": F.lag(c, 1).over(w.spec),
+            "prev_week_rate": F.lag(c, 7).over(w.spec),
+            "prev_month_rate": F.lag(c, 30).over(w.spec),
         }
     )
 
@@ -41,7 +41,7 @@ def period_returns(bars, names=(("weekly_return", 5), ("monthly_return", 20)), l
         bars,
         lambda df, w: df.withColumns(
             {
-                out: percent_of(F.col("close") - F.lag("close", n).over(w), F.lag("close", n).over(w))
+                out: percent_of(F.col("close") - F.lag("close", n).over(w.spec), F.lag("close", n).over(w.spec))
                 for out, n in names
             }
         ),
@@ -55,7 +55,7 @@ def forward_fill(bars, columns=OHLC, layout=None):
     layout = layout or layout_of(bars)
 
     def build(df, w):
-        so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+        so_far = w.rows(Window.unboundedPreceding, 0)
         return df.withColumns(
             {
                 c: F.coalesce(F.last(c, ignorenulls=True).over(so_far), F.col(f"_{c}_before"))
@@ -84,7 +84,7 @@ def cumulative_return(bars, layout=None):
     moved = bars.withColumn("daily_change_percent", change_percent())
 
     def build(df, w):
-        so_far = F.product(growth).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        so_far = F.product(growth).over(w.rows(Window.unboundedPreceding, 0))
         before = F.coalesce(F.col("_growth_before"), F.lit(1.0))
         return df.withColumn("cumulative_return", so_far * before - 1)
 
@@ -102,7 +102,7 @@ def normalized_close(bars, layout=None):
     layout = layout or layout_of(bars)
 
     def build(df, w):
-        own = F.first("close").over(w.rowsBetween(Window.unboundedPreceding, 0))
+        own = F.first("close").over(w.rows(Window.unboundedPreceding, 0))
         base = F.coalesce(F.col("_first_before"), own)
         return df.withColumn("normalized_close", percent_of("close", base))
 
@@ -122,13 +122,13 @@ def running_count(rows, within, out, layout=None):
     """
     layout = layout or layout_of(rows)
     if not layout.split:
-        w = layout.window(within).rowsBetween(Window.unboundedPreceding, 0)
+        w = layout.window(within).rows(Window.unboundedPreceding, 0)
         return rows.withColumn(out, F.count(F.lit(1)).over(w))
     joint = F.concat_ws("\x1f", layout.key, within)
     keyed = rows.withColumn("_joint", joint)
 
     def build(df, w):
-        here = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        here = F.count(F.lit(1)).over(w.rows(Window.unboundedPreceding, 0))
         return df.withColumn(out, here + F.coalesce(F.col("_n_before"), F.lit(0)))
 
     wide = type(layout)("_joint", layout.order, layout.step, layout.block_rows, True)

@@ -14,7 +14,7 @@ def candle_geometry(bars):
 
 
 def _add_patterns(df, w):
-    df = df.withColumns({"prev_open": F.lag("open").over(w), "prev_close": F.lag("close").over(w)})
+    df = df.withColumns({"prev_open": F.lag("open").over(w.spec), "prev_close": F.lag("close").over(w.spec)})
     return df.withColumns({**candles.single_patterns(), **candles.engulfing_patterns()})
 
 
@@ -36,7 +36,7 @@ def pattern_markers(patterns):
 
 def target_up(df, w):
     """1 where the next close is higher; the last row counts as 0."""
-    return df.withColumn("target", candles.flag(F.lead("close").over(w) > F.col("close")))
+    return df.withColumn("target", candles.flag(F.lead("close").over(w.spec) > F.col("close")))
 
 
 def ml_features(bars, layout=None):

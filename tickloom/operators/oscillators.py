@@ -18,7 +18,7 @@ from tickloom.operators.averages import (
 
 def add_gains_losses(df, w, c="close"):
     """_gain and _loss against the row before; the first row counts as 0 / 0."""
-    df = df.withColumn("_diff", F.col(c) - F.lag(c).over(w))
+    df = df.withColumn("_diff", F.col(c) - F.lag(c).over(w.spec))
     return df.withColumns(
         {
             "_gain": F.when(F.col("_diff") > 0, F.col("_diff")).otherwise(0.0),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import labels
 from tickloom.layout import over_series
-from tickloom.operators.averages import strict
+from tickloom.operators.averages import add_means
 from tickloom.operators.bands import add_bollinger
 from tickloom.operators.oscillators import add_macd_recursive, add_rsi_strict, macd_reach
 from tickloom.operators.select import latest_per_pair
@@ -13,8 +13,8 @@ STATES = ("moving_average", "rsi", "macd", "bollinger")
 
 
 def _add_smas(df, w):
-    df = df.withColumns({f"sma_{n}": strict(F.avg, "close", w, n) for n in (50, 200)})
-    return df.withColumns({f"_prev_sma_{n}": F.lag(f"sma_{n}").over(w) for n in (50, 200)})
+    df = add_means(df, w, {f"sma_{n}": ("close", n) for n in (50, 200)}, full=True)
+    return df.withColumns({f"_prev_sma_{n}": F.lag(f"sma_{n}").over(w.spec) for n in (50, 200)})
 
 
 def _sma_state():
@@ -26,8 +26,9 @@ def ma_crossovers(bars, layout=None):
     states = over_series(
         bars,
         lambda df, w: _add_smas(df, w).withColumn("ma_signal", _sma_state()),
-        back=200,
+        back=201,
         layout=layout,
+        pos=True,
     )
     return states.filter(F.col("ma_signal").startswith("Strong")).drop(
         "_prev_sma_50", "_prev_sma_200"
@@ -44,7 +45,7 @@ def signal_states(bars, layout=None):
         df = add_macd_recursive(add_rsi_strict(_add_smas(df, w), w, out="rsi_value"), w)
         df = add_bollinger(df, w)
         df = df.withColumns(
-            {"_prev_macd": F.lag("macd").over(w), "_prev_signal": F.lag("macd_signal").over(w)}
+            {"_prev_macd": F.lag("macd").over(w.spec), "_prev_signal": F.lag("macd_signal").over(w.spec)}
         )
         macd = (F.col(c) for c in ("macd", "macd_signal", "_prev_macd", "_prev_signal"))
         return df.select(

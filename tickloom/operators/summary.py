@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from tickloom.functions import dates
 from tickloom.functions.prices import change_percent, percent_of, spread_percent
 from tickloom.layout import over_series
-from tickloom.operators.averages import strict
+from tickloom.operators.averages import add_means
 from tickloom.operators.changes import forward_fill
 
 
@@ -71,16 +71,11 @@ def period_stats(bars, layout=None):
     """
 
     def build(df, w):
-        return df.withColumns(
-            {
-                "_prev": F.lag("close").over(w),
-                "_fast": strict(F.avg, "close", w, 50),
-                "_slow": strict(F.avg, "close", w, 200),
-            }
-        )
+        df = add_means(df, w, {"_fast": ("close", 50), "_slow": ("close", 200)}, full=True)
+        return df.withColumn("_prev", F.lag("close").over(w.spec))
 
     move, wide = change_percent(), spread_percent()
-    out = over_series(bars, build, back=199, layout=layout).groupBy("pair").agg(
+    out = over_series(bars, build, back=200, layout=layout, pos=True).groupBy("pair").agg(
         F.max_by("close", "date").alias("current_price"),
         F.max_by("_prev", "date").alias("previous_price"),
         F.min_by("close", "date").alias("_first"),
@@ -108,7 +103,7 @@ def period_stats(bars, layout=None):
 def last_change(bars, layout=None):
     """Last close against the one before, and first-to-last return, per instrument."""
     lagged = over_series(
-        bars, lambda df, w: df.withColumn("_prev", F.lag("close").over(w)), 1, layout=layout
+        bars, lambda df, w: df.withColumn("_prev", F.lag("close").over(w.spec)), 1, layout=layout
     )
     out = lagged.groupBy("pair").agg(
         F.max_by("close", "date").alias("latest_close"),
@@ -226,7 +221,7 @@ def returns_correlation(bars, pairs, layout=None):
     moved = over_series(
         aligned_closes(bars, pairs, layout),
         lambda df, w: df.withColumn(
-            "_r", F.try_divide(F.col("close"), F.lag("close").over(w)) - 1
+            "_r", F.try_divide(F.col("close"), F.lag("close").over(w.spec)) - 1
         ),
         back=1,
         layout=layout,

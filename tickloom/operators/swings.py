@@ -14,7 +14,7 @@ def swing_points(bars, n=10, layout=None):
     """
 
     def build(df, w):
-        frame = w.rowsBetween(-n, n)
+        frame = w.rows(-n, n)
         whole = F.count(F.lit(1)).over(frame) == 2 * n + 1
         return df.withColumns(
             {
@@ -67,7 +67,7 @@ def _without_repeats(sided, layout):
     layout = layout or Layout("_series")
     return over_series(
         sided,
-        lambda df, w: df.withColumn("_prev", F.lag("level").over(w)),
+        lambda df, w: df.withColumn("_prev", F.lag("level").over(w.spec)),
         back=1,
         layout=layout,
     ).filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("level"))).drop("_prev", "_series")

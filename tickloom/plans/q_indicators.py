@@ -16,7 +16,7 @@ def strict_sql(agg, n, source="close"):
 
 @query(
     "sma_strict",
-    "pair date:d close:4 sma_20:6 sma_50:6 sma_200:6",
+    "pair date:d close:4 sma_20:4 sma_50:4 sma_200:4",
     "SELECT *, "
     + ", ".join(f"{strict_sql('avg', n)} AS sma_{n}" for n in (20, 50, 200))
     + f" FROM bars WINDOW w AS {W}",
@@ -83,7 +83,7 @@ def macd_recursive(spark, sf):
     return oscillators.macd(inputs.bars(spark, sf))
 
 
-BANDS = "pair date:d close:4 bb_middle:6 bb_std:4 bb_upper:4 bb_lower:4"
+BANDS = "pair date:d close:4 bb_middle:4 bb_std:4 bb_upper:4 bb_lower:4"
 
 
 def bands_sql(deviation):
@@ -324,7 +324,7 @@ def hourly(spark, sf):
 
 @query(
     "hourly_moving_averages",
-    "pair date:t close:4 ma_7_day:6 ma_30_day:6 ma_90_day:6",
+    "pair date:t close:4 ma_7_day:4 ma_30_day:4 ma_90_day:4",
     f"""SELECT *, avg(close) OVER (w ROWS 6 PRECEDING) AS ma_7_day,
         avg(close) OVER (w ROWS 29 PRECEDING) AS ma_30_day,
         avg(close) OVER (w ROWS 89 PRECEDING) AS ma_90_day FROM hourly_bars WINDOW w AS {W}""",
@@ -383,7 +383,7 @@ def hourly_normalized_close(spark, sf):
 
 @query(
     "supplier_moving_averages",
-    "pair date:d ma_7_day:6 ma_30_day:6 ma_90_day:6",
+    "pair date:d ma_7_day:4 ma_30_day:4 ma_90_day:4",
     f"""SELECT *, avg(close) OVER (w ROWS 6 PRECEDING) AS ma_7_day,
         avg(close) OVER (w ROWS 29 PRECEDING) AS ma_30_day,
         avg(close) OVER (w ROWS 89 PRECEDING) AS ma_90_day FROM supplier_bars WINDOW w AS {W}""",

@@ -131,7 +131,7 @@ def cross_rate_synth(spark, sf):
 
 @query(
     "moving_averages",
-    "date:d pair close:4 ma_7_day:6 ma_30_day:6 ma_90_day:6",
+    "date:d pair close:4 ma_7_day:4 ma_30_day:4 ma_90_day:4",
     f"""SELECT *, avg(close) OVER (w ROWS 6 PRECEDING) AS ma_7_day,
         avg(close) OVER (w ROWS 29 PRECEDING) AS ma_30_day,
         avg(close) OVER (w ROWS 89 PRECEDING) AS ma_90_day FROM bars WINDOW w AS {W}""",

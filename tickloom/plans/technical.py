@@ -16,7 +16,7 @@ from tickloom.operators.oscillators import (
 from tickloom.operators.select import as_of_column, last_n, latest_date, latest_per_pair, trailing
 from tickloom.operators.summary import performance_summary as summarize
 
-LOOK_BACK = 50  # a lag of a 50-row mean
+LOOK_BACK = 51  # a lag of a 50-row mean, from running sums
 COLUMNS = (
     "date", "pair", "close", "daily_change_percent", "rsi_14", "ema_9", "ema_22", "ema_50",
     "macd_line", "signal_line", "macd_histogram",
@@ -51,7 +51,8 @@ def technical_analysis(fact, as_of=None, days=90, layout=None):
         df = add_one_step_emas(add_rsi_partial(df, w), w, (9, 22, 50))
         return add_macd_simple(df, w, keep_emas=False)
 
-    rows = over_series(recent_with_history(needed, cut, LOOK_BACK), build, LOOK_BACK, layout=layout)
+    needed = recent_with_history(needed, cut, LOOK_BACK)
+    rows = over_series(needed, build, LOOK_BACK, layout=layout, pos=True)
     return _with_labels(rows.filter(F.col("date") >= cut))
 
 
@@ -124,7 +125,7 @@ def rsi_divergence(ta, as_of=None, days=14, layout=None):
 
     def build(df, w):
         price, rsi = F.col("close"), F.col("rsi_14")
-        label = labels.divergence(price, F.lag("close").over(w), rsi, F.lag("rsi_14").over(w))
+        label = labels.divergence(price, F.lag("close").over(w.spec), rsi, F.lag("rsi_14").over(w.spec))
         return df.withColumn("divergence_signal", label)
 
     rows = over_series(trailing(ta, days, as_of), build, back=1, layout=layout)
@@ -142,8 +143,8 @@ def multi_timeframe(ta, as_of=None, days=30, layout=None):
     """Close against its 5-row and 22-row partial means over the view."""
 
     def build(df, w):
-        week = F.avg("close").over(w.rowsBetween(-4, 0))
-        month = F.avg("close").over(w.rowsBetween(-21, 0))
+        week = F.avg("close").over(w.rows(-4, 0))
+        month = F.avg("close").over(w.rows(-21, 0))
         df = df.withColumns({"_week": week, "_month": month})
         label = labels.timeframe_trend("close", "_week", "_month")
         return df.withColumn("multi_timeframe_trend", label).drop("_week", "_month")

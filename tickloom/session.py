@@ -19,6 +19,8 @@ def local_session(cores="*", app="tickloom", partitions=8, **extra):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        # Call sites in error messages cost several JVM round trips per expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
     )
