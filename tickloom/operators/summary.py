@@ -183,7 +183,7 @@ def histogram(rows, value, bins=50, key="pair"):
     width = F.col("_hi") - F.col("_lo")
     place = F.floor(F.try_divide(bins * (v - F.col("_lo")), width)) + 1
     placed = values.filter(v.isNotNull()).join(ends, key).withColumn(
-        "bin", F.coalesce(F.least(place, F.lit(bins)), F.lit(1)).cast("int")
+        "bin", F.least(F.coalesce(place, F.lit(1)), F.lit(bins)).cast("int")
     )
     counted = placed.groupBy(key, "bin").agg(
         F.count(F.lit(1)).alias("n"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi")

@@ -98,7 +98,7 @@ def describe_bars(spark, sf):
 def histogram_sql(column):
     return f"""SELECT pair, CAST(bin AS INTEGER) AS bin, lo + (bin - 1) * (hi - lo) / 50 AS bin_from,
         lo + bin * (hi - lo) / 50 AS bin_to, count(*) AS n
-        FROM (SELECT *, coalesce(least(floor(50 * ({column} - lo) / nullif(hi - lo, 0)) + 1, 50), 1) AS bin
+        FROM (SELECT *, least(coalesce(floor(50 * ({column} - lo) / nullif(hi - lo, 0)) + 1, 1), 50) AS bin
               FROM (SELECT *, min({column}) OVER (PARTITION BY pair) AS lo,
                     max({column}) OVER (PARTITION BY pair) AS hi FROM fact)) GROUP BY pair, bin, lo, hi"""
 
