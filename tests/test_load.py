@@ -151,13 +151,17 @@ def test_month_table(spark, make_bars, tmp_path):
     assert os.listdir(f"{path}/month=2020-02") == before["month=2020-02"]
 
 
-def test_tables_and_views(spark, make_bars):
+def test_tables_and_views(spark, make_bars, tmp_path):
     upkeep.register_views({"bars_view": make_bars(A=[1.0])})
     assert "bars_view" in {r.name for r in upkeep.list_tables(spark).collect()}
     assert spark.sql("SELECT close FROM bars_view").first().close == 1.0
     upkeep.register_views({"Upper": make_bars(A=[1.0]).withColumnRenamed("close", "CLOSE")})
     assert "close" in tables.read_table(spark, "Upper").columns
     upkeep.drop_views(spark, "bars_view", "Upper")
+    upkeep.save_table(make_bars(A=[1.0]), "bars_table", path=str(tmp_path / "t"))
+    upkeep.save_table(make_bars(A=[1.0, 2.0]), "bars_table", "ignore", str(tmp_path / "t"))
+    assert tables.read_table(spark, "bars_table").count() == 1
+    spark.sql("DROP TABLE bars_table")
     assert "bars_view" not in {r.name for r in upkeep.list_tables(spark).collect()}
 
 

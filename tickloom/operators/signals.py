@@ -35,10 +35,11 @@ def ma_crossovers(bars, layout=None):
     )
 
 
-def signal_states(bars, layout=None):
+def signal_states(bars, within=None, layout=None):
     """Labels of all four indicators at the newest row of each series.
 
-    Series shorter than 200 rows are labelled insufficient.
+    ``within`` (a condition on the date) picks the shown period: indicators see the
+    whole series, the newest row and the 200-row gate see the period.
     """
 
     def build(df, w):
@@ -59,14 +60,18 @@ def signal_states(bars, layout=None):
             *([c for c in df.columns if c in ("_own", "_blk", "_pos")]),
         ).withColumnRenamed("_macd_state", "macd")
 
-    newest = latest_per_pair(over_series(bars, build, macd_reach() + 1, layout=layout, pos=True))
-    enough = F.col("rows") >= labels.MIN_SIGNAL_ROWS
-    return newest.withColumn("enough_rows", enough)
+    states = over_series(bars, build, macd_reach() + 1, layout=layout, pos=True)
+    if within is not None:
+        held = bars.filter(within).groupBy("pair").agg(F.count(F.lit(1)).alias("rows"))
+        newest = latest_per_pair(states.filter(within).drop("rows")).join(held, "pair")
+    else:
+        newest = latest_per_pair(states)
+    return newest.withColumn("enough_rows", F.col("rows") >= labels.MIN_SIGNAL_ROWS)
 
 
-def trading_signals(bars, layout=None):
+def trading_signals(bars, within=None, layout=None):
     """One row per series: the four states and the overall vote."""
-    states = signal_states(bars, layout)
+    states = signal_states(bars, within, layout)
     vote = labels.vote_text(F.array(*STATES))
     gate = F.col("enough_rows")
     return states.select(

@@ -64,10 +64,11 @@ def monthly_range(bars, min_rows=30):
     return months.withColumn("_rows", rows).filter(F.col("_rows") > min_rows).drop("_n", "_rows")
 
 
-def period_stats(bars, layout=None):
+def period_stats(bars, within=None, layout=None):
     """One row per instrument: last close and change, extremes, return, volatility, trend.
 
-    The first date wins when several dates share the extreme.
+    The first date wins when several dates share the extreme.  ``within`` (a condition
+    on the date) picks the period after the trend's means were taken over all rows.
     """
 
     def build(df, w):
@@ -75,7 +76,8 @@ def period_stats(bars, layout=None):
         return df.withColumn("_prev", F.lag("close").over(w.spec))
 
     move, wide = change_percent(), spread_percent()
-    out = over_series(bars, build, back=200, layout=layout, pos=True).groupBy("pair").agg(
+    rows = over_series(bars, build, back=200, layout=layout, pos=True)
+    out = (rows if within is None else rows.filter(within)).groupBy("pair").agg(
         F.max_by("close", "date").alias("current_price"),
         F.max_by("_prev", "date").alias("previous_price"),
         F.min_by("close", "date").alias("_first"),

@@ -17,15 +17,15 @@ def audited(rows, ts_col="updated_at", run_ts=None):
     return rows.withColumn(ts_col, F.lit(run_ts) if run_ts else F.current_timestamp())
 
 
-def _newest_copy(rows, keys, rank):
-    """One row per key: the greatest by ``rank``, then by content.
+def newest_copy(rows, keys=KEYS, rank=()):
+    """One row per key: the greatest by the columns ``rank``, then by content.
 
     An aggregate with a map-side half, so a key with very many copies is reduced
     before it is shuffled.
     """
-    rest = [c for c in rows.columns if c not in (*keys, rank)]
-    best = rows.groupBy(*keys).agg(F.max(F.struct(rank, *rest)).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in (rank, *rest)])
+    order = [*rank, *[c for c in rows.columns if c not in (*keys, *rank)]]
+    best = rows.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_best"))
+    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in order])
 
 
 def upsert(target, updates, keys=KEYS, ts_col=None, run_ts=None):
@@ -33,12 +33,12 @@ def upsert(target, updates, keys=KEYS, ts_col=None, run_ts=None):
     if ts_col:
         updates = audited(updates, ts_col, run_ts)
     both = target.withColumn("_src", F.lit(0)).unionByName(updates.withColumn("_src", F.lit(1)))
-    return _newest_copy(both, keys, "_src").select(*target.columns)
+    return newest_copy(both, keys, ["_src"]).select(*target.columns)
 
 
 def insert_missing(target, updates, keys=KEYS):
     """Add updates whose key the target lacks; existing rows stay as they are."""
-    one_each = _newest_copy(updates.withColumn("_src", F.lit(0)), keys, "_src")
+    one_each = newest_copy(updates, keys)
     fresh = one_each.select(*target.columns).join(target, list(keys), "left_anti")
     return target.unionByName(fresh.select(*target.columns))
 
@@ -63,9 +63,14 @@ def append(rows, path):
 
 
 def write_by_month(rows, path, mode="overwrite"):
-    """Bars partitioned by month; dynamic mode replaces only the months in ``rows``."""
+    """Bars partitioned by month; dynamic mode replaces only the months in ``rows``.
+
+    Rows are rebalanced by month first: few files per month, and a month too large for
+    one task is split at run time.
+    """
     (
         rows.withColumn("month", dates.month_key("date"))
+        .hint("rebalance", "month")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month")
@@ -111,9 +116,16 @@ def drop_views(spark, *names):
         spark.catalog.dropTempView(name)
 
 
-def save_table(df, name, mode="overwrite"):
-    """Create or replace a catalogue table."""
-    df.write.mode(mode).saveAsTable(name)
+def use_schema(spark, name):
+    """Create a schema unless it exists, and make it the current one."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+    spark.catalog.setCurrentDatabase(name)
+
+
+def save_table(df, name, mode="overwrite", path=None):
+    """Create or replace a catalogue table; mode "ignore" creates it only if absent."""
+    writer = df.write.mode(mode)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def lower_names(df):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import bars as bar_ops
 from tickloom.operators import quality, select, star, summary, upkeep
-from tickloom.plans import inputs
+from tickloom.plans import inputs, medallion
 from tickloom.plans.registry import query
 from tickloom.schema import OHLC
 from tickloom.session import scratch_path
@@ -295,3 +295,17 @@ def dim_currency_pairs(spark, sf):
 )
 def dim_calendar(spark, sf):
     return star.dim_calendar(inputs.bars(spark, sf))
+
+
+@query(
+    "medallion_fact",
+    "pair date:d open:4 high:4 low:4 close:4 daily_change_amount:4 daily_change_percent:6 volatility_percent:6",
+    """SELECT * EXCLUDE rn FROM (SELECT f.*, c.rn FROM fact f JOIN counted c USING (pair, date))
+       WHERE rn % 50 <> 0 AND rn % 60 <> 0 AND date >= DATE '2000-01-01'""",
+)
+def medallion_fact(spark, sf):
+    """Landed text loaded twice into one fact table: the second load changes nothing."""
+    out, as_of = scratch_path(spark, "medallion"), _as_of(spark, sf)
+    raw = inputs.raw_strings(spark, sf)
+    medallion.load(raw, f"{out}/fact", f"{out}/rejects", as_of)
+    return medallion.load(raw, f"{out}/fact", f"{out}/rejects", as_of)

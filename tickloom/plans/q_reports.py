@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.prices import change_percent
 from tickloom.operators import select, signals, summary
-from tickloom.plans import inputs
+from tickloom.plans import dashboard, inputs
 from tickloom.plans.q_indicators import strict_sql
 from tickloom.plans.registry import query
 
@@ -22,27 +22,71 @@ def monthly_range(spark, sf):
     return summary.monthly_range(select.trailing(inputs.bars(spark, sf), 180))
 
 
-@query(
-    "period_stats",
+PERIOD = (
     "pair current_price:4 previous_price:4 daily_change:4 daily_change_pct:6 period_high:4 period_low:4 "
-    "high_date:d low_date:d period_return:6 volatility:6 avg_daily_range:6 max_daily_range:6 trend_signal",
-    f"""SELECT pair, arg_max(close, date) AS current_price, arg_max(prev, date) AS previous_price,
+    "high_date:d low_date:d period_return:6 volatility:6 avg_daily_range:6 max_daily_range:6 trend_signal"
+)
+
+
+def period_sql(condition):
+    return f"""SELECT pair, arg_max(close, date) AS current_price, arg_max(prev, date) AS previous_price,
         current_price - previous_price AS daily_change, daily_change / previous_price * 100 AS daily_change_pct,
         max(high) AS period_high, min(low) AS period_low,
         min(date) FILTER (high = top) AS high_date, min(date) FILTER (low = bottom) AS low_date,
         (current_price - arg_min(close, date)) / arg_min(close, date) * 100 AS period_return,
         stddev_samp(daily_change_percent) AS volatility, avg(volatility_percent) AS avg_daily_range,
         max(volatility_percent) AS max_daily_range,
-        CASE WHEN arg_max(s50, date) > arg_max(s200, date) AND count(*) >= 200 THEN 'Bullish' ELSE 'Bearish' END AS trend_signal
-        FROM (SELECT *, lag(close) OVER w AS prev, max(high) OVER (PARTITION BY pair) AS top,
-              min(low) OVER (PARTITION BY pair) AS bottom,
-              {strict_sql('avg', 50)} AS s50, {strict_sql('avg', 200)} AS s200
-              FROM fact WINDOW w AS {W}) GROUP BY pair""",
-)
+        CASE WHEN arg_max(s50, date) > arg_max(s200, date) AND max(rn) >= 200 THEN 'Bullish' ELSE 'Bearish' END AS trend_signal
+        FROM (SELECT *, max(high) OVER (PARTITION BY pair) AS top, min(low) OVER (PARTITION BY pair) AS bottom
+              FROM (SELECT *, lag(close) OVER w AS prev, row_number() OVER w AS rn,
+                    {strict_sql('avg', 50)} AS s50, {strict_sql('avg', 200)} AS s200
+                    FROM fact WINDOW w AS {W}) WHERE {condition}) GROUP BY pair"""
+
+
+LAST_400 = "date >= (SELECT max(date) FROM bars) - INTERVAL 400 DAY"
+
+
+def last_400(bars):
+    return F.col("date") >= F.date_sub(select.latest_date(bars), 400)
+
+
+@query("period_stats", PERIOD, period_sql("true"))
 def period_stats(spark, sf):
     return summary.period_stats(inputs.bars(spark, sf))
 
 
+@query("dashboard_period_stats", PERIOD, period_sql(LAST_400))
+def dashboard_period_stats(spark, sf):
+    """Statistics of the last 400 days; the trend means see the whole series."""
+    bars = inputs.bars(spark, sf)
+    return summary.period_stats(bars, last_400(bars))
+
+
+@query(
+    "dashboard_indicators",
+    "pair date:d close:4 sma_20:4 sma_50:4 sma_200:4 ema_12:4 ema_26:4 macd:4 macd_signal:4 macd_histogram:4 "
+    "rsi:6 bb_upper:4 bb_lower:4 daily_change:4 daily_range:4 weekly_return:6 monthly_return:6",
+    f"""SELECT *, mid + 2 * sd AS bb_upper, mid - 2 * sd AS bb_lower FROM (
+        SELECT b.*, e.ema_12, e.ema_26, e.ema_12 - e.ema_26 AS macd, e.signal AS macd_signal,
+          e.ema_12 - e.ema_26 - e.signal AS macd_histogram,
+          CASE WHEN e.rn >= 14 THEN CASE WHEN down = 0 AND up > 0 THEN 100 WHEN down = 0 THEN NULL
+               ELSE 100 - 100 / (1 + up / down) END END AS rsi
+        FROM (SELECT *, {strict_sql('avg', 20)} AS sma_20, {strict_sql('avg', 50)} AS sma_50,
+                {strict_sql('avg', 200)} AS sma_200, {strict_sql('avg', 20)} AS mid,
+                {strict_sql('stddev_samp', 20)} AS sd, close - open AS daily_change, high - low AS daily_range,
+                (close / nullif(lag(close, 5) OVER w, 0) - 1) * 100 AS weekly_return,
+                (close / nullif(lag(close, 20) OVER w, 0) - 1) * 100 AS monthly_return
+              FROM bars WINDOW w AS {W}) b JOIN ema_run e USING (pair, date)
+        JOIN (SELECT pair, date, avg(gain) OVER f AS up, avg(loss) OVER f AS down FROM moves
+              WINDOW f AS (PARTITION BY pair ORDER BY date ROWS 13 PRECEDING)) m USING (pair, date))
+        WHERE {LAST_400}""",
+)
+def dashboard_indicators(spark, sf):
+    """Indicators of the whole series, shown for the last 400 days."""
+    bars = inputs.bars(spark, sf)
+    return dashboard.add_indicators(bars).filter(last_400(bars))
+
+
 @query(
     "last_change",
     "pair latest_close:4 previous_close:4 daily_change:4 daily_change_pct:6 period_return:6",
@@ -171,7 +215,8 @@ def naming(word, columns=signals.STATES):
     return " + ".join(f"CASE WHEN contains({c}, '{word}') THEN 1 ELSE 0 END" for c in columns)
 
 
-SIGNALS_SQL = f"""WITH ind AS (
+def signals_sql(condition):
+    return f"""WITH ind AS (
     SELECT a.pair, a.date, a.close, e.rn, {SMA_STATE_SQL} AS moving_average, up, down,
       e.ema_12 - e.ema_26 AS macd, e.signal, mid + 2 * sd AS upper_band, mid - 2 * sd AS lower_band
     FROM ({SMAS_SQL}) a JOIN ema_run e USING (pair, date)
@@ -190,7 +235,8 @@ SIGNALS_SQL = f"""WITH ind AS (
          WHEN macd > signal THEN 'Hold Buy (Bullish)' ELSE 'Hold Sell (Bearish)' END AS macd,
     CASE WHEN close > upper_band THEN 'Sell (Above Upper Band)' WHEN close < lower_band THEN 'Buy (Below Lower Band)'
          ELSE 'Neutral (Within Bands)' END AS bollinger
-    FROM lagged QUALIFY row_number() OVER (PARTITION BY pair ORDER BY date DESC) = 1),
+    FROM (SELECT * REPLACE (count(*) OVER (PARTITION BY pair) AS rn) FROM lagged WHERE {condition})
+    QUALIFY row_number() OVER (PARTITION BY pair ORDER BY date DESC) = 1),
   votes AS (SELECT *, {naming('Buy')} AS buys, {naming('Sell')} AS sells FROM states)
   SELECT pair, date, CASE WHEN rn >= 200 THEN moving_average END AS moving_average,
     CASE WHEN rn >= 200 THEN rsi END AS rsi, CASE WHEN rn >= 200 THEN macd END AS macd,
@@ -200,11 +246,21 @@ SIGNALS_SQL = f"""WITH ind AS (
          ELSE 'Neutral' END AS overall FROM votes"""
 
 
-@query("trading_signals", "pair date:d moving_average rsi macd bollinger overall", SIGNALS_SQL)
+STATES = "pair date:d moving_average rsi macd bollinger overall"
+
+
+@query("trading_signals", STATES, signals_sql("true"))
 def trading_signals(spark, sf):
     return signals.trading_signals(inputs.bars(spark, sf))
 
 
+@query("dashboard_signals", STATES, signals_sql(LAST_400))
+def dashboard_signals(spark, sf):
+    """Signals of the last 400 days; the indicators see the whole series."""
+    bars = inputs.bars(spark, sf)
+    return signals.trading_signals(bars, last_400(bars))
+
+
 @query(
     "signal_counts",
     "pair buy:l sell:l neutral:l",
@@ -213,7 +269,7 @@ def trading_signals(spark, sf):
         f"{naming(s, (*signals.STATES, 'overall'))} AS {s.lower()}"
         for s in ("Buy", "Sell", "Neutral")
     )
-    + f" FROM ({SIGNALS_SQL})",
+    + f" FROM ({signals_sql("true")})",
 )
 def signal_counts(spark, sf):
     return signals.signal_counts(signals.trading_signals(inputs.bars(spark, sf)))
@@ -221,12 +277,12 @@ def signal_counts(spark, sf):
 
 @query(
     "trading_signals_slice",
-    "pair rows:l overall",
-    """SELECT pair, count(*) AS rows, 'Insufficient data for reliable signals' AS overall FROM bars
+    "pair date:d overall",
+    """SELECT pair, max(date) AS date, 'Insufficient data for reliable signals' AS overall FROM bars
        WHERE date >= (SELECT max(date) FROM bars) - INTERVAL 180 DAY GROUP BY 1""",
 )
 def trading_signals_slice(spark, sf):
-    """The default 180-day slice never holds 200 rows."""
-    recent = select.trailing(inputs.bars(spark, sf), 180)
-    rows = recent.groupBy("pair").agg(F.count(F.lit(1)).alias("rows"))
-    return signals.trading_signals(recent).join(rows, "pair")
+    """The default 180-day period never holds 200 rows."""
+    bars = inputs.bars(spark, sf)
+    recent = F.col("date") >= F.date_sub(select.latest_date(bars), 180)
+    return signals.trading_signals(bars, recent)

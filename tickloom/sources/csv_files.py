@@ -112,8 +112,8 @@ def read_bars_csv(spark, glob):
 def write_bars_csv(bars, path, places=4):
     """One folder ``file=historical_<PAIR>.csv`` per instrument, newest rows first.
 
-    Rows are sorted inside each task and written where they are: an instrument with
-    very many rows becomes several files, not one task.
+    Rows are rebalanced by instrument at run time: small ones share a task, one with
+    very many rows is split over several and becomes several files.
     """
     shown = bars.select(
         "date",
@@ -121,7 +121,8 @@ def write_bars_csv(bars, path, places=4):
         file_name(F.col("pair")).alias("file"),
     )
     (
-        shown.sortWithinPartitions("file", F.col("date").desc())
+        shown.hint("rebalance", "file")
+        .sortWithinPartitions("file", F.col("date").desc())
         .write.partitionBy("file")
         .option("header", True)
         .csv(path)
