@@ -135,6 +135,8 @@ def over_series(bars, build, back=0, ahead=0, layout=None, pos=False, total=None
     if ahead:
         homes.append(F.when((off < ahead) & (block > 0), copy(block - 1, False)))
     spread = rows.select("*", F.inline(F.array_compact(F.array(*homes))))
+    # One exchange by block serves all windows below, also those by block and chunk.
+    spread = spread.repartition(layout.key, "_blk")
     return build(spread, layout.window("_blk")).filter("_own").drop("_blk", "_own", "_pos")
 
 

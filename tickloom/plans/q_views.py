@@ -179,7 +179,7 @@ def technical_analysis_joined(spark, sf):
 
 @query("latest_signals", TA, "SELECT * FROM ta WHERE date = (SELECT max(date) FROM ta)")
 def latest_signals(spark, sf):
-    return technical.latest_signals(view(spark, sf))
+    return technical.latest_signals(view(spark, sf), as_of(spark, sf))
 
 
 @query(

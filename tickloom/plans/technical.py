@@ -1,6 +1,6 @@
 """The combined technical view and the analyses that read it."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tickloom.functions import labels
 from tickloom.layout import over_series
@@ -13,7 +13,7 @@ from tickloom.operators.oscillators import (
     technical_macd,
     technical_rsi,
 )
-from tickloom.operators.select import as_of_column, last_n, latest_date, latest_per_pair, trailing
+from tickloom.operators.select import as_of_column, last_n, latest_date, trailing
 from tickloom.operators.summary import performance_summary as summarize
 
 LOOK_BACK = 51  # a lag of a 50-row mean, from running sums
@@ -70,9 +70,9 @@ def technical_analysis_joined(fact, as_of=None, days=90, layout=None):
     return _with_labels(joined)
 
 
-def latest_signals(ta):
-    """Rows of the newest date of the view."""
-    return ta.filter(F.col("date") == latest_date(ta))
+def latest_signals(ta, newest=None):
+    """Rows of the newest date of the view; pass it if known, to save looking for it."""
+    return ta.filter(F.col("date") == (latest_date(ta) if newest is None else newest))
 
 
 def strong_signals(ta, as_of=None, days=7):
@@ -98,20 +98,19 @@ def volatility_signal(ta, as_of=None, days=30, layout=None):
     )
 
 
-def trend_duration(ta, layout=None):
+def trend_duration(ta):
     """Rows of the newest trend label so far (all of them, consecutive or not).
 
-    Counting is an aggregate: the newest non-neutral row of each series is found
-    first, then its label's rows are counted, without ordering the series.
+    One aggregate per (instrument, label); the label seen last wins.  No series is
+    ordered for it.
     """
-    trending = ta.filter(F.col("trend_signal") != "Neutral")
-    newest = latest_per_pair(trending.select("pair", "date", "close", "trend_signal"))
-    counts = trending.groupBy("pair", "trend_signal").agg(
-        F.count(F.lit(1)).alias("days_in_current_trend")
-    )
-    return newest.join(counts, ["pair", "trend_signal"]).select(
-        "pair", F.col("date").alias("latest_date"), "close", "trend_signal", "days_in_current_trend"
+    per_label = ta.filter(F.col("trend_signal") != "Neutral").groupBy("pair", "trend_signal").agg(
+        F.count(F.lit(1)).alias("days_in_current_trend"),
+        F.max("date").alias("latest_date"),
+        F.max_by("close", "date").alias("close"),
     )
+    newest = F.max("latest_date").over(Window.partitionBy("pair"))
+    return per_label.withColumn("_newest", newest).filter("latest_date = _newest").drop("_newest")
 
 
 def trend_running_days(ta, layout=None):

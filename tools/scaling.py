@@ -56,7 +56,7 @@ JOBS = {
 def main(cores, rows, folder):
     spark = local_session(cores, "scaling", partitions=32)
     make(spark, rows, folder)
-    for kind in ("daily", "long"):
+    for kind in sys.argv[4:] or ("daily", "long"):
         spark.read.parquet(f"{folder}/{kind}").write.format("noop").mode("overwrite").save()
         bars = spark.read.parquet(f"{folder}/{kind}")
         layout = layout_of(bars) if kind == "daily" else Layout(step=1, split=True)
