@@ -4,8 +4,8 @@ Every indicator looks at neighbours in time, so rows of an instrument must meet
 in order.  Two layouts make that safe:
 
 * A *daily* series (order column of type DATE, one bar per day) is bounded by the
-  calendar: 179 years are 65,536 rows.  Its window partition is the instrument,
-  which costs one shuffle.
+  calendar: a century is 36,525 rows, however large the table.  Its window partition
+  is the instrument, which costs one shuffle.
 * An *intraday* series (order column of type TIMESTAMP, one bar per ``step``
   seconds) has no such bound, and one busy instrument may hold a third of all
   rows.  It is cut into blocks of ``block_rows`` consecutive bars.  Each block also
@@ -19,7 +19,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Window, functions as F, types as T
 
-BLOCK_ROWS = 1 << 16
+BLOCK_ROWS = 1 << 14
 
 
 @dataclass(frozen=True)
