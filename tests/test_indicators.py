@@ -185,8 +185,10 @@ def brute_levels(bars, n, threshold):
     return out
 
 
-def test_levels_equal_a_plain_walk(make_bars):
-    coarse = [round(v, 0) for v in walk(400, 3)]
+@pytest.mark.parametrize("step", [0.2, 1, 5])
+def test_levels_equal_a_plain_walk(make_bars, step):
+    """Small steps give one long fold, large ones many short folds."""
+    coarse = [float(100 + step * round(v - 100)) for v in walk(400, 3)]
     bars = make_bars(A=coarse)
     got = swings.support_resistance_levels(bars, n=3)
     support, resistance = brute_levels([{"low": v, "high": v} for v in coarse], 3, 0.01)

@@ -1,8 +1,10 @@
 """Swing levels and their thinning."""
 
-from pyspark.sql import functions as F
+from dataclasses import replace
 
-from tickloom.layout import over_series
+from pyspark.sql import Window, functions as F
+
+from tickloom.layout import Layout, over_prefix, over_series
 
 SIDES = {"support": ("low", F.min), "resistance": ("high", F.max)}
 
@@ -38,39 +40,51 @@ def swing_levels(points):
 def thin_levels(levels, threshold=0.01, key="pair", layout=None):
     """Keep a level if it differs from the last kept one by more than ``threshold``.
 
-    Each decision depends on the one before, so the kept levels of a series form one
-    fold.  Only swing points reach it, and repeats of the level just before are dropped
-    first: the fold would drop them too, as the last kept level already lies within
-    the threshold.  Different levels of one side are more than n rows apart, so a
-    series contributes at most rows / (n + 1) values per side.
+    Each decision depends on the one before, so levels are folded in order, but not a
+    whole series at a time.  After any level q the last kept one lies between
+    q / (1 + threshold) and q / (1 - threshold).  A level far enough from that whole
+    range is kept whatever came before, so a new fold can start there, and the folds
+    between such levels are independent.  Repeats of the level just before are dropped
+    first, as the last kept level already lies within the threshold of them.
     """
+    layout = layout or Layout()
+    series = replace(layout, key="_series")
     sided = levels.withColumn("_series", F.concat_ws("\x1f", key, "side"))
-    layout = None if layout is None else type(layout)(
-        "_series", layout.order, layout.step, layout.block_rows, layout.split
+    seen = over_series(
+        sided, lambda df, w: df.withColumn("_prev", F.lag("level").over(w.spec)), 1, layout=series
+    )
+    prev, level = F.col("_prev"), F.col("level")
+    fresh = seen.filter(prev.isNull() | (prev != level))
+    starts = fresh.withColumn("_start", (prev.isNull() | _surely_kept(level, prev, threshold)).cast("long"))
+    listed = (
+        _running_sum(starts, "_start", "_fold", series)
+        .groupBy(key, "side", "_fold")
+        .agg(F.array_sort(F.collect_list(F.struct("date", "level"))).alias("_p"))
     )
-    fresh = _without_repeats(sided, layout)
-    point = F.struct("date", "level")
-    listed = fresh.groupBy(key, "side").agg(F.array_sort(F.collect_list(point)).alias("_p"))
 
     def keep(kept, p):
         last = F.try_element_at(kept, F.lit(-1))["level"]
         far = F.abs(F.try_divide(p["level"] - last, last)) > threshold
         return F.when(last.isNull() | far, F.concat(kept, F.array(p))).otherwise(kept)
 
-    folded = F.aggregate("_p", F.slice("_p", 1, 1), keep)
-    return listed.select(key, "side", F.inline(folded))
+    return listed.select(key, "side", F.inline(F.aggregate("_p", F.slice("_p", 1, 0), keep)))
+
 
+def _surely_kept(level, prev, threshold):
+    if threshold >= 1:
+        return F.lit(False)
+    ratio = (1 + threshold) / (1 - threshold) * (1 + 1e-9)  # clear of rounding
+    return (prev > 0) & ((level > prev * ratio) | (level < prev / ratio))
 
-def _without_repeats(sided, layout):
-    from tickloom.layout import Layout
 
-    layout = layout or Layout("_series")
-    return over_series(
-        sided,
-        lambda df, w: df.withColumn("_prev", F.lag("level").over(w.spec)),
-        back=1,
-        layout=layout,
-    ).filter(F.col("_prev").isNull() | (F.col("_prev") != F.col("level"))).drop("_prev", "_series")
+def _running_sum(rows, c, out, layout):
+    def build(df, w):
+        here = F.sum(c).over(w.rows(Window.unboundedPreceding, 0))
+        return df.withColumn(out, here + F.coalesce(F.col("_before").cast("long"), F.lit(0)))
+
+    return over_prefix(
+        rows, build, {"_sum": F.sum(c)}, {"_before": lambda w: F.sum("_sum").over(w)}, layout
+    )
 
 
 def support_resistance_levels(bars, n=10, threshold=0.01, layout=None):

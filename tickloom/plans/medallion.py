@@ -10,12 +10,13 @@ def load(raw, fact_path, reject_path, as_of, min_date=FIRST_VALID_DATE):
     """Merge landed rows into the month-partitioned fact table at ``fact_path``.
 
     The cleaned rows are stored once, because good rows and rejects both read them.
-    Running the same load again leaves the table as it is.
+    ``reject_path`` holds the rejects of one load.  Running the same load again leaves
+    both as they are.
     """
     spark = raw.sparkSession
     cleaned = stored(quality.clean_raw(raw), "cleaned")
     good, bad = quality.validate_bars(cleaned, as_of, min_date)
-    bad.write.mode("append").parquet(reject_path)
+    bad.write.mode("overwrite").parquet(reject_path)
     fact = fact_daily_rates(upkeep.newest_copy(good.dropDuplicates(), upkeep.KEYS))
     upkeep.write_by_month(fact.limit(0), fact_path, "ignore")
     upkeep.upsert_months(spark, fact_path, fact)
