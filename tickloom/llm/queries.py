@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from tickloom.llm.jaccard_groups import op8_ngram_jaccard
 from tickloom.llm.packing import op2_packing
 from tickloom.llm.token_records import op1_token_records
 
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_packing": op2_packing,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
 }
 ORACLE_SQL: dict[str, str] = {}
