@@ -19,6 +19,8 @@ from tickloom.llm.words import hashes
 
 #: Pieces remembered by a Python worker, some 30 bytes each; beyond it, it starts anew.
 MOST_PIECES = 4_000_000
+#: Pieces given to the library at once; what it returns takes far more memory than the ids.
+AT_ONCE = 8192
 LETTER, NUMBER, BLANK, SIGN = 1, 2, 3, 4
 
 _CLASS = np.full(256, SIGN, np.uint8)
@@ -106,10 +108,13 @@ class Encoder:
         example[back] = np.arange(len(back))
         raw = data.tobytes()
         pieces = [raw[a:b].decode() for a, b in zip(starts[example[new]].tolist(), stops[example[new]].tolist(), strict=True)]
-        got = [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
-        sizes = np.array([len(x) for x in got], np.int64)
+        sizes, ids = [], [self.ids]
+        for n in range(0, len(pieces), AT_ONCE):
+            got = [e.ids for e in self.library.encode_batch_fast(pieces[n : n + AT_ONCE], add_special_tokens=False)]
+            sizes += map(len, got)
+            ids.append(np.fromiter((i for x in got for i in x), self.width))
         firsts = len(self.ids) + np.cumsum(sizes) - sizes
-        self.ids = np.concatenate([self.ids, np.array([i for x in got for i in x], self.width)])
+        self.ids = np.concatenate(ids)
         where = np.searchsorted(self.keys, names[new])
         self.keys = np.insert(self.keys, where, names[new])
         self.first = np.insert(self.first, where, firsts)
