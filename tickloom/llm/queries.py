@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from tickloom.llm.decontamination import op3_decontamination
 from tickloom.llm.jaccard_groups import op8_ngram_jaccard
 from tickloom.llm.packing import op2_packing
+from tickloom.llm.quality_pu import op10_quality_pu
 from tickloom.llm.token_records import op1_token_records
 
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op10_quality_pu": op10_quality_pu,
 }
 ORACLE_SQL: dict[str, str] = {}
