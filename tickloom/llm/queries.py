@@ -6,13 +6,20 @@ from tickloom.llm.decontamination import op3_decontamination
 from tickloom.llm.jaccard_groups import op8_ngram_jaccard
 from tickloom.llm.packing import op2_packing
 from tickloom.llm.quality_pu import op10_quality_pu
+from tickloom.llm.quality_rules import OP4_SQL, op4_quality_rules
 from tickloom.llm.token_records import op1_token_records
+from tickloom.llm.url_reputation import OP6_SQL, op6_url_reputation
 
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_url_reputation": op6_url_reputation,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_quality_pu": op10_quality_pu,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op4_quality_rules": OP4_SQL,
+    "op6_url_reputation": OP6_SQL,
+}
