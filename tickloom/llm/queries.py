@@ -5,6 +5,7 @@ from __future__ import annotations
 from tickloom.llm.decontamination import op3_decontamination
 from tickloom.llm.jaccard_groups import op8_ngram_jaccard
 from tickloom.llm.packing import op2_packing
+from tickloom.llm.ppm import op9_ppm_score
 from tickloom.llm.quality_pu import op10_quality_pu
 from tickloom.llm.quality_rules import OP4_SQL, op4_quality_rules
 from tickloom.llm.token_records import op1_token_records
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_url_reputation": op6_url_reputation,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_ppm_score": op9_ppm_score,
     "op10_quality_pu": op10_quality_pu,
 }
 ORACLE_SQL = {
