@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tickloom.llm.decontamination import op3_decontamination
+from tickloom.llm.html_labeller import op5_html_extraction
 from tickloom.llm.jaccard_groups import op8_ngram_jaccard
 from tickloom.llm.packing import op2_packing
 from tickloom.llm.ppm import op9_ppm_score
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op5_html_extraction": op5_html_extraction,
     "op6_url_reputation": op6_url_reputation,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_ppm_score": op9_ppm_score,
@@ -23,5 +25,6 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op4_quality_rules": OP4_SQL,
+    "op5_html_extraction": op5_html_extraction,
     "op6_url_reputation": OP6_SQL,
 }
