@@ -24,10 +24,15 @@ from tickloom.llm.staging import staged
 GAP = r"\x20\x09-\x0D"
 WINDOW = 8
 STEPS = 30
+#: Chance of votes -1, 0 and 1 to start from, on good and on bad texts.
+START = {True: (0.05, 0.25, 0.7), False: (0.5, 0.25, 0.25)}
+#: Texts added to the bad ones in each round with START's chances, as a share of all: where hardly any text
+#: is bad, "bad" then still means texts that rules vote to drop, and no odd kind of good ones.
+HELD = 0.02
 #: Condition for a vote to drop, and to keep, in whole numbers; the same text is valid in Spark and in DuckDB.
 RULES = {
     "symbols": ("10 * n_symbols > n_words", "n_symbols = 0"),
-    "signs": ("2 * n_signs > n_words", "20 * n_signs < 7 * n_words"),
+    "signs": ("5 * n_signs > 4 * n_words", "5 * n_signs < 2 * n_words"),
     "capitals": ("10 * n_capitals > 3 * word_chars", "10 * n_capitals < word_chars"),
     "repetition": ("5 * n_repeat_words > n_words", "20 * n_repeat_words < n_words"),
     "lines": ("10 * n_dup_lines > 3 * n_lines", "n_dup_lines = 0"),
@@ -87,13 +92,13 @@ def _vote(drop: str, keep: str, prefix: str = "") -> str:
 def fit(patterns: list[tuple[tuple[int, ...], int]]) -> dict:
     """Estimate, by STEPS rounds, `good` (share of good texts) and per class and rule the chance of each vote.
 
-    It starts from rules that are right nine times in ten when they vote; one is added to every count.
+    It starts from START; one is added to every count, and HELD to those of bad texts.
     """
     votes = (-1, 0, 1)
     good, total = 0.8, sum(n for _, n in patterns)
-    chance = {True: [[0.05, 0.25, 0.7] for _ in VOTES], False: [[0.5, 0.25, 0.25] for _ in VOTES]}
+    chance = {side: [list(START[side]) for _ in VOTES] for side in START}
     for _ in range(STEPS):
-        sums = {side: [[1.0] * 3 for _ in VOTES] for side in (True, False)}
+        sums = {True: [[1.0] * 3 for _ in VOTES], False: [[1 + HELD * total * c for c in START[False]] for _ in VOTES]}
         goods = 1.0
         for pattern, n in patterns:
             odds = math.log(good / (1 - good))
@@ -154,11 +159,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _oracle() -> str:
     """The same counts, votes and estimation in DuckDB; the rounds are a recursive query over the pattern table."""
     w = WINDOW
-    start = [0.8] + [x for row in ([0.05, 0.25, 0.7], [0.5, 0.25, 0.25]) for _ in VOTES for x in row]
+    start = [0.8] + [x for side in (True, False) for _ in VOTES for x in START[side]]
     size = len(VOTES)
     at = lambda good, rule, vote: 2 + (0 if good else 3 * size) + 3 * rule + vote
     odds = "ln(s[1] / (1 - s[1]))" + "".join(f" + ln(s[{at(True, r, 0)} + {v} + 1] / s[{at(False, r, 0)} + {v} + 1])" for r, v in enumerate(VOTES))
-    chance = lambda good, r, vote: f"(1 + sum(case when {VOTES[r]} = {vote} then n * {'p' if good else '(1 - p)'} else 0 end)) / (3 + sum(n * {'p' if good else '(1 - p)'}))"
+    held = lambda good, vote: 0 if good else HELD * START[False][vote + 1]
+    chance = lambda good, r, vote: f"(1 + {held(good, vote)} * sum(n) + sum(case when {VOTES[r]} = {vote} then n * {'p' if good else '(1 - p)'} else 0 end)) / (3 + {0 if good else HELD} * sum(n) + sum(n * {'p' if good else '(1 - p)'}))"
     new = ["(1 + sum(n * p)) / (2 + sum(n))"] + [chance(good, r, vote) for good in (True, False) for r in range(size) for vote in (-1, 0, 1)]
     votes = ", ".join(f"{_vote(*RULES[v[2:]])} as {v}" for v in VOTES)
     return rf"""
