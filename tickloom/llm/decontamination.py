@@ -186,7 +186,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, items_at_once:
     blocks = max(1, -(-n // (items_at_once)), -(-size // (16 << 20)))
     for block in range(blocks):
         found = sorted(map(tuple, rows.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()), key=lambda x: (x[0] is None, x))
-        for first in range(0, len(found), items_at_once):
+        for first in range(0, max(len(found), blocks == 1), items_at_once):
             yield read_items(found[first : first + items_at_once], radius)
 
 

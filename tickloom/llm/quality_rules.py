@@ -25,7 +25,7 @@ GAP = r"\x20\x09-\x0D"
 WINDOW = 8
 STEPS = 30
 #: Chance of votes -1, 0 and 1 to start from, on good and on bad texts.
-START = {True: (0.05, 0.25, 0.7), False: (0.5, 0.25, 0.25)}
+START = {True: (0.02, 0.25, 0.73), False: (0.5, 0.2, 0.3)}
 #: Texts added to the bad ones in each round with START's chances, as a share of all: where hardly any text
 #: is bad, "bad" then still means texts that rules vote to drop, and no odd kind of good ones.
 HELD = 0.02

@@ -4,6 +4,7 @@ Reputation: labelled pages are good or bad. A suffix's share of good pages is sh
 all, a registered domain's towards its suffix's, a host's towards its domain's, each with a beta prior.
 A level's strength comes from its own groups: with n_i pages and shares p_i around their parents' means
 m_i, sum n_i (p_i - m_i)^2 / (m_i (1 - m_i)) is about G + rho * sum (n_i - 1), and rho = 1 / (strength + 1).
+A prior never counts for more than the evidence that its own mean rests on.
 A host is blocked only when the upper bound of its posterior, mean plus `z` deviations, is below
 `least_good`: a host with few labelled pages takes after its domain and is not blocked by chance.
 
@@ -63,7 +64,7 @@ def domain_and_suffix(host: Column, suffixes: tuple[str, ...]) -> tuple[Column,
 
 
 def _strength(groups: DataFrame) -> DataFrame:
-    """One row: strength of the prior around `m` of groups with n labelled pages, k of them good."""
+    """One row: strength of the prior around `m` of groups with n labelled pages, k of them good, before it is held to `e`."""
     some = groups.where("n > 0")
     spread = F.sum(F.col("n") * F.pow(F.col("k") / F.col("n") - F.col("m"), 2) / (F.col("m") * (1 - F.col("m"))))
     extra = F.sum("n") - F.count("*")
@@ -71,8 +72,10 @@ def _strength(groups: DataFrame) -> DataFrame:
     return some.agg((1 / F.least(F.lit(HIGH), F.greatest(F.lit(LOW), F.coalesce(rho, F.lit(LOW)))) - 1).alias("strength"))
 
 
-def _shrunk(groups: DataFrame, strength: float) -> Column:
-    return (F.col("k") + strength * F.col("m")) / (F.col("n") + strength)
+def _shrunk(strength: float) -> tuple[Column, Column]:
+    """Posterior mean, and the evidence it rests on: own pages and the prior's strength."""
+    held = F.least(F.lit(strength), F.col("e"))
+    return (F.col("k") + held * F.col("m")) / (F.col("n") + held), F.col("n") + held
 
 
 def reputation(pages: DataFrame, suffixes: tuple[str, ...] = SUFFIXES, z: float = Z) -> DataFrame:
@@ -81,15 +84,15 @@ def reputation(pages: DataFrame, suffixes: tuple[str, ...] = SUFFIXES, z: float
     domain, suffix = domain_and_suffix(F.col("_host"), suffixes)
     hosts = staged(hosts.withColumn("_suffix", suffix).withColumn("_domain", domain), "hosts")
     total = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first()
-    level = hosts.groupBy("_suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("m", F.lit((total["k"] + 1) / (total["n"] + 2)))
+    level = hosts.groupBy("_suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumns({"m": F.lit((total["k"] + 1) / (total["n"] + 2)), "e": F.lit(total["n"] + 2.0)})
     parts = {"_domain": hosts.groupBy("_suffix", "_domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "_host": hosts}
     for key, groups in parts.items():
         parent = "_suffix" if key == "_domain" else "_domain"
-        means = level.select(*{"_suffix", parent}, _shrunk(level, _strength(level).first()[0]).alias("m"))
+        mean, evidence = _shrunk(_strength(level).first()[0])
+        means = level.select(*{"_suffix", parent}, mean.alias("m"), evidence.alias("e"))
         level = staged(groups.join(means, sorted({"_suffix", parent})), "level")
-    strength = _strength(level).first()[0]
-    good = _shrunk(level, strength)
-    upper = good + z * F.sqrt(good * (1 - good) / (F.col("n") + strength + 1))
+    good, evidence = _shrunk(_strength(level).first()[0])
+    upper = good + z * F.sqrt(good * (1 - good) / (evidence + 1))
     return staged(level.select(F.col("_host").alias("host"), F.col("n").alias("n_labelled"), good.alias("good"), upper.alias("upper")), "reputation")
 
 
@@ -134,20 +137,21 @@ with urls as (
   select *, left(host, greatest(0, length(host) - length(suffix) - 1)) as front,
     case when front = '' then suffix else split_part(front, '.', -1) || '.' || suffix end as domain from hosts
 ), level1 as (
-  select suffix, sum(n) as n, sum(k) as k, (select (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) from named) as m from named group by suffix
+  select suffix, sum(n) as n, sum(k) as k, (select (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) from named) as m,
+    (select coalesce(sum(n), 0) + 2.0::double from named) as e from named group by suffix
 ), mean1 as (
-  select suffix, (k + s * m) / (n + s) as m from level1, (select {strength("level1")} as s)
+  select suffix, (k + least(s, e) * m) / (n + least(s, e)) as m, n + least(s, e) as e from level1, (select {strength("level1")} as s)
 ), level2 as (
-  select suffix, domain, d.n, d.k, m from (select suffix, domain, sum(n) as n, sum(k) as k from named group by suffix, domain) d join mean1 using (suffix)
+  select suffix, domain, d.n, d.k, m, e from (select suffix, domain, sum(n) as n, sum(k) as k from named group by suffix, domain) d join mean1 using (suffix)
 ), mean2 as (
-  select suffix, domain, (k + s * m) / (n + s) as m from level2, (select {strength("level2")} as s)
+  select suffix, domain, (k + least(s, e) * m) / (n + least(s, e)) as m, n + least(s, e) as e from level2, (select {strength("level2")} as s)
 ), level3 as (
-  select host, n, k, m from named join mean2 using (suffix, domain)
+  select host, n, k, m, e from named join mean2 using (suffix, domain)
 ), mean3 as (
-  select host, n, (k + s * m) / (n + s) as good, s from level3, (select {strength("level3")} as s)
+  select host, (k + least(s, e) * m) / (n + least(s, e)) as good, n + least(s, e) as e from level3, (select {strength("level3")} as s)
 )
 select page_id, host, path, case {rule} end as rule,
-  coalesce(case {verdict} end, case when good + {Z} * sqrt(good * (1 - good) / (n + s + 1)) < {LEAST_GOOD} then 'block' else 'allow' end) as verdict,
+  coalesce(case {verdict} end, case when good + {Z} * sqrt(good * (1 - good) / (e + 1)) < {LEAST_GOOD} then 'block' else 'allow' end) as verdict,
   round(good, 6) as good
 from rows_ join mean3 using (host)"""
 
