@@ -134,7 +134,7 @@ def distinct(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return values, np.searchsorted(row, np.arange(len(at)))
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 4 * CHUNK) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about `most` bytes of text each; a longer single text stays whole."""
     if not batch.num_rows:
         return

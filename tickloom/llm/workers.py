@@ -1,4 +1,4 @@
-"""Make this package importable in Python workers, also where it is not installed there."""
+"""Make this package importable in Python workers, also where it is not installed there, and bound their batches."""
 
 from __future__ import annotations
 
@@ -13,8 +13,16 @@ from pyspark.sql import SparkSession
 PACKAGE = Path(__file__).resolve().parents[1]
 
 
+#: Spark's limit on rows alone lets a batch of very long texts grow without bound.
+BATCH_BYTES = 16 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send the package's sources to all workers with `addPyFile`, once for each session and state of the sources."""
+    """Send the package's sources to all workers with `addPyFile`, once for each session and state of the sources.
+
+    Also holds the session's Arrow batches to BATCH_BYTES (or one row).
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as out:
         for file in sorted([*PACKAGE.rglob("*.py"), *PACKAGE.rglob("*.json")]):
