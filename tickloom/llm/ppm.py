@@ -38,7 +38,7 @@ from tickloom.llm.workers import ship
 ORDER = 5
 START, END, SYMBOLS = 0xFE, 0xFF, 255
 #: Text bytes worked on at once, and counts held by a task before it gives some out.
-AT_ONCE, MOST_HELD = 1 << 20, 1 << 21
+AT_ONCE, MOST_HELD = 1 << 19, 1 << 20
 RUN, WORD = 0, 1
 _TAG, _BYTES = np.uint64(56), np.uint64((1 << 56) - 1)
 
@@ -70,7 +70,7 @@ class Table:
     """A fixed hash table from 64-bit keys (never 0) to their places."""
 
     def __init__(self, keys: np.ndarray) -> None:
-        bits = max(4, int(len(keys) * 2.5).bit_length())
+        bits = max(4, (2 * len(keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys, self.place = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
         left, slot = np.arange(len(keys)), self._slot(keys)
@@ -123,7 +123,7 @@ class Trie:
             place = np.minimum(np.searchsorted(self.edges, lower), max(0, len(self.edges) - 1))
             below[mine] = np.where(self.edges[place] == lower, self.counts[place], 0)
         self.excluded = np.bincount(owner, below, minlength=len(self.nodes))
-        self.direct = np.log10(self.counts / (self.total + self.kinds)[owner])
+        self.direct = np.log10(self.counts / (self.total + self.kinds)[owner]).astype(np.float32)
         return Table(self.edges), Table(self.nodes)
 
     def log10(self, run: np.ndarray) -> np.ndarray:
@@ -231,7 +231,7 @@ class Model:
         return Table(self.words)
 
 
-def train(docs: DataFrame, text_col: str = "text", most_edges: int = 1_500_000, most_words: int = 500_000) -> tuple[Model, DataFrame]:
+def train(docs: DataFrame, text_col: str = "text", most_edges: int = 1_000_000, most_words: int = 500_000) -> tuple[Model, DataFrame]:
     """The model of all `docs`, and the counts of the words (key, n) that it doesn't hold."""
     counts = staged(count(docs, text_col), "counts")
     masks = [F.col("key").bitwiseAND(F.lit((1 << 8 * (o + 1)) - 1)).bitwiseOR(F.lit((o + 1) << 56)) for o in range(ORDER + 1)]
