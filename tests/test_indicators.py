@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import values
 from tickloom.functions.labels import INSUFFICIENT
-from tickloom.layout import over_series
+from tickloom.layout import Layout, over_series
 from tickloom.operators import (
     averages, bands, changes, features, oscillators, signals, star, summary, swings,
 )
@@ -280,3 +280,60 @@ def test_split_pair(spark):
     base, quote = star.split_pair("p")
     row = spark.createDataFrame([("EUR/USD",)], "p string").select(base.alias("b"), quote.alias("q")).first()
     assert (row.b, row.q) == ("EUR", "USD")
+
+
+def wilder(x, n=14):
+    """Row by row."""
+    up = down = None
+    out = []
+    for i, v in enumerate(x):
+        d = 0.0 if i == 0 else v - x[i - 1]
+        gain, loss = max(d, 0.0), max(-d, 0.0)
+        up, down = (gain, loss) if i == 0 else (up + (gain - up) / n, down + (loss - down) / n)
+        out.append(None if i < n - 1 else 100.0 if down == 0 else 100 - 100 / (1 + up / down))
+    return out
+
+
+@pytest.mark.parametrize("layout", [None, Layout(block_rows=64, split=True), Layout(block_rows=4000, split=True)])
+def test_wilder_rsi_keeps_its_value_when_a_series_stops(make_bars, layout):
+    x = walk(40) + [walk(40)[-1]] * 5000
+    got = values(oscillators.rsi_wilder(make_bars(A=x), layout=layout), "rsi")
+    close_to(got, wilder(x))
+    assert got[-1] == pytest.approx(got[39], rel=1e-6) and got[-1] < 99
+
+
+@pytest.mark.parametrize("layout", [None, Layout(block_rows=64, split=True)])
+def test_recursive_means_over_a_long_series(make_bars, layout):
+    x = walk(6000)
+    spans = (3, 26, 500)
+    out = averages.ema(make_bars(A=x, B=x[:100]), spans, layout=layout)
+    for span in spans:
+        close_to(values(out, f"ema_{span}", pair="A"), list(pd.Series(x).ewm(span=span, adjust=False).mean()))
+        close_to(values(out, f"ema_{span}", pair="B"), list(pd.Series(x[:100]).ewm(span=span, adjust=False).mean()))
+
+
+def test_a_value_that_left_the_frame_leaves_no_trace(make_bars):
+    x = [1.0] * 150 + [1e17] + [1.0] * 450
+    out = averages.sma_strict(make_bars(A=x))
+    for n in (20, 50, 200):
+        assert values(out, f"sma_{n}")[150 + n :] == [1.0] * (450 - n + 1)
+
+
+def test_a_mean_does_not_depend_on_the_sizes_beside_it(make_bars):
+    bars = make_bars(A=walk(300))
+    alone = values(averages.technical_ema(bars, (9,)), "ema_9")
+    assert alone == values(averages.technical_ema(bars, (9, 26)), "ema_9") == values(averages.technical_ema(bars, (9, 50, 200)), "ema_9")
+
+
+def test_correlation_mirrors_its_triangle(make_bars):
+    bars = make_bars(A=walk(50, 1), B=walk(50, 2), C=[5.0] * 50)
+    got = {(r.pair_a, r.pair_b): r.corr for r in summary.returns_correlation(bars, ["A", "B", "C"]).collect()}
+    assert len(got) == 9 and got["A", "B"] == got["B", "A"] and got["C", "A"] is None
+    assert got["A", "A"] == pytest.approx(1)
+
+
+def test_calendar_is_clipped(spark):
+    days = spark.sql("SELECT explode(array(DATE'0001-01-01', DATE'2199-12-30', DATE'9999-01-01')) AS date")
+    assert star.date_span(days).count() == 1
+    days = spark.sql("SELECT explode(array(DATE'2019-12-30', DATE'2021-01-02')) AS date")
+    assert [str(r.date) for r in star.date_span(days).orderBy("date").collect()][::366] == ["2019-12-30", "2020-12-30"]

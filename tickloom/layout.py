@@ -24,10 +24,14 @@ BLOCK_ROWS = 1 << 14
 
 @dataclass(frozen=True)
 class SeriesWindow:
-    """The window of one series (or of one block of it) in time order."""
+    """The window of one series (or of one block of it) in time order.
+
+    ``block`` is the number of own rows of a block; None where a series is whole.
+    """
 
     by: tuple
     order: str
+    block: int | None = None
 
     @property
     def spec(self):
@@ -36,14 +40,6 @@ class SeriesWindow:
     def rows(self, first, last):
         return self.spec.rowsBetween(first, last)
 
-    def chunked(self, chunk):
-        """Two windows over the same sort order: rows within their chunk, and all rows.
-
-        ``chunk`` must not decrease along the series.
-        """
-        inside = Window.partitionBy(*self.by, chunk).orderBy(self.order)
-        return inside, Window.partitionBy(*self.by).orderBy(chunk, self.order)
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -58,14 +54,12 @@ class Layout:
         return SeriesWindow((self.key, *extra), self.order)
 
 
-def layout_of(bars, key="pair", order="date", step=None, block_rows=BLOCK_ROWS):
-    """Choose the layout from the type of the order column."""
+def layout_of(bars, key="pair", order="date", step=None, block_rows=BLOCK_ROWS, split=None):
+    """Choose the layout from the type of the order column; ``split`` overrides it for daily bars."""
     daily = isinstance(bars.schema[order].dataType, T.DateType)
-    if daily and block_rows == BLOCK_ROWS:
-        return Layout(key, order)
     if not daily and not step:
         raise ValueError("an intraday series needs step=, the seconds between its bars")
-    return Layout(key, order, None if daily else step, block_rows, True)
+    return Layout(key, order, None if daily else step, block_rows, not daily if split is None else split)
 
 
 def _slot(layout):
@@ -137,7 +131,8 @@ def over_series(bars, build, back=0, ahead=0, layout=None, pos=False, total=None
     spread = rows.select("*", F.inline(F.array_compact(F.array(*homes))))
     # One exchange by block serves all windows below, also those by block and chunk.
     spread = spread.repartition(layout.key, "_blk")
-    return build(spread, layout.window("_blk")).filter("_own").drop("_blk", "_own", "_pos")
+    window = replace(layout.window("_blk"), block=size)
+    return build(spread, window).filter("_own").drop("_blk", "_own", "_pos")
 
 
 def over_prefix(bars, build, summaries, carry, layout=None):

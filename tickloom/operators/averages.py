@@ -31,61 +31,50 @@ def strict(aggregate, c, w, n):
     return F.when(full, aggregate(as_col(c)).over(frame))
 
 
-# Spark adds a sliding frame up anew for every row.  Beyond this many rows a mean is
-# taken from running sums instead, at constant work per row; shorter frames join in
-# unless they are so much shorter that the difference of sums would lose digits.
-LONG_FRAME = 40
-MAX_RATIO = 16
-
-
 def add_means(df, w, means, full=False):
     """Add means over the last n rows: name -> (column, n).
 
-    With ``full`` a mean is NULL until its frame holds n values.  Frames longer than
-    LONG_FRAME need ``_pos`` on the rows.
+    Spark adds a sliding frame up anew for every row.  Here sums over 1, 2, 4, 8 ... rows
+    are each two sums of half the length, and a frame is the sum of the lengths its size
+    is made of: a handful of lags for any size, all in one sort order, and additions only,
+    so a value that has left the frame leaves no trace.  A mean depends on its own size
+    alone.  With ``full`` a mean is NULL until its frame holds n values.
     """
-    longest = max(n for _, n in means.values())
-    by_sums = longest > LONG_FRAME
-    long = {k: (c, n) for k, (c, n) in means.items() if by_sums and n * MAX_RATIO >= longest}
-    short = {k: m for k, m in means.items() if k not in long}
-    if short:
-        df = df.withColumns(
-            {
-                k: strict(F.avg, c, w, n) if full else rolling_mean(c, w, n)
-                for k, (c, n) in short.items()
-            }
-        )
-    return _add_long_means(df, w, long, full) if long else df
-
-
-def _add_long_means(df, w, means, full):
-    """Running sums that restart every ``size`` rows, so that they stay of the frame's
-    magnitude: sum of a frame = running sum here - running sum n rows ago, plus the total
-    of the chunk before where the frame starts in it."""
-    size = max(n for _, n in means.values())
-    inside, along = w.chunked("_chunk")
-    inside = inside.rowsBetween(Window.unboundedPreceding, 0)
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    columns = sorted({c for c, _ in means.values()})
-    df = df.withColumns({"_chunk": F.floor(F.col("_pos") / size), "_j": F.col("_pos") % size})
-    running = {}
-    for c in columns:
-        running[f"_sum_{c}"] = F.coalesce(F.sum(c).over(inside), F.lit(0.0))
-        running[f"_num_{c}"] = F.count(c).over(inside)
-    df = df.withColumns(running)
-
-    def in_frame(r, n):
-        before = F.last(F.when(F.col("_j") == size - 1, F.col(r)), ignorenulls=True).over(earlier)
-        crossing = F.when(F.col("_j") < n, before)
-        gone = F.lag(r, n).over(along)
-        return F.col(r) + F.coalesce(crossing, F.lit(0)) - F.coalesce(gone, F.lit(0))
-
-    def mean(c, n):
-        total, count = in_frame(f"_sum_{c}", n), in_frame(f"_num_{c}", n)
-        return F.when(count == n if full else count > 0, total / count)
-
-    added = df.withColumns({k: mean(c, n) for k, (c, n) in means.items()})
-    return added.drop("_chunk", "_j", *running)
+    held = []
+    for c in sorted({c for c, _ in means.values()}):
+        sizes = {k: n for k, (of, n) in means.items() if of == c}
+        for kind, one in (("sum", F.coalesce(as_col(c).cast("double"), F.lit(0.0))), ("num", as_col(c).isNotNull().cast("int"))):
+            name = f"_{kind}_{c}"
+            df = df.withColumn(f"{name}_1", one)
+            held.append(f"{name}_1")
+            length = 1
+            while 2 * length <= max(sizes.values()):
+                df = df.withColumn(f"{name}_{2 * length}", F.col(f"{name}_{length}") + _rows_ago(f"{name}_{length}", length, w))
+                length *= 2
+                held.append(f"{name}_{length}")
+            df = df.withColumns({f"_{kind}_of_{k}": _frame(name, n, w) for k, n in sizes.items()})
+            held += [f"_{kind}_of_{k}" for k in sizes]
+
+    def mean(k, n):
+        count = F.col(f"_num_of_{k}")
+        return F.when(count == n if full else count > 0, F.col(f"_sum_of_{k}") / count)
+
+    return df.withColumns({k: mean(k, n) for k, (_, n) in means.items()}).drop(*held)
+
+
+def _rows_ago(c, n, w):
+    return F.coalesce(F.lag(c, n).over(w.spec), F.lit(0)) if n else F.col(c)
+
+
+def _frame(name, n, w):
+    """The sum of the last n rows from sums over the powers of two in n, longest first."""
+    total, behind = None, 0
+    for bit in range(n.bit_length() - 1, -1, -1):
+        if n >> bit & 1:
+            part = _rows_ago(f"{name}_{1 << bit}", behind, w)
+            total = part if total is None else total + part
+            behind += 1 << bit
+    return total
 
 
 def moving_averages(bars, sizes=(7, 30, 90), layout=None):
@@ -131,68 +120,84 @@ def technical_ema(bars, sizes=(9, 22, 50), layout=None):
 
 # --- recursive means -------------------------------------------------------
 #
-# Unrolled, y_t = sum_i a * b^i * x_(t-i) with b = 1 - a, and the first row of the
-# series weighs 1 instead of a.  Beyond `memory(a)` rows b^i is below 2^-128, which
-# no double keeps next to a value of comparable size, so the recursion is a frame of
-# bounded reach and distributes like any other.  It is summed in chunks of that
-# length: a running sum of x_i / b^i restarts with each chunk, which keeps the powers
-# inside double range, and the chunk before hands over its last value.  Work per row
-# is constant whatever the span.
+# y_i = a * x_i + (1 - a) * y_(i-1) is summed in chunks: inside a chunk, a running sum of
+# x_j / b^j (b = 1 - a) that restarts before the powers leave double range; then the ends
+# of the chunks before are handed on.  One chunk spans some e^-500, so three ends reach
+# below the smallest double, and nothing a recursion row by row would still hold is lost.
+# A series in blocks does the same once more over the ends of its blocks, one row each.
 
-_FORGOTTEN = 128 * math.log(2)
-_SAFE_POWER = 600.0  # b^-i stays below e^600, well inside double range
+_SAFE = 500.0  # powers stay below e^500
+_RANGE = 745.0  # e^-745 is zero in double precision
+_ALIKE = 4.0  # rates that far apart still share their chunks, and so their sort
 
 
 def alpha_of_span(n):
     return 2.0 / (n + 1)
 
 
-def memory(alpha):
-    """Rows after which a value no longer changes a recursive mean in double precision."""
-    return 1 if alpha >= 1 else math.ceil(_FORGOTTEN / -math.log1p(-alpha))
-
+def linear_recurrence(df, by, order, place, terms):
+    """Add y_i = term_i + e^-rate * y_(i-1), y before the first row 0: name -> (term, rate).
 
-def reach(*alphas):
-    """Rows behind a row that its recursive mean reads."""
-    return max(map(memory, alphas))
+    ``place`` numbers the rows of a partition ``by`` without gaps, in the order of ``order``.
+    """
+    groups = []
+    for name, (term, rate) in sorted(terms.items(), key=lambda t: -t[1][1]):
+        if groups and groups[-1][0] <= _ALIKE * rate:
+            groups[-1][1][name] = (term, rate)
+        else:
+            groups.append((rate, {name: (term, rate)}))
+    for fastest, members in groups:
+        size = max(1, int(_SAFE / fastest))
+        df = df.withColumns({"_chunk": F.floor(F.col(place) / size), "_j": F.pmod(F.col(place), F.lit(size))})
+        inside = Window.partitionBy(*by, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        before = Window.partitionBy(*by).orderBy("_chunk", order).rowsBetween(Window.unboundedPreceding, -1)
+        last = F.col("_j") == size - 1
+        df = df.withColumns(
+            {n: F.sum(term * F.exp(rate * F.col("_j"))).over(inside) * F.exp(-rate * F.col("_j")) for n, (term, rate) in members.items()}
+        )
+        ends = {n: F.when(last, F.col(n)) for n in members}
+        rounds = {n: math.ceil(_RANGE / (rate * size)) for n, (_, rate) in members.items()}
+        for k in range(max(rounds.values()) + 1):
+            df = df.withColumns({f"_end_{n}": e for n, e in ends.items()})
+            handed = {n: F.coalesce(F.last(f"_end_{n}", ignorenulls=True).over(before), F.lit(0.0)) for n in members}
+            ends = {
+                n: F.when(last, F.col(n) + math.exp(-rate * size) * handed[n]) if k < rounds[n] else F.col(f"_end_{n}")
+                for n, (_, rate) in members.items()
+            }
+        df = df.withColumns({n: F.col(n) + handed[n] * F.exp(-rate * (F.col("_j") + 1)) for n, (_, rate) in members.items()})
+        df = df.drop("_chunk", "_j", *[f"_end_{n}" for n in members])
+    return df
 
 
 def recursive_means(df, w, means):
     """Add recursive means: name -> (column, alpha).  Needs ``_pos`` on the rows.
 
-    Means whose speeds are close share their chunks and so their sort.  Inputs must not
-    be NULL (forward-fill first).
+    Inputs must not be NULL (forward-fill first).  In a series cut into blocks, a block's
+    rows, and the one row copied from before it, get the values of the uncut series.
     """
     copies = {n: as_col(c) for n, (c, a) in means.items() if a >= 1}
     df = df.withColumns(copies) if copies else df
     means = {n: m for n, m in means.items() if n not in copies}
-    groups = []
-    for name, (c, a) in sorted(means.items(), key=lambda m: m[1][1]):
-        if groups and -math.log1p(-a) * groups[-1][0] < _SAFE_POWER:
-            groups[-1][1][name] = (c, a)
-        else:
-            groups.append((memory(a), {name: (c, a)}))
-    for size, members in groups:
-        df = _chunked_means(df, w, size, members)
-    return df
-
-
-def _chunked_means(df, w, size, means):
-    df = df.withColumns({"_chunk": F.floor(F.col("_pos") / size), "_j": F.col("_pos") % size})
-    inside, along = w.chunked("_chunk")
-    local, full = {}, {}
-    for n, (c, a) in means.items():
-        weight = F.when(F.col("_pos") == 0, 1.0).otherwise(a)
-        scaled = as_col(c) * weight * F.pow(F.lit(1 - a), -F.col("_j"))
-        local[n] = F.sum(scaled).over(inside.rowsBetween(Window.unboundedPreceding, 0)) * F.pow(
-            F.lit(1 - a), F.col("_j")
-        )
-        ends = F.when(F.col("_j") == size - 1, F.col(n))
-        carry = F.last(ends, ignorenulls=True).over(
-            along.rowsBetween(Window.unboundedPreceding, -1)
-        )
-        full[n] = F.col(n) + F.coalesce(carry, F.lit(0.0)) * F.pow(F.lit(1 - a), F.col("_j") + 1)
-    return df.withColumns(local).withColumns(full).drop("_chunk", "_j")
+    if not means:
+        return df
+    terms = {
+        n: (as_col(c) * F.when(F.col("_pos") == 0, 1.0).otherwise(a), -math.log1p(-a)) for n, (c, a) in means.items()
+    }
+    if w.block is None:
+        return linear_recurrence(df, w.by, w.order, "_pos", terms)
+    own = {n: (F.when(F.col("_own"), term).otherwise(0.0), rate) for n, (term, rate) in terms.items()}
+    df = df.withColumn("_at", F.col("_pos") - F.col("_blk") * w.block)
+    df = linear_recurrence(df, w.by, w.order, "_at", own)
+    ends = df.filter("_own").groupBy(*w.by).agg(*[F.max_by(n, "_at").alias(f"_last_{n}") for n in terms])
+    series = [k for k in w.by if k != "_blk"]
+    whole = linear_recurrence(
+        ends, series, "_blk", "_blk", {f"_y_{n}": (F.col(f"_last_{n}"), rate * w.block) for n, (_, rate) in terms.items()}
+    )
+    along = Window.partitionBy(*series).orderBy("_blk")
+    handed = whole.select(*w.by, *[F.coalesce(F.lag(f"_y_{n}").over(along), F.lit(0.0)).alias(f"_from_{n}") for n in terms])
+    df = df.join(handed, list(w.by))
+    full = {n: F.col(n) + F.col(f"_from_{n}") * F.exp(-rate * (F.col("_at") + 1)) for n, (_, rate) in terms.items()}
+    return df.withColumns(full).drop("_at", *[f"_from_{n}" for n in terms])
 
 
 def ema(bars, spans=(12, 26), c="close", warm_up=False, layout=None):
@@ -203,7 +208,7 @@ def ema(bars, spans=(12, 26), c="close", warm_up=False, layout=None):
         df = recursive_means(df, w, {f"ema_{n}": (c, a) for n, a in alphas.items()})
         return warm(df, spans) if warm_up else df
 
-    return over_series(bars, build, reach(*alphas.values()), layout=layout, pos=True)
+    return over_series(bars, build, layout=layout, pos=True)
 
 
 def warm(df, spans):

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F, types as T
 
 from tickloom.functions import candles, dates
 from tickloom.layout import layout_of, numbered, over_series
-from tickloom.operators.averages import alpha_of_span, reach
 from tickloom.operators.bands import add_bollinger, add_rolling_features
 from tickloom.operators.oscillators import add_macd_warm, add_rsi_wilder, add_stochastic
 
@@ -42,7 +41,7 @@ def target_up(df, w):
 def ml_features(bars, layout=None):
     """All features and the target, without rows that miss any value.
 
-    One shuffle: every frame is bounded, the recursive ones by their memory.
+    One shuffle of the rows: frames are at most 20 rows, and recursive means hand on one row per block.
     """
 
     def build(df, w):
@@ -54,8 +53,7 @@ def ml_features(bars, layout=None):
         df = add_rolling_features(df, w)
         return target_up(_add_patterns(df, w), w)
 
-    back = max(reach(1 / 14), reach(alpha_of_span(26), alpha_of_span(12))) + 1
-    rows = over_series(candle_geometry(bars), build, back, 1, layout, pos=True)
+    rows = over_series(candle_geometry(bars), build, 20, 1, layout, pos=True)
     rows = rows.withColumns(
         {
             "hour": F.hour(F.col("date").cast("timestamp")),

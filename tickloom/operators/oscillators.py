@@ -8,7 +8,6 @@ from tickloom.operators.averages import (
     add_one_step_emas,
     alpha_of_span,
     last_rows,
-    reach,
     recursive_means,
     rolling_mean,
     strict,
@@ -71,7 +70,7 @@ def rsi_strict(bars, n=14, layout=None):
 
 def rsi_wilder(bars, n=14, layout=None):
     return over_series(
-        bars, lambda df, w: add_rsi_wilder(df, w, n), reach(1 / n) + 1, layout=layout, pos=True
+        bars, lambda df, w: add_rsi_wilder(df, w, n), back=1, layout=layout, pos=True
     )
 
 
@@ -114,15 +113,10 @@ def add_macd_recursive(df, w, fast=12, slow=26, signal=9):
     return df.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
 
 
-def macd_reach(fast=12, slow=26, signal=9):
-    return reach(alpha_of_span(fast), alpha_of_span(slow)) + reach(alpha_of_span(signal))
-
-
 def macd(bars, fast=12, slow=26, signal=9, layout=None):
     return over_series(
         bars,
         lambda df, w: add_macd_recursive(df, w, fast, slow, signal),
-        macd_reach(fast, slow, signal),
         layout=layout,
         pos=True,
     )

@@ -6,7 +6,7 @@ from tickloom.functions import labels
 from tickloom.layout import over_series
 from tickloom.operators.averages import add_means
 from tickloom.operators.bands import add_bollinger
-from tickloom.operators.oscillators import add_macd_recursive, add_rsi_strict, macd_reach
+from tickloom.operators.oscillators import add_macd_recursive, add_rsi_strict
 from tickloom.operators.select import latest_per_pair
 
 STATES = ("moving_average", "rsi", "macd", "bollinger")
@@ -60,7 +60,7 @@ def signal_states(bars, within=None, layout=None):
             *([c for c in df.columns if c in ("_own", "_blk", "_pos")]),
         ).withColumnRenamed("_macd_state", "macd")
 
-    states = over_series(bars, build, macd_reach() + 1, layout=layout, pos=True)
+    states = over_series(bars, build, back=201, layout=layout, pos=True)
     if within is not None:
         held = bars.filter(within).groupBy("pair").agg(F.count(F.lit(1)).alias("rows"))
         newest = latest_per_pair(states.filter(within).drop("rows")).join(held, "pair")

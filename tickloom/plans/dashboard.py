@@ -11,7 +11,7 @@ from tickloom.layout import over_series
 from tickloom.operators.averages import add_means
 from tickloom.operators.bands import add_bollinger
 from tickloom.operators.bars import with_changes
-from tickloom.operators.oscillators import add_macd_recursive, add_rsi_strict, macd_reach
+from tickloom.operators.oscillators import add_macd_recursive, add_rsi_strict
 
 RETURN_ROWS = {"weekly_return": 5, "monthly_return": 20}
 
@@ -29,7 +29,7 @@ def add_indicators(bars, layout=None):
 
         return df.withColumns({k: n_row_return(n) for k, n in RETURN_ROWS.items()})
 
-    return with_changes(over_series(bars, build, macd_reach(), layout=layout, pos=True))
+    return with_changes(over_series(bars, build, back=200, layout=layout, pos=True))
 
 
 def price_panel(bars, within, layout=None):
