@@ -146,7 +146,7 @@ def test_month_table(spark, make_bars, tmp_path):
     before = {p: os.listdir(f"{path}/{p}") for p in os.listdir(path) if p.startswith("month=")}
     for _ in range(2):
         upkeep.upsert_months(spark, path, make_bars(A=[7.0], B=[8.0]))
-    after = upkeep.read_months(spark, path, BARS)
+    after = upkeep.read_months(spark, path, target.schema)
     assert after.count() == 61 and values(after, "close", pair="A")[0] == 7.0
     assert os.listdir(f"{path}/month=2020-02") == before["month=2020-02"]
 
@@ -238,3 +238,79 @@ def test_stream_upsert(spark, make_bars, tmp_path):
     for closes in ([1.0, 2.0], [9.0]):
         jobs.stream_upsert(stream(spark, make_bars(A=closes), source), table, state).awaitTermination()
     assert values(upkeep.read_months(spark, table, BARS), "close") == [9.0, 2.0]
+
+
+NULLABLE = "pair string, date date, open double, high double, low double, close double"
+
+
+def null_keyed(spark, rows):
+    return spark.createDataFrame([(p, d and dt.date.fromisoformat(d), v, v, v, v) for p, d, v in rows], NULLABLE)
+
+
+def folders(spark, label):
+    from tickloom.session import scratch_root
+
+    root = scratch_root(spark).removeprefix("file://")
+    return [x for x in os.listdir(root) if x.startswith(f"tickloom-{label}")] if os.path.isdir(root) else []
+
+
+def test_upsert_loses_no_null_keys(spark, tmp_path):
+    path = str(tmp_path / "table")
+    target = null_keyed(spark, [("A", None, 1.0), ("A", "2020-01-01", 2.0), (None, "2020-01-02", 3.0), ("C", None, 9.0)])
+    upkeep.write_by_month(target, path)
+    before = {k: folders(spark, k) for k in ("updates", "staged")}
+    fresh = null_keyed(spark, [("B", None, 4.0), (None, "2020-01-02", 5.0), ("A", "2020-01-01", 6.0), ("C", None, 7.0), ("C", None, 8.0)])
+    upkeep.upsert_months(spark, path, fresh)
+    got = sorted((str(r.pair), str(r.date), r.close) for r in upkeep.read_months(spark, path, target.schema).collect())
+    assert got == [("A", "2020-01-01", 6.0), ("A", "None", 1.0), ("B", "None", 4.0), ("C", "None", 8.0), ("None", "2020-01-02", 5.0)]
+    assert {k: folders(spark, k) for k in before} == before
+
+
+def test_upsert_sorts_no_target_rows(spark):
+    rows = null_keyed(spark, [("A", "2020-01-01", 1.0)])
+    plan = upkeep.upsert(rows, rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortAggregate") <= 2  # of the updates alone
+
+
+def test_hot_pair_is_spread(spark):
+    """Most rows in one pair, no broadcast: salted marks deal them to several tasks."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        rows = spark.range(4000).select(F.when(F.col("id") % 10 < 7, "HOT").otherwise(F.concat(F.lit("P"), F.col("id"))).alias("pair"), F.col("id").cast("double").alias("v"))
+        marks = rows.groupBy("pair").agg(F.max("v").alias("top"))
+        joined = select.with_marks(rows, marks, "pair")
+        spread = joined.filter("pair = 'HOT'").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in spread) == 2800 and len(spread) >= 6 and max(r["count"] for r in spread) < 1200
+        assert joined.count() == 4000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_quotes_with_equal_times(spark):
+    from tickloom.operators import bars as bar_ops
+
+    t = dt.datetime(2024, 1, 1, 10, 5)
+    rows = spark.createDataFrame([(3, "A", t, 30.0), (1, "A", t, 10.0), (2, "A", t, 20.0)], "event_id long, pair string, ts timestamp, price double")
+    r = bar_ops.ohlc_bars(rows, 3600, tie="event_id").first()
+    assert (r.open, r.close, r.high, r.low) == (10.0, 30.0, 30.0, 10.0)
+    plan = bar_ops.ohlc_bars(rows, 3600, tie="event_id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_quoted_cells(spark, tmp_path):
+    write(tmp_path, "historical_EUR_USD.csv", 'date,note,open,high,low,close\n2024-01-02,"a, ""b"" c",1,2,0.5,"1.5"\n')
+    good, bad = csv_files.read_bars_csv(spark, f"{tmp_path}/historical_*.csv")
+    assert [(r.open, r.close) for r in good.collect()] == [(1.0, 1.5)] and bad.count() == 0
+
+
+def test_schemas(spark):
+    upkeep.use_schema(spark, "tickloom_test")
+    try:
+        assert spark.catalog.currentDatabase() == "tickloom_test"
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+        spark.sql("DROP SCHEMA tickloom_test")

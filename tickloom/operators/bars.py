@@ -9,11 +9,11 @@ def build_bars(ticks, keys=("pair", "date"), price="price", order="k", average=N
     """Open, high, low and close of each group of ticks.
 
     One hash aggregate with a map-side half, so a group holding a third of all
-    ticks reaches its reducer as one row per map task.  ``order`` ranks the ticks
-    inside a bar; several columns are compared left to right and should make the
-    rank unique.
+    ticks reaches its reducer as one row per map task.  ``order`` is one column or
+    expression of fixed width that ranks the ticks inside a bar (see ``one_rank``);
+    it should be unique there.
     """
-    rank = F.col(order) if isinstance(order, str) else F.struct(*order)
+    rank = F.col(order) if isinstance(order, str) else order
     aggs = [
         F.min_by(price, rank).alias("open"),
         F.max(price).alias("high"),
@@ -25,11 +25,31 @@ def build_bars(ticks, keys=("pair", "date"), price="price", order="k", average=N
     return ticks.groupBy(*keys).agg(*aggs)
 
 
-def ohlc_bars(quotes, width, ts="ts", keys=("pair",), price="price", average="avg_rate"):
-    """Bars of ``width`` seconds; the bar time is the start of its slot."""
+def one_rank(first, second, digits=20):
+    """Two whole numbers as one that sorts by the first, then the second (of at most ``digits`` digits).
+
+    A decimal is of fixed width, so min_by and max_by over it stay hash aggregates; over a
+    struct Spark would sort all rows.
+    """
+    shift = F.lit(str(10**digits)).cast("decimal(38,0)")
+    return (F.col(first) if isinstance(first, str) else first).cast("decimal(38,0)") * shift + (
+        F.col(second) if isinstance(second, str) else second
+    ).cast("decimal(38,0)")
+
+
+def time_rank(ts, tie=None):
+    """Order of quotes inside a bar: by time, then by the column ``tie`` if there is one."""
+    if tie is None:
+        return F.col(ts)
+    return one_rank(F.unix_micros(F.col(ts).cast("timestamp")), F.col(tie))
+
+
+def ohlc_bars(quotes, width, ts="ts", keys=("pair",), price="price", average="avg_rate", tie=None):
+    """Bars of ``width`` seconds; the bar time is the start of its slot, ``tie`` orders equal times."""
     start = F.timestamp_seconds(F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / width) * width)
     slotted = quotes.withColumn("date", start)
-    return build_bars(slotted, (*keys, "date"), price, ts, average)
+    ranked = slotted.withColumn("_rank", time_rank(ts, tie))
+    return build_bars(ranked, (*keys, "date"), price, "_rank", average)
 
 
 def with_changes(bars):

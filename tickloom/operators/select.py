@@ -47,6 +47,21 @@ def newest(rows, n, order="date", key="pair"):
     return rows.orderBy(F.col(order).desc(), F.col(key)).limit(n)
 
 
+SALTS = 16
+
+
+def with_marks(rows, marks, key, how="inner"):
+    """Join rows to one row of ``marks`` per key, where one key may hold most rows.
+
+    Spark can't split a join side whose other side is an aggregate of the same key.  So the
+    marks are repeated per salt and joined by key and salt: a hot key's rows meet in SALTS
+    tasks, and the planner may still broadcast marks that are small.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    return salted.join(marks.select("*", salts), [key, "_salt"], how).drop("_salt")
+
+
 def slice_or_tail(rows, start, end, min_rows=5, tail=30, key="pair", order="date"):
     """Rows in the range, or a series' newest ``tail`` rows if the range holds too few.
 
@@ -55,10 +70,10 @@ def slice_or_tail(rows, start, end, min_rows=5, tail=30, key="pair", order="date
     """
     inside = F.col(order).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     counts = rows.groupBy(key).agg(F.count_if(inside).alias("_inside"))
+    marked = with_marks(rows, counts, key)
     enough = F.col("_inside") >= min_rows
-    ranged = rows.filter(inside).join(counts.filter(enough).select(key), key, "left_semi")
-    short = rows.join(counts.filter(~enough).select(key), key, "left_semi")
-    return ranged.unionByName(last_n(short, tail, key, order))
+    short = last_n(marked.filter(~enough), tail, key, order)
+    return marked.filter(inside & enough).unionByName(short).select(*rows.columns)
 
 
 def select_pairs(rows, pairs):
@@ -66,4 +81,5 @@ def select_pairs(rows, pairs):
 
 
 def order_for_output(rows):
+    """Newest date first, instruments by name."""
     return rows.orderBy(F.col("date").desc(), F.col("pair"))

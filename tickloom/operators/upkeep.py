@@ -4,17 +4,21 @@ Plain Parquet has no MERGE, so an upsert is a merge of two DataFrames; writing i
 back replaces only the month partitions the updates touch.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F, types as T
 
 from tickloom.functions import dates
-from tickloom.session import stored
+from tickloom.operators.select import with_marks
+from tickloom.session import discard, stored
 
 KEYS = ("date", "pair")
 
 
 def audited(rows, ts_col="updated_at", run_ts=None):
     """One audit time per run, not per row."""
-    return rows.withColumn(ts_col, F.lit(run_ts) if run_ts else F.current_timestamp())
+    return rows.withColumn(ts_col, F.current_timestamp() if run_ts is None else F.lit(run_ts))
 
 
 def newest_copy(rows, keys=KEYS, rank=()):
@@ -28,19 +32,29 @@ def newest_copy(rows, keys=KEYS, rank=()):
     return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in order])
 
 
+def _without(rows, others, keys):
+    """``rows`` whose key is not among the keys of ``others``; a NULL in a key is a value like any other."""
+    found = others.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    match = reduce(and_, [rows[k].eqNullSafe(found[f"_{k}"]) for k in keys])
+    return rows.join(found, match, "left_anti")
+
+
 def upsert(target, updates, keys=KEYS, ts_col=None, run_ts=None):
-    """Updates win over the target; keys only on one side are kept."""
+    """Updates win over the target; keys only on one side are kept, also those with a NULL.
+
+    Only the updates are reduced to one row per key; target rows are kept as they are.
+    """
+    newest = newest_copy(updates, keys)
     if ts_col:
-        updates = audited(updates, ts_col, run_ts)
-    both = target.withColumn("_src", F.lit(0)).unionByName(updates.withColumn("_src", F.lit(1)))
-    return newest_copy(both, keys, ["_src"]).select(*target.columns)
+        newest = audited(newest, ts_col, run_ts)
+    columns = target.columns
+    return _without(target, newest, keys).unionByName(newest.select(*columns))
 
 
 def insert_missing(target, updates, keys=KEYS):
     """Add updates whose key the target lacks; existing rows stay as they are."""
     one_each = newest_copy(updates, keys)
-    fresh = one_each.select(*target.columns).join(target, list(keys), "left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+    return target.unionByName(_without(one_each.select(*target.columns), target, keys))
 
 
 def high_water_marks(target):
@@ -52,10 +66,9 @@ def incremental_slice(source, target, as_of, default_days=30):
 
     Instruments the target lacks start ``default_days`` before ``as_of``.
     """
-    marks = high_water_marks(target)
     default = F.date_sub(as_of, default_days)
-    joined = source.join(marks, "pair", "left")
-    return joined.filter(F.col("date") > F.coalesce("high_water_mark", default)).drop("high_water_mark")
+    marked = with_marks(source, high_water_marks(target), "pair", "left")
+    return marked.filter(F.col("date") > F.coalesce("high_water_mark", default)).drop("high_water_mark")
 
 
 def append(rows, path):
@@ -82,19 +95,25 @@ def read_months(spark, path, schema):
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("month", T.StringType())])).parquet(path)
 
 
-def upsert_months(spark, path, updates, keys=KEYS):
-    """Merge ``updates`` into the month-partitioned table at ``path``.
+def upsert_months(spark, path, updates, keys=KEYS, ts_col=None, run_ts=None):
+    """Merge ``updates`` into the month-partitioned table at ``path``; nothing is lost, NULL dates neither.
 
-    Only touched months are read and rewritten; their names are few (the calendar
-    bounds them) and come to the driver so that the scan prunes its partitions.  The
-    merged rows are staged first, as the files being read must not be overwritten, and
-    a repeat after a failure gives the same table.
+    The updates are stored first, so what made them runs once.  Only touched months are
+    read and rewritten: the scan is joined with the distinct months of the updates, which
+    prunes its partitions at run time.  The merged rows are staged, as the files being read
+    must not be overwritten, and both stored copies are deleted after the write.  A repeat
+    after a failure gives the same table.
     """
-    months = updates.select(dates.month_key("date").alias("month")).distinct()
-    touched = [r.month for r in months.collect()]
-    current = read_months(spark, path, updates.schema).filter(F.col("month").isin(touched))
-    merged = upsert(current.select(*updates.columns), updates, keys)
-    write_by_month(stored(merged, "staged"), path)
+    if ts_col:
+        updates = audited(updates, ts_col, run_ts)
+    changes, changes_path = stored(updates, "updates")
+    months = changes.select(dates.month_key("date").alias("_month")).distinct()
+    table = read_months(spark, path, updates.schema)
+    current = table.join(months, F.col("month").eqNullSafe(F.col("_month")), "left_semi")
+    merged, merged_path = stored(upsert(current.select(*updates.columns), changes, keys), "staged")
+    write_by_month(merged, path)
+    discard(changes_path)
+    discard(merged_path)
 
 
 def list_tables(spark, database=None):

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from tickloom.layout import layout_of, numbered, Layout
-from tickloom.operators.bars import build_bars, fact_daily_rates, ohlc_bars
+from tickloom.operators.bars import build_bars, fact_daily_rates, ohlc_bars, one_rank
 from tickloom.schema import OHLC
+from tickloom.session import stored
 
 # The instrument dimension, and the legs of the cross rate.
 PAIRS = (
@@ -40,6 +41,30 @@ def fact(spark, sf_dir):
     return fact_daily_rates(bars(spark, sf_dir))
 
 
+def stored_bars(spark, sf_dir):
+    """The bars, written once: for analyses that read them several times."""
+    return stored(bars(spark, sf_dir), "bars")[0]
+
+
+def stored_fact(spark, sf_dir):
+    return stored(fact(spark, sf_dir), "fact")[0]
+
+
+def flat_tail_bars(spark, sf_dir, rows=3000):
+    """Every series followed by ``rows`` days at its last close."""
+    seen = bars(spark, sf_dir).select("pair", "date", "close")
+    last = seen.groupBy("pair").agg(F.max("date").alias("d"), F.max_by("close", "date").alias("close"))
+    days = F.explode(F.sequence(F.lit(1), F.lit(rows)))
+    return seen.unionByName(last.select("pair", days.alias("i"), "d", "close").select("pair", F.date_add("d", F.col("i")).alias("date"), "close"))
+
+
+def spiked_bars(spark, sf_dir):
+    """Small closes with a very large one every 97 rows."""
+    rows = counted_bars(spark, sf_dir)
+    close = F.when(every(97), 1e15).otherwise(F.floor(F.col("close") / 1000))
+    return rows.withColumn("close", close.cast("double")).drop("rn")
+
+
 def supplier_bars(spark, sf_dir):
     """Daily bars of many instruments: one per supplier."""
     lines = table(spark, sf_dir, "lineitem").select(
@@ -49,7 +74,9 @@ def supplier_bars(spark, sf_dir):
         "l_orderkey",
         "l_linenumber",
     )
-    return build_bars(lines, order=("l_orderkey", "l_linenumber", "price"))
+    line = F.col("l_orderkey").cast("decimal(38,0)") * 16 + F.col("l_linenumber")
+    # Lines are not unique: the price, to a millionth, settles equal ones.
+    return build_bars(lines, order=one_rank(line, F.col("price").cast("decimal(18,6)") * 1000000, 18))
 
 
 def ticks(spark, sf_dir):
@@ -59,7 +86,7 @@ def ticks(spark, sf_dir):
 
 
 def hourly_bars(spark, sf_dir):
-    return ohlc_bars(ticks(spark, sf_dir), HOUR)
+    return ohlc_bars(ticks(spark, sf_dir), HOUR, tie="event_id")
 
 
 def counted_bars(spark, sf_dir):
@@ -146,6 +173,17 @@ SQL_VIEWS = {
         CASE WHEN rn % 83 = 0 THEN high + 1 ELSE close END AS close FROM counted""",
     "dirty": """SELECT * EXCLUDE rn FROM spoiled
         UNION ALL SELECT * EXCLUDE rn FROM spoiled WHERE rn % 71 = 0""",
+    "spiked": "SELECT * EXCLUDE rn REPLACE (CASE WHEN rn % 97 = 0 THEN 1e15 ELSE floor(close / 1000) END AS close) FROM counted",
+    "flat_tail": """SELECT pair, date, close FROM bars UNION ALL
+        SELECT pair, CAST(d + i * INTERVAL 1 DAY AS DATE) AS date, close
+        FROM (SELECT pair, max(date) AS d, arg_max(close, date) AS close FROM bars GROUP BY 1), range(1, 3001) AS t(i)""",
+    "tail_moves": """SELECT *, coalesce(greatest(close - p, 0), 0) AS gain, coalesce(greatest(p - close, 0), 0) AS loss
+        FROM (SELECT *, lag(close) OVER w AS p, row_number() OVER w AS rn FROM flat_tail
+              WINDOW w AS (PARTITION BY pair ORDER BY date))""",
+    "tail_run": """SELECT pair, date, rn, gain AS up, loss AS down, close AS ema_26, close AS ema_500 FROM tail_moves WHERE rn = 1
+        UNION ALL SELECT m.pair, m.date, m.rn, r.up * 13e0 / 14 + m.gain / 14, r.down * 13e0 / 14 + m.loss / 14,
+          r.ema_26 * 25e0 / 27 + m.close * 2e0 / 27, r.ema_500 * 499e0 / 501 + m.close * 2e0 / 501
+        FROM tail_run r JOIN tail_moves m ON m.pair = r.pair AND m.rn = r.rn + 1""",
     "gappy": "SELECT * REPLACE (CASE WHEN rn % 7 <> 0 THEN close END AS close) FROM counted",
     "flat": "SELECT * REPLACE (floor(close / 100000) AS close) FROM bars",
     "changes": """SELECT * EXCLUDE rn REPLACE (close * 2 AS close) FROM counted WHERE rn % 10 = 0

@@ -118,7 +118,7 @@ def classification_report(spark, sf):
 
 def _trained(spark, sf):
     """Features of all bars, stored once: training reads them many times."""
-    rows = stored(features.time_split(features.ml_features(inputs.bars(spark, sf))), "features")
+    rows, _ = stored(features.time_split(features.ml_features(inputs.bars(spark, sf))), "features")
     fitted = models.fit_models(rows.filter("is_train").drop("is_train"))
     return fitted, rows.filter(~F.col("is_train")).drop("is_train")
 

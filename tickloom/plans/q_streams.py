@@ -50,7 +50,7 @@ def stream_validated_quotes(spark, sf):
 def stream_ohlc_hourly(spark, sf):
     """Bars still open at the end of the stream are not emitted."""
     out = scratch_path(spark, "bars")
-    bars = jobs.stream_ohlc(event_stream(spark, sf))
+    bars = jobs.stream_ohlc(event_stream(spark, sf), tie="event_id")
     _finish(jobs.append_stream(bars, f"{out}/table", f"{out}/checkpoint"))
     return spark.read.schema(bars.schema).parquet(f"{out}/table")
 

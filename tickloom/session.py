@@ -1,11 +1,13 @@
 """Session settings and the scratch folder shared by all executors."""
 
-import tempfile
+import atexit
+import re
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
-_local_scratch = None
+_kept = set()
 
 
 def local_session(cores="*", app="tickloom", partitions=8, **extra):
@@ -32,36 +34,45 @@ def local_session(cores="*", app="tickloom", partitions=8, **extra):
 
 
 def scratch_root(spark):
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, the warehouse folder.
 
-    Only a local session may fall back to a folder of this machine: on a
-    cluster the executors could not read each other's files there.
+    Both are folders that the driver and all executors of a session share.
     """
-    global _local_scratch
-    configured = spark.conf.get("spark.checkpoint.dir", None) or (
-        spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    )
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    if _local_scratch is None:
-        _local_scratch = tempfile.mkdtemp(prefix="tickloom-")
-    return _local_scratch
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = re.sub(r"^file:/+", "file:///", configured.rstrip("/"))
+    return path if "://" in path else f"file://{path}"
 
 
 def scratch_path(spark, label):
     """A path below the scratch folder that nothing has used before."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/tickloom-{label}-{uuid.uuid4().hex}"
 
 
 def stored(df, label):
-    """Write ``df`` to the shared folder and read it back, cutting its lineage.
+    """Write ``df`` to the shared folder and read it back, cutting its lineage; the rows and their path.
 
     The files outlive a lost executor, so later stages re-read them instead of
     recomputing everything above.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    _kept.add(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(path):
+    """Delete a folder that ``stored`` has written, once nothing reads it any more."""
+    store, folder = fs.FileSystem.from_uri(path)
+    if store.get_file_info(folder).type == fs.FileType.Directory:
+        store.delete_dir(folder)
+    _kept.discard(path)
+
+
+@atexit.register
+def _discard_all():
+    for path in list(_kept):
+        try:
+            discard(path)
+        except OSError as error:
+            print(f"not deleted: {path}: {error}")

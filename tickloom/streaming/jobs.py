@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tickloom.operators.bars import time_rank
 from tickloom.operators.quality import rejected_quotes, valid_quotes
 from tickloom.operators.upkeep import KEYS, upsert_months, write_by_month
 
@@ -29,17 +30,18 @@ def stream_validate(quotes, good, bad, checkpoint):
     )
 
 
-def stream_ohlc(quotes, width="1 hour", lateness="1 hour", ts="ts", keys=("pair",), price="price"):
+def stream_ohlc(quotes, width="1 hour", lateness="1 hour", ts="ts", keys=("pair",), price="price", tie=None):
     """Tumbling bars; a bar is emitted once the watermark passes its end, later quotes
-    are dropped.  State is one row per open bar and key."""
+    are dropped.  State is one row per open bar and key; ``tie`` orders equal times."""
     bars = (
         quotes.withWatermark(ts, lateness)
+        .withColumn("_rank", time_rank(ts, tie))
         .groupBy(F.window(ts, width), *keys)
         .agg(
-            F.min_by(price, ts).alias("open"),
+            F.min_by(price, "_rank").alias("open"),
             F.max(price).alias("high"),
             F.min(price).alias("low"),
-            F.max_by(price, ts).alias("close"),
+            F.max_by(price, "_rank").alias("close"),
             F.avg(price).alias("avg_rate"),
         )
     )
@@ -53,7 +55,7 @@ def stream_dedup(rows, keys, ts="ts", lateness="1 day"):
     return rows.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
-def stream_upsert(bars, target, checkpoint, keys=KEYS):
+def stream_upsert(bars, target, checkpoint, keys=KEYS, ts_col=None, run_ts=None):
     """Merge each batch of bars into the month-partitioned table at ``target``.
 
     The merge is idempotent by key, so a repeated batch changes nothing.  Stateless:
@@ -61,12 +63,10 @@ def stream_upsert(bars, target, checkpoint, keys=KEYS):
     """
 
     def merge(batch, number):
-        spark = batch.sparkSession
         if batch.isEmpty():
             return
-        if not _exists(spark, target):
-            write_by_month(batch.limit(0), target, "ignore")
-        upsert_months(spark, target, batch, keys)
+        write_by_month(batch.limit(0), target, "ignore")  # only if there is no table yet
+        upsert_months(batch.sparkSession, target, batch, keys, ts_col, run_ts)
 
     return (
         bars.writeStream.foreachBatch(merge)
@@ -86,8 +86,3 @@ def append_stream(rows, path, checkpoint):
         .trigger(availableNow=True)
         .start()
     )
-
-
-def _exists(spark, path):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
