@@ -26,10 +26,20 @@ def date_series(spark, start, end=None, years=5):
     return spark.range(1).select(F.explode(F.sequence(first, last)).alias("date"))
 
 
+FIRST_DAY, LAST_DAY = "1900-01-01", "2200-12-31"
+
+
 def date_span(facts):
-    """One row per day from the first to the last date of ``facts``."""
-    ends = facts.agg(F.min("date").alias("a"), F.max("date").alias("b"))
-    return ends.filter("a IS NOT NULL").select(F.explode(F.sequence("a", "b")).alias("date"))
+    """One row per day from the first to the last date of ``facts`` that lies in FIRST_DAY to LAST_DAY.
+
+    Years first, then the days of each: no row holds more than a year.
+    """
+    valid = facts.filter(F.col("date").between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")))
+    ends = valid.agg(F.min("date").alias("a"), F.max("date").alias("b")).filter("a IS NOT NULL")
+    years = ends.select("a", "b", F.explode(F.sequence(F.year("a"), F.year("b"))).alias("y"))
+    first = F.greatest("a", F.make_date("y", F.lit(1), F.lit(1)))
+    last = F.least("b", F.make_date("y", F.lit(12), F.lit(31)))
+    return years.select(F.explode(F.sequence(first, last)).alias("date"))
 
 
 def calendar(days):
@@ -59,10 +69,10 @@ def dim_calendar(facts):
 def star_join(fact, days, pairs):
     """Fact with both dimensions.
 
-    A calendar has one row per day, so it is broadcast; the instrument dimension
-    grows with the data and is left to the size-based choice of the planner.
+    Both dimensions are left to the size-based choice of the planner: a calendar of some
+    ten thousand days is broadcast, whatever a wrong date in the facts makes of it is not.
     """
-    return fact.join(F.broadcast(days), "date").join(pairs, "pair")
+    return fact.join(days, "date").join(pairs, "pair")
 
 
 def exchange_rate_analysis(fact, days, pairs, layout=None):
@@ -77,7 +87,7 @@ def exchange_rate_analysis(fact, days, pairs, layout=None):
 
 def active_pairs(fact, pairs):
     """Instruments of the dimension that have at least one fact row."""
-    return pairs.join(fact, "pair", "left_semi").orderBy("pair")
+    return pairs.join(fact.select("pair").distinct(), "pair", "left_semi").orderBy("pair")
 
 
 def cross_rates(fact, ab, ac, bc):

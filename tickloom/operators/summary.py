@@ -1,14 +1,13 @@
 """Aggregate reports.  All are hash aggregates with a map-side half unless noted."""
 
-from functools import reduce
-
-from pyspark.sql import Window, functions as F
+from pyspark.sql import Window, functions as F, types as T
 
 from tickloom.functions import dates
 from tickloom.functions.prices import change_percent, percent_of, spread_percent
 from tickloom.layout import over_series
 from tickloom.operators.averages import add_means
 from tickloom.operators.changes import forward_fill
+from tickloom.operators.select import with_marks
 
 
 def count_by_pair(rows):
@@ -157,6 +156,8 @@ def describe_exact(rows, columns, key="pair", exact=True):
     Exact quartiles gather the distinct values of a series, which the calendar bounds
     for daily bars; ``exact=False`` uses mergeable sketches for anything longer.
     """
+    if exact and "date" in rows.columns and not isinstance(rows.schema["date"].dataType, T.DateType):
+        raise ValueError("exact quartiles are for daily rows; use exact=False")
     quartiles = [0.25, 0.5, 0.75]
 
     def stats(c):
@@ -184,7 +185,7 @@ def histogram(rows, value, bins=50, key="pair"):
     ends = values.groupBy(key).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
     width = F.col("_hi") - F.col("_lo")
     place = F.floor(F.try_divide(bins * (v - F.col("_lo")), width)) + 1
-    placed = values.filter(v.isNotNull()).join(ends, key).withColumn(
+    placed = with_marks(values.filter(v.isNotNull()), ends, key).withColumn(
         "bin", F.least(F.coalesce(place, F.lit(1)), F.lit(bins)).cast("int")
     )
     counted = placed.groupBy(key, "bin").agg(
@@ -217,7 +218,9 @@ def align_wide(bars, pairs, layout=None):
 def returns_correlation(bars, pairs, layout=None):
     """Pearson correlation of close-to-close changes for the chosen instruments.
 
-    The matrix is one aggregate over one row per date: no rows are paired up.  A
+    In long form: per date, one list of the chosen instruments' changes gives the pairs of
+    its upper triangle, which are summed per pair of instruments with a map-side half; the
+    lower triangle is its mirror.  The plan is the same for any number of instruments.  A
     series without variance gives NULL.
     """
     moved = over_series(
@@ -228,21 +231,18 @@ def returns_correlation(bars, pairs, layout=None):
         back=1,
         layout=layout,
     )
-    wide = moved.groupBy("date").agg(
-        *[F.max(F.when(F.col("pair") == p, F.col("_r"))).alias(f"_{i}") for i, p in enumerate(pairs)]
+    place = F.array_position(F.array(*map(F.lit, pairs)), F.col("pair"))
+    listed = moved.filter("_r IS NOT NULL").groupBy("date").agg(
+        F.array_sort(F.collect_list(F.struct(place.alias("i"), F.col("pair").alias("p"), F.col("_r").alias("r")))).alias("_m")
     )
-
-    def corr(i, j):
-        a, b = F.col(f"_{i}"), F.col(f"_{j}")
-        a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-        return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
-
-    cells = [
-        F.struct(F.lit(p).alias("pair_a"), F.lit(q).alias("pair_b"), corr(i, j).alias("corr"))
-        for i, p in enumerate(pairs)
-        for j, q in enumerate(pairs)
-    ]
-    return wide.agg(F.array(*cells).alias("_m")).select(F.inline("_m"))
+    upper = listed.select(F.explode("_m").alias("a"), "_m").select("a", F.explode("_m").alias("b")).filter("a.i <= b.i")
+    both = upper.groupBy(F.col("a.p").alias("pair_a"), F.col("b.p").alias("pair_b")).agg(
+        F.try_divide(
+            F.covar_pop("a.r", "b.r"), F.stddev_pop("a.r") * F.stddev_pop("b.r")
+        ).alias("corr")
+    )
+    mirror = both.filter("pair_a <> pair_b").select(F.col("pair_b").alias("pair_a"), F.col("pair_a").alias("pair_b"), "corr")
+    return both.unionByName(mirror)
 
 
 def confusion_matrix(scored, label="label", prediction="prediction"):
@@ -279,7 +279,3 @@ def classification_report(scored, label="label", prediction="prediction"):
         "support",
         F.try_divide(F.sum("_h").over(whole), F.sum("support").over(whole)).alias("accuracy"),
     )
-
-
-def union_all(frames):
-    return reduce(lambda a, b: a.unionByName(b), frames)

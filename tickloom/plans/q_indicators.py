@@ -1,7 +1,8 @@
 """Queries over single indicators, on daily bars and (block-wise) on hourly bars."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from tickloom.layout import Layout
 from tickloom.operators import averages, bands, changes, features, oscillators, select, swings
 from tickloom.plans import inputs
 from tickloom.plans.registry import query
@@ -192,15 +193,17 @@ def normalized_close(spark, sf):
 
 @query(
     "cumulative_return",
-    "pair date:d daily_change_percent:6 cumulative_return:6",
-    f"""SELECT *, product(1 + daily_change_percent / 100) OVER
-        (PARTITION BY pair ORDER BY date) - 1 AS cumulative_return
+    "pair date:d daily_change_percent:6 log_growth:6",
+    f"""SELECT *, sum(ln(1 + daily_change_percent / 100)) OVER (PARTITION BY pair ORDER BY date) AS log_growth
         FROM fact WHERE date >= (SELECT max(date) FROM bars) - INTERVAL 180 DAY""",
 )
 def cumulative_return(spark, sf):
-    """On the last 180 days: the running product starts with the slice."""
-    bars = inputs.bars(spark, sf)
-    return changes.cumulative_return(select.trailing(bars, 180))
+    """On the last 180 days: the running product starts with the slice.
+
+    It grows to 1e16 on the larger tables, so it is shown as the logarithm of the growth.
+    """
+    found = changes.cumulative_return(select.trailing(inputs.bars(spark, sf), 180))
+    return found.withColumn("log_growth", F.log1p("cumulative_return"))
 
 
 @query(
@@ -303,7 +306,7 @@ def trailing_slice(spark, sf):
        WHERE CASE WHEN n < 5 THEN back <= 30 ELSE date BETWEEN DATE '1997-02-01' AND DATE '1997-02-07' END""",
 )
 def slice_or_tail(spark, sf):
-    return select.slice_or_tail(inputs.bars(spark, sf), "1997-02-01", "1997-02-07")
+    return select.slice_or_tail(inputs.stored_bars(spark, sf), "1997-02-01", "1997-02-07")
 
 
 @query(
@@ -391,3 +394,42 @@ def hourly_normalized_close(spark, sf):
 def supplier_moving_averages(spark, sf):
     """Many instruments: one window partition each."""
     return averages.moving_averages(inputs.supplier_bars(spark, sf))
+
+
+# --- a long flat stretch, and values that leave a frame -----------------------
+
+TAIL_SQL = """SELECT pair, date, ema_26, ema_500,
+    CASE WHEN rn < 14 THEN NULL WHEN down = 0 THEN 100 ELSE 100 - 100 / (1 + up / down) END AS rsi FROM tail_run"""
+TAIL = "pair date:d rsi:4 ema_26:4 ema_500:4"
+
+
+def _tail(spark, sf, layout=None):
+    rows = inputs.flat_tail_bars(spark, sf)
+    means = averages.ema(rows, (26, 500), layout=layout)
+    rsi = oscillators.rsi_wilder(rows, layout=layout).select("pair", "date", "rsi")
+    return means.join(rsi, ["pair", "date"])
+
+
+@query("recursive_flat_tail", TAIL, TAIL_SQL)
+def recursive_flat_tail(spark, sf):
+    """Recursive means keep what they held when a series stops moving."""
+    return _tail(spark, sf)
+
+
+@query("recursive_flat_tail_blocks", TAIL, TAIL_SQL)
+def recursive_flat_tail_blocks(spark, sf):
+    """The same with every series cut into blocks of 256 rows."""
+    return _tail(spark, sf, Layout(block_rows=256, split=True))
+
+
+@query(
+    "means_after_spikes",
+    "pair date:d sma_20:6 sma_50:6 sma_200:1",
+    f"""SELECT pair, date, {strict_sql('avg', 20)} AS sma_20, {strict_sql('avg', 50)} AS sma_50,
+        {strict_sql('avg', 200)} AS sma_200 FROM spiked WINDOW w AS {W} QUALIFY row_number() OVER w % 97 = 96""",
+)
+def means_after_spikes(spark, sf):
+    """Means just before the next spike: the last one is out of the shorter frames and leaves no trace."""
+    rows = averages.sma_strict(inputs.spiked_bars(spark, sf))
+    place = F.row_number().over(Window.partitionBy("pair").orderBy("date"))
+    return rows.withColumn("_rn", place).filter(F.col("_rn") % 97 == 96)

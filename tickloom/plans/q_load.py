@@ -7,7 +7,7 @@ from tickloom.operators import quality, select, star, summary, upkeep
 from tickloom.plans import inputs, medallion
 from tickloom.plans.registry import query
 from tickloom.schema import OHLC
-from tickloom.session import scratch_path
+from tickloom.session import scratch_path, stored
 from tickloom.sources import csv_files, payloads
 
 OHLC_4 = "open:4 high:4 low:4 close:4"
@@ -140,7 +140,7 @@ def silver_rejects(spark, sf):
 @query("silver_union", f"pair date:d {OHLC_4}", f"SELECT DISTINCT * FROM dirty WHERE {_VALID}")
 def silver_union(spark, sf):
     """The same rows loaded from one untagged table per instrument."""
-    rows = inputs.dirty_bars(spark, sf)
+    rows, _ = stored(inputs.dirty_bars(spark, sf), "landed")
     tables = {p: rows.filter(F.col("pair") == p).drop("pair") for p in inputs.PAIR_NAMES}
     return quality.silver_rates(quality.union_tagged(tables), _as_of(spark, sf))
 
@@ -266,7 +266,7 @@ def insert_if_absent(spark, sf):
 )
 def incremental_slice(spark, sf):
     """The target ends 60 days early and has never seen one instrument."""
-    rows = inputs.bars(spark, sf)
+    rows = inputs.stored_bars(spark, sf)
     as_of = select.latest_date(rows)
     old = rows.filter((F.col("date") <= F.date_sub(as_of, 60)) & (F.col("pair") != "5-LOW"))
     return upkeep.incremental_slice(rows, old, as_of)
@@ -309,3 +309,69 @@ def medallion_fact(spark, sf):
     raw = inputs.raw_strings(spark, sf)
     medallion.load(raw, f"{out}/fact", f"{out}/rejects", as_of)
     return medallion.load(raw, f"{out}/fact", f"{out}/rejects", as_of)
+
+
+# --- NULL keys, audit times, exports, the loading path -------------------------
+
+RUN_TS = "2024-01-02 03:04:05"
+NULL_KEYED = "CASE WHEN rn % 40 = 3 THEN NULL ELSE date END"
+
+
+@query(
+    "upsert_null_keys",
+    "pair date:d open:4 high:4 low:4 close:4 updated_at:t",
+    f"""WITH target AS (SELECT * REPLACE ({NULL_KEYED} AS date) FROM counted WHERE rn % 2 = 1),
+          fresh AS (SELECT * REPLACE (CAST(NULL AS DATE) AS date, close * 3 AS close) FROM counted WHERE rn = 6 AND pair < '3'
+                    UNION ALL SELECT * REPLACE (close * 2 AS close) FROM counted WHERE rn % 10 = 1)
+        SELECT pair, date, open, high, low, close, TIMESTAMP '{RUN_TS}' AS updated_at FROM fresh
+        UNION ALL SELECT pair, date, open, high, low, close, TIMESTAMP '2020-01-01 00:00:00' FROM target t
+        WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE f.pair = t.pair AND f.date IS NOT DISTINCT FROM t.date)""",
+)
+def upsert_null_keys(spark, sf):
+    """A merge by month with missing dates on both sides, and the time of the run on changed rows."""
+    rows, path = inputs.counted_bars(spark, sf), f"{scratch_path(spark, 'merge')}/table"
+    old = rows.withColumn("date", F.when(F.col("rn") % 40 != 3, F.col("date"))).filter("rn % 2 = 1").drop("rn")
+    upkeep.write_by_month(old.withColumn("updated_at", F.lit("2020-01-01 00:00:00").cast("timestamp")), path)
+    missing = rows.filter((F.col("rn") == 6) & (F.col("pair") < "3"))
+    fresh = missing.withColumns({"date": F.lit(None).cast("date"), "close": F.col("close") * 3}).unionByName(
+        rows.filter("rn % 10 = 1").withColumn("close", F.col("close") * 2)
+    )
+    upkeep.upsert_months(spark, path, fresh.drop("rn"), ts_col="updated_at", run_ts=F.lit(RUN_TS).cast("timestamp"))
+    return spark.read.parquet(path).drop("month")
+
+
+@query(
+    "csv_export",
+    "pair date:d close:4",
+    "SELECT pair, date, round(close, 4) AS close FROM bars WHERE date >= DATE '1998-01-01' AND pair <> '5-LOW'",
+)
+def csv_export(spark, sf):
+    """A filtered view exported as CSV and read back."""
+    path = scratch_path(spark, "export")
+    shown = inputs.bars(spark, sf).filter("date >= '1998-01-01' AND pair <> '5-LOW'").select("pair", "date", "close")
+    csv_files.export_csv(shown, path)
+    return spark.read.option("header", True).schema("pair string, date date, close double").csv(path)
+
+
+@query(
+    "load_path",
+    f"pair date:d {OHLC_4}",
+    """SELECT pair, date, open, high, low, last_value(CASE WHEN rn % 7 <> 0 THEN close END IGNORE NULLS) OVER
+       (PARTITION BY pair ORDER BY date ROWS UNBOUNDED PRECEDING) AS close FROM counted""",
+)
+def load_path(spark, sf):
+    """CSV files with missing closes, read, audited for NULLs and filled forward."""
+    return medallion.load_filled(inputs.gappy_bars(spark, sf), scratch_path(spark, "landing"))
+
+
+@query("registered_views", "name kind n:l", """SELECT 'llv_bars' AS name, 'temporary' AS kind, count(*) AS n FROM bars
+    UNION ALL SELECT 'llv_ticks', 'temporary', count(*) FROM ticks""")
+def registered_views(spark, sf):
+    """Views made for a run, found in the listing, counted and dropped again."""
+    views = {"llv_bars": inputs.bars(spark, sf), "llv_ticks": inputs.ticks(spark, sf)}
+    upkeep.register_views(views)
+    listed = upkeep.list_tables(spark).filter(F.col("name").isin(*views))
+    counts = spark.sql("SELECT 'llv_bars' AS name, count(*) AS n FROM llv_bars UNION ALL SELECT 'llv_ticks', count(*) FROM llv_ticks")
+    found, _ = stored(listed.join(counts, "name").withColumn("kind", F.when(F.col("isTemporary"), "temporary")), "views")
+    upkeep.drop_views(spark, *views)
+    return found

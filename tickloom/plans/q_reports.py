@@ -257,7 +257,7 @@ def trading_signals(spark, sf):
 @query("dashboard_signals", STATES, signals_sql(LAST_400))
 def dashboard_signals(spark, sf):
     """Signals of the last 400 days; the indicators see the whole series."""
-    bars = inputs.bars(spark, sf)
+    bars = inputs.stored_bars(spark, sf)
     return signals.trading_signals(bars, last_400(bars))
 
 

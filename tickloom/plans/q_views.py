@@ -1,5 +1,7 @@
 """Queries over the star schema, the warehouse-style views and the combined analysis."""
 
+from pyspark.sql import functions as F
+
 from tickloom.operators import averages, bars as bar_ops, changes, oscillators, select, star, summary
 from tickloom.plans import inputs, technical
 from tickloom.plans.registry import query
@@ -160,7 +162,7 @@ def technical_macd(spark, sf):
 
 
 def view(spark, sf):
-    return technical.technical_analysis(inputs.fact(spark, sf))
+    return technical.technical_analysis(inputs.stored_fact(spark, sf))
 
 
 def as_of(spark, sf):
@@ -174,7 +176,7 @@ def technical_analysis(spark, sf):
 
 @query("technical_analysis_joined", TA, "SELECT * FROM ta")
 def technical_analysis_joined(spark, sf):
-    return technical.technical_analysis_joined(inputs.fact(spark, sf))
+    return technical.technical_analysis_joined(inputs.stored_fact(spark, sf))
 
 
 @query("latest_signals", TA, "SELECT * FROM ta WHERE date = (SELECT max(date) FROM ta)")
@@ -298,3 +300,66 @@ def performance_summary(spark, sf):
 )
 def recent_signals(spark, sf):
     return technical.recent_signals(view(spark, sf))
+
+
+@query(
+    "cross_rate_rounded",
+    "pair date:d open:6 high:6 low:6 close:6",
+    """SELECT 'EUR/EGP' AS pair, a.date, round_even(a.open * b.open / 1e12, 4) AS open, round_even(a.high * b.high / 1e12, 4) AS high,
+       round_even(a.low * b.low / 1e12, 4) AS low, round_even(a.close * b.close / 1e12, 4) AS close
+       FROM (SELECT * FROM bars WHERE pair = '1-URGENT') a
+       LEFT JOIN (SELECT * FROM bars WHERE pair = '3-MEDIUM') b USING (date)""",
+)
+def cross_rate_rounded(spark, sf):
+    """On prices around 0.1, where rounding to four places shows."""
+    small = inputs.bars(spark, sf).withColumns({c: F.col(c) / 1e6 for c in ("open", "high", "low", "close")})
+    return star.synth_cross(small, inputs.LEG_AB, inputs.LEG_BC, "EUR/EGP")
+
+
+@query(
+    "split_pairs",
+    "pair base quote n:l",
+    """SELECT pair || '/' || strftime(ts, '%H') AS pair, pair AS base, strftime(ts, '%H') AS quote, count(*) AS n
+       FROM ticks GROUP BY ALL""",
+)
+def split_pairs(spark, sf):
+    named = inputs.ticks(spark, sf).select(F.concat_ws("/", "pair", F.date_format("ts", "HH")).alias("pair"))
+    base, quote = star.split_pair("pair")
+    return named.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).select("pair", base.alias("base"), quote.alias("quote"), "n")
+
+
+@query(
+    "star_slice",
+    "date:d year:i month_name pair base_currency exchange_rate:4 prev_week_rate:4",
+    f"""SELECT * FROM (SELECT date, year(date) AS year, monthname(date) AS month_name, pair, base_currency,
+          close AS exchange_rate, lag(close, 7) OVER {W} AS prev_week_rate
+        FROM bars JOIN days USING (date) JOIN pairs_dim USING (pair))
+        WHERE pair = '2-HIGH' AND date BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'""",
+)
+def star_slice(spark, sf):
+    """One instrument and date range of the joined view, with calendar columns."""
+    fact = inputs.fact(spark, sf)
+    joined = star.exchange_rate_analysis(fact, star.dim_calendar(fact), star.dim_pairs(spark, inputs.PAIRS))
+    return select.between(joined, "1996-01-01", "1997-06-30", "2-HIGH")
+
+
+@query(
+    "technical_slice",
+    TA,
+    "SELECT * FROM ta WHERE pair = '2-HIGH' AND date BETWEEN DATE '2001-05-20' AND DATE '2001-07-10'",
+)
+def technical_slice(spark, sf):
+    """The same over the technical view."""
+    return select.between(view(spark, sf), "2001-05-20", "2001-07-10", "2-HIGH")
+
+
+@query(
+    "newest_first",
+    "place:l pair date:d close:4",
+    "SELECT row_number() OVER (ORDER BY date DESC, pair) AS place, pair, date, close FROM bars ORDER BY place LIMIT 50",
+)
+def newest_first(spark, sf):
+    """The first 50 rows in the order of output, with their places."""
+    first = select.order_for_output(inputs.bars(spark, sf)).limit(50)
+    rows = first.agg(F.collect_list(F.struct("pair", "date", "close")).alias("rows"))  # 50 rows
+    return rows.select(F.posexplode("rows").alias("at", "r")).select((F.col("at") + 1).alias("place"), "r.*")

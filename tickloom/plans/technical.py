@@ -158,7 +158,7 @@ def performance_summary(ta, as_of=None, days=30):
 
 
 def recent_signals(ta, n=10):
-    """Newest n rows per series whose RSI, trend or MACD label is not neutral."""
+    """Newest n rows per series whose trend label is not neutral."""
     loud = ta.filter(F.col("trend_signal") != "Neutral")
     return last_n(loud.select("pair", "date", "close", "trend_signal", "rsi_14"), n)
 

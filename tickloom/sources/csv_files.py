@@ -38,7 +38,10 @@ def normalize_columns(df):
 
 
 def _cells(line):
-    return F.transform(F.split(line, ",", -1), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    """Cells of a line; a quoted cell may hold commas and doubled quotes."""
+    found = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(r'(\s*"(?:[^"]|"")*"\s*|[^,]*),'), 1)
+    bare = lambda c: F.regexp_replace(F.regexp_replace(F.trim(c), '^"|"$', ""), '""', '"')
+    return F.transform(found, lambda c: F.trim(bare(c)))
 
 
 def _header_names(line):
