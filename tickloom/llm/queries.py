@@ -25,6 +25,5 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op4_quality_rules": OP4_SQL,
-    "op5_html_extraction": op5_html_extraction,
     "op6_url_reputation": OP6_SQL,
 }
