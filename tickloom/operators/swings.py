@@ -2,7 +2,7 @@
 
 from dataclasses import replace
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import Window, functions as F, types as T
 
 from tickloom.layout import Layout, over_prefix, over_series
 
@@ -56,18 +56,32 @@ def thin_levels(levels, threshold=0.01, key="pair", layout=None):
     prev, level = F.col("_prev"), F.col("level")
     fresh = seen.filter(prev.isNull() | (prev != level))
     starts = fresh.withColumn("_start", (prev.isNull() | _surely_kept(level, prev, threshold)).cast("long"))
-    listed = (
-        _running_sum(starts, "_start", "_fold", series)
-        .groupBy(key, "side", "_fold")
-        .agg(F.array_sort(F.collect_list(F.struct("date", "level"))).alias("_p"))
-    )
-
-    def keep(kept, p):
-        last = F.try_element_at(kept, F.lit(-1))["level"]
-        far = F.abs(F.try_divide(p["level"] - last, last)) > threshold
-        return F.when(last.isNull() | far, F.concat(kept, F.array(p))).otherwise(kept)
-
-    return listed.select(key, "side", F.inline(F.aggregate("_p", F.slice("_p", 1, 0), keep)))
+    folds = _running_sum(starts, "_start", "_fold", series).select(key, "side", "_fold", "date", "level")
+    # Rows of a fold stream through one task in order; only the last kept level is held.
+    ordered = folds.repartition(key, "side", "_fold").sortWithinPartitions(key, "side", "_fold", "date", "level")
+    schema = T.StructType([f for f in folds.schema.fields if f.name != "_fold"])
+    return ordered.mapInArrow(_keep_far(key, threshold), schema)
+
+
+def _keep_far(key, threshold):
+    """Pass the rows that differ enough from the last kept one of their fold; rows come sorted."""
+
+    def keep(batches):
+        import pyarrow as pa
+
+        fold, last = None, None
+        for batch in batches:
+            names = (batch.column(c).to_pylist() for c in (key, "side", "_fold"))
+            chosen = []
+            for name, level in zip(zip(*names), batch.column("level").to_pylist()):
+                if name != fold:
+                    fold, last = name, None
+                far = last is None or (last != 0 and abs((level - last) / last) > threshold)
+                chosen.append(far)
+                last = level if far else last
+            yield batch.drop_columns(["_fold"]).filter(pa.array(chosen, pa.bool_()))
+
+    return keep
 
 
 def _surely_kept(level, prev, threshold):
