@@ -57,3 +57,12 @@ def test_saved_model_scores_alike(table, tmp_path):
     again = models.load_model(str(tmp_path / "m"))
     a = model.transform(table).agg(F.sum("prediction")).first()
     assert a == again.transform(table).agg(F.sum("prediction")).first()
+
+
+def test_ordered_folds(table):
+    folds = models.ordered_folds(table, 5)
+    sizes = {(r.target, r._fold): (r.n, r.a, r.b) for r in folds.groupBy("target", "_fold").agg(F.count("*").alias("n"), F.min("date").alias("a"), F.max("date").alias("b")).collect()}
+    for target in (0, 1):
+        mine = [sizes[target, k] for k in range(5)]
+        assert max(n for n, _, _ in mine) - min(n for n, _, _ in mine) <= 1
+        assert all(one[2] < two[1] for one, two in zip(mine, mine[1:]))

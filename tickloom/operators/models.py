@@ -8,7 +8,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tickloom.operators.features import feature_columns
 
@@ -18,6 +18,10 @@ TREES = 100
 BOOST_ROUNDS = 100
 BOOST_RATE = 0.05
 MAX_ITER = 1000
+# Depths are choices of this library: trees of the compared models grow without bound.
+FOREST_DEPTH = 8
+DEEP = 6
+VOTERS = ("random_forest", "boosted_trees", "logistic_regression")
 C_GRID = (0.01, 0.1, 1.0, 10.0, 100.0)
 FOLDS = 5
 
@@ -47,15 +51,16 @@ def logistic(columns, rows, c=1.0, label="target"):
 
 
 def forest(columns, label="target"):
+    """Trees to FOREST_DEPTH; Spark grows a tree level by level and has no unbounded depth."""
     model = RandomForestClassifier(
-        featuresCol="features_raw", labelCol=label, numTrees=TREES, seed=SEED
+        featuresCol="features_raw", labelCol=label, numTrees=TREES, maxDepth=FOREST_DEPTH, seed=SEED
     )
     return Pipeline(stages=[_assembled(columns), model])
 
 
-def boosted(columns, label="target", rounds=BOOST_ROUNDS):
+def boosted(columns, label="target", rounds=BOOST_ROUNDS, depth=5):
     model = GBTClassifier(
-        featuresCol="features_raw", labelCol=label, maxIter=rounds, stepSize=BOOST_RATE, seed=SEED
+        featuresCol="features_raw", labelCol=label, maxIter=rounds, stepSize=BOOST_RATE, maxDepth=depth, seed=SEED
     )
     return Pipeline(stages=[_assembled(columns), model])
 
@@ -64,6 +69,7 @@ def all_models(columns, train_rows, label="target", rounds=BOOST_ROUNDS):
     return {
         "random_forest": forest(columns, label),
         "boosted_trees": boosted(columns, label, rounds),
+        "boosted_trees_deep": boosted(columns, label, rounds, DEEP),
         "logistic_regression": logistic(columns, train_rows, label=label),
     }
 
@@ -80,13 +86,13 @@ def fit_models(train, label="target", rounds=BOOST_ROUNDS):
 
 
 def score(models, rows):
-    """Predictions of every fitted model as 0/1 columns, plus their vote."""
+    """Predictions of every fitted model as 0/1 columns, plus the vote of VOTERS."""
     keep = rows.columns
     for name, model in models.items():
         scored = model.transform(rows)
         rows = scored.withColumn(name, F.col("prediction").cast("int")).select(*keep, name)
         keep = rows.columns
-    return rows.withColumn("voting", majority(list(models)))
+    return rows.withColumn("voting", majority(VOTERS))
 
 
 def compare(scored, names, label="target"):
@@ -96,27 +102,40 @@ def compare(scored, names, label="target"):
     return wide.unpivot(["test_rows"], list(names), "model", "accuracy")
 
 
-def grid_search(train, columns, rows, label="target", grid=C_GRID, folds=FOLDS, parallelism=4):
-    """Best C by cross-validated accuracy; returns (best C, mean accuracy per C)."""
+def ordered_folds(rows, folds=FOLDS, label="target", order="date"):
+    """Add ``_fold``: per label, the rows in order cut into equal stretches (rows of one date stay together).
+
+    Only counts per label and date are put in order, so no row is gathered.
+    """
+    days = rows.groupBy(label, order).agg(F.count(F.lit(1)).alias("_n"))
+    along = Window.partitionBy(label).orderBy(order)
+    before = F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    whole = F.sum("_n").over(Window.partitionBy(label))
+    placed = days.select(label, order, F.floor(before * folds / whole).cast("int").alias("_fold"))
+    return rows.join(placed, [label, order])
+
+
+def grid_search(train, columns, rows, label="target", grid=C_GRID, folds=FOLDS, parallelism=4, order="date"):
+    """Best C by accuracy over ordered, stratified folds; returns (best C, mean accuracy per C)."""
     pipeline = logistic(columns, rows, label=label)
     estimator = pipeline.getStages()[-1]
     params = ParamGridBuilder().addGrid(estimator.regParam, [reg_param(c, rows) for c in grid])
-    fitted = _validator(pipeline, params.build(), folds, parallelism, label).fit(train)
+    fitted = _validator(pipeline, params.build(), folds, parallelism, label).fit(ordered_folds(train, folds, label, order))
     scores = dict(zip(grid, fitted.avgMetrics))
     return max(scores, key=scores.get), scores
 
 
-def cross_val_score(train, pipeline, label="target", folds=FOLDS, parallelism=4):
-    """Mean accuracy over random folds."""
-    grid = ParamGridBuilder().build()
-    return _validator(pipeline, grid, folds, parallelism, label).fit(train).avgMetrics[0]
+def cross_val_score(train, pipeline, label="target", folds=FOLDS, parallelism=4, order="date"):
+    """Mean accuracy over ordered, stratified folds."""
+    validator = _validator(pipeline, ParamGridBuilder().build(), folds, parallelism, label)
+    return validator.fit(ordered_folds(train, folds, label, order)).avgMetrics[0]
 
 
 def _validator(pipeline, grid, folds, parallelism, label):
     accuracy = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     return CrossValidator(
         estimator=pipeline, estimatorParamMaps=grid, evaluator=accuracy,
-        numFolds=folds, parallelism=parallelism, seed=SEED,
+        numFolds=folds, foldCol="_fold", parallelism=parallelism, seed=SEED,
     )
 
 

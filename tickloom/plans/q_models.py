@@ -1,5 +1,7 @@
 """Queries over the feature table and the direction models."""
 
+from functools import cache
+
 from pyspark.sql import functions as F
 
 from tickloom.operators import features, models, summary
@@ -116,23 +118,68 @@ def classification_report(spark, sf):
     return summary.classification_report(scored, "target", "vote")
 
 
-def _trained(spark, sf):
-    """Features of all bars, stored once: training reads them many times."""
+@cache
+def _scored(spark, sf):
+    """Predictions for the test rows, made once a session and stored: several queries read them."""
     rows, _ = stored(features.time_split(features.ml_features(inputs.bars(spark, sf))), "features")
     fitted = models.fit_models(rows.filter("is_train").drop("is_train"))
-    return fitted, rows.filter(~F.col("is_train")).drop("is_train")
+    return list(fitted), stored(models.score(fitted, rows.filter(~F.col("is_train")).drop("is_train")), "predictions")[0]
 
 
-@query(
-    "ml_predictions",
-    "pair date:d target:i random_forest:i boosted_trees:i logistic_regression:i voting:i",
-)
+MODELS = ("random_forest", "boosted_trees", "boosted_trees_deep", "logistic_regression")
+
+
+@query("ml_predictions", "pair date:d target:i " + " ".join(f"{m}:i" for m in (*MODELS, "voting")))
 def ml_predictions(spark, sf):
-    fitted, test = _trained(spark, sf)
-    return models.score(fitted, test)
+    return _scored(spark, sf)[1]
 
 
 @query("model_comparison", "model accuracy:6 test_rows:l")
 def model_comparison(spark, sf):
-    fitted, test = _trained(spark, sf)
-    return models.compare(models.score(fitted, test), [*fitted, "voting"])
+    names, scored = _scored(spark, sf)
+    return models.compare(scored, [*names, "voting"])
+
+
+TEST_SQL = f"""SELECT * FROM (SELECT *, row_number() OVER {W} > floor(0.8 * count(*) OVER (PARTITION BY pair)) AS held
+    FROM ({FEATURES_SQL})) WHERE held"""
+
+
+@query(
+    "ml_prediction_rows",
+    "pair date:d target:i known:b vote:b",
+    f"SELECT pair, date, target, true AS known, true AS vote FROM ({TEST_SQL})",
+)
+def ml_prediction_rows(spark, sf):
+    """Every test row is predicted as 0 or 1 by all models, and the vote is the majority of its voters."""
+    names, scored = _scored(spark, sf)
+    votes = sum((F.col(v) for v in models.VOTERS), F.lit(0))
+    known = F.forall(F.array(*names, "voting"), lambda p: p.isin(0, 1))
+    return scored.select("pair", "date", "target", known.alias("known"), (F.col("voting") == (votes >= 2).cast("int")).alias("vote"))
+
+
+@query(
+    "model_rows",
+    "model test_rows:l sane:b",
+    f"SELECT model, (SELECT count(*) FROM ({TEST_SQL})) AS test_rows, true AS sane FROM (VALUES "
+    + ", ".join(f"('{m}')" for m in (*MODELS, "voting"))
+    + ") AS m(model)",
+)
+def model_rows(spark, sf):
+    return model_comparison(spark, sf).withColumn("sane", F.col("accuracy").between(0.4, 1))
+
+
+@query(
+    "feature_coverage",
+    "column_name n:l",
+    " UNION ALL ".join(
+        f"SELECT '{c.partition(':')[0]}' AS column_name, count(*) AS n FROM ({FEATURES_SQL})"
+        for c in FEATURES.split()
+        if c.partition(":")[0] not in ("pair", "date", "target")
+    ),
+)
+def feature_coverage(spark, sf):
+    """The numeric columns that models read, with their values; no row misses one."""
+    rows = features.ml_features(inputs.bars(spark, sf))
+    columns = features.feature_columns(rows)
+    counted = rows.agg(*[F.count(c).alias(c) for c in columns])
+    return counted.unpivot([], columns, "column_name", "n")
