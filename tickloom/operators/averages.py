@@ -136,16 +136,16 @@ def alpha_of_span(n):
 
 
 def linear_recurrence(df, by, order, place, terms):
-    """Add y_i = term_i + e^-rate * y_(i-1), y before the first row 0: name -> (term, rate).
+    """Add y_i = term_i + b * y_(i-1), y before the first row 0: name -> (term, b, -ln b).
 
     ``place`` numbers the rows of a partition ``by`` without gaps, in the order of ``order``.
     """
     groups = []
-    for name, (term, rate) in sorted(terms.items(), key=lambda t: -t[1][1]):
+    for name, (term, b, rate) in sorted(terms.items(), key=lambda t: -t[1][2]):
         if groups and groups[-1][0] <= _ALIKE * rate:
-            groups[-1][1][name] = (term, rate)
+            groups[-1][1][name] = (term, b, rate)
         else:
-            groups.append((rate, {name: (term, rate)}))
+            groups.append((rate, {name: (term, b, rate)}))
     for fastest, members in groups:
         size = max(1, int(_SAFE / fastest))
         df = df.withColumns({"_chunk": F.floor(F.col(place) / size), "_j": F.pmod(F.col(place), F.lit(size))})
@@ -153,18 +153,21 @@ def linear_recurrence(df, by, order, place, terms):
         before = Window.partitionBy(*by).orderBy("_chunk", order).rowsBetween(Window.unboundedPreceding, -1)
         last = F.col("_j") == size - 1
         df = df.withColumns(
-            {n: F.sum(term * F.exp(rate * F.col("_j"))).over(inside) * F.exp(-rate * F.col("_j")) for n, (term, rate) in members.items()}
+            {
+                n: F.sum(term * F.pow(F.lit(b), -F.col("_j"))).over(inside) * F.pow(F.lit(b), F.col("_j"))
+                for n, (term, b, _) in members.items()
+            }
         )
         ends = {n: F.when(last, F.col(n)) for n in members}
-        rounds = {n: math.ceil(_RANGE / (rate * size)) for n, (_, rate) in members.items()}
+        rounds = {n: math.ceil(_RANGE / (rate * size)) for n, (_, _, rate) in members.items()}
         for k in range(max(rounds.values()) + 1):
             df = df.withColumns({f"_end_{n}": e for n, e in ends.items()})
             handed = {n: F.coalesce(F.last(f"_end_{n}", ignorenulls=True).over(before), F.lit(0.0)) for n in members}
             ends = {
-                n: F.when(last, F.col(n) + math.exp(-rate * size) * handed[n]) if k < rounds[n] else F.col(f"_end_{n}")
-                for n, (_, rate) in members.items()
+                n: F.when(last, F.col(n) + b**size * handed[n]) if k < rounds[n] else F.col(f"_end_{n}")
+                for n, (_, b, _) in members.items()
             }
-        df = df.withColumns({n: F.col(n) + handed[n] * F.exp(-rate * (F.col("_j") + 1)) for n, (_, rate) in members.items()})
+        df = df.withColumns({n: F.col(n) + handed[n] * F.pow(F.lit(b), F.col("_j") + 1) for n, (_, b, _) in members.items()})
         df = df.drop("_chunk", "_j", *[f"_end_{n}" for n in members])
     return df
 
@@ -181,22 +184,22 @@ def recursive_means(df, w, means):
     if not means:
         return df
     terms = {
-        n: (as_col(c) * F.when(F.col("_pos") == 0, 1.0).otherwise(a), -math.log1p(-a)) for n, (c, a) in means.items()
+        n: (as_col(c) * F.when(F.col("_pos") == 0, 1.0).otherwise(a), 1 - a, -math.log1p(-a)) for n, (c, a) in means.items()
     }
     if w.block is None:
         return linear_recurrence(df, w.by, w.order, "_pos", terms)
-    own = {n: (F.when(F.col("_own"), term).otherwise(0.0), rate) for n, (term, rate) in terms.items()}
+    own = {n: (F.when(F.col("_own"), term).otherwise(0.0), b, rate) for n, (term, b, rate) in terms.items()}
     df = df.withColumn("_at", F.col("_pos") - F.col("_blk") * w.block)
     df = linear_recurrence(df, w.by, w.order, "_at", own)
     ends = df.filter("_own").groupBy(*w.by).agg(*[F.max_by(n, "_at").alias(f"_last_{n}") for n in terms])
     series = [k for k in w.by if k != "_blk"]
     whole = linear_recurrence(
-        ends, series, "_blk", "_blk", {f"_y_{n}": (F.col(f"_last_{n}"), rate * w.block) for n, (_, rate) in terms.items()}
+        ends, series, "_blk", "_blk", {f"_y_{n}": (F.col(f"_last_{n}"), b**w.block, rate * w.block) for n, (_, b, rate) in terms.items()}
     )
     along = Window.partitionBy(*series).orderBy("_blk")
     handed = whole.select(*w.by, *[F.coalesce(F.lag(f"_y_{n}").over(along), F.lit(0.0)).alias(f"_from_{n}") for n in terms])
     df = df.join(handed, list(w.by))
-    full = {n: F.col(n) + F.col(f"_from_{n}") * F.exp(-rate * (F.col("_at") + 1)) for n, (_, rate) in terms.items()}
+    full = {n: F.col(n) + F.col(f"_from_{n}") * F.pow(F.lit(b), F.col("_at") + 1) for n, (_, b, _) in terms.items()}
     return df.withColumns(full).drop("_at", *[f"_from_{n}" for n in terms])
 
 
