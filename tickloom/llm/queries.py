@@ -5,6 +5,7 @@ from __future__ import annotations
 from tickloom.llm.decontamination import op3_decontamination
 from tickloom.llm.html_labeller import op5_html_extraction
 from tickloom.llm.jaccard_groups import op8_ngram_jaccard
+from tickloom.llm.licences import op7_licence_scan
 from tickloom.llm.packing import op2_packing
 from tickloom.llm.ppm import op9_ppm_score
 from tickloom.llm.quality_pu import op10_quality_pu
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_html_extraction": op5_html_extraction,
     "op6_url_reputation": op6_url_reputation,
+    "op7_licence_scan": op7_licence_scan,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_ppm_score": op9_ppm_score,
     "op10_quality_pu": op10_quality_pu,
