@@ -15,27 +15,51 @@ words and fail the base rules of stage 2. Empty tables pass through.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontamination, quality_pu, quality_rules
+from tickloom.llm import decontamination, quality_pu, quality_rules, staging
 from tickloom.llm.jaccard_groups import jaccard_components
 from tickloom.llm.packing import packed_documents
-from tickloom.llm.staging import new_folder
 from tickloom.llm.workers import ship
 
 
+_LEFT: list[str] = []
+
+
+def _stage(function: Callable) -> Callable:
+    """A stage that first deletes the intermediate tables of the stage before.
+
+    That one's result has been written by then, as each stage reads what the one before wrote; only
+    the tables that a stage itself has made are touched.
+    """
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        staging.delete(_LEFT)
+        others = staging.made()
+        out = function(spark, docs, sf_dir)
+        _LEFT[:] = [path for path in staging.made() if path not in others]
+        return out
+
+    return run_stage
+
+
+@_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     model = quality_pu.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_pu.keep_good(docs, model)
 
 
+@_stage
 def weighted_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
     key = F.coalesce(F.col("doc_id").cast("long"), text_hash.bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62))
@@ -47,10 +71,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return one.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
+@_stage
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packed_documents(docs)
 
@@ -71,7 +97,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; the result is the last stage's."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        folder = new_folder(spark, f"pipeline-{name}")
+        folder = staging.new_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
     return docs

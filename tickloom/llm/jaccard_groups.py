@@ -8,9 +8,12 @@ node from the start. For the others:
    so linked sets agree in a known number of parts. A part's content is the token of the matrix. The
    number of parts depends on the size, so sizes fall into classes by a factor of 1.5, and a set within
    reach of a class border also has tokens of a scheme across that border. Common passages don't fill
-   token lists, because a token stands for several shingles at once.
+   token lists, because a token stands for several shingles at once. Tokens are made twice: the first
+   time to find those of two nodes or more, the second time to keep only these (a bit filter of fixed
+   size passes them and few others), so that the many tokens of one node are never stored.
 2. Groups. A node joins the smallest node it shares a token with: similar documents come together. Groups
-   over a bound are dealt out by hash, so no group grows with the data.
+   over a bound are dealt out by hash, so no group grows with the data. Small groups that the matrix finds
+   similar are then put together up to the bound, so that a family of documents is in few groups.
 3. Matrix. Its rows are (token, group): the union of the group's tokens. Two groups are compared only when
    they share as many tokens as any linked pair across them must.
 4. Opening. A task has the shingle sets of two groups (or one). A set whose overlap with the other group's
@@ -32,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
@@ -41,9 +44,9 @@ from tickloom.llm.words import distinct, hashes, mix, nested, shingles, slices,
 from tickloom.llm.workers import ship
 
 #: A group holds at most so many nodes, and about so many shingles.
-GROUP_NODES, GROUP_SHINGLES = 256, 1 << 21
-#: Bits of the filter that tells which documents' sets must be built again.
-FILTER_BITS = 1 << 23
+GROUP_NODES, GROUP_SHINGLES = 2048, 1 << 21
+#: Bits of the filters that pass shared tokens, and documents whose sets must be built again.
+TOKEN_BITS, FILTER_BITS = 1 << 26, 1 << 23
 _NODE, _PART = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
@@ -113,43 +116,77 @@ def set_nodes(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.where(n > 0, mix(sums[at[1:]] - sums[at[:-1]] + n.astype(np.uint64) * _NODE), np.uint64(0)).view(np.int64)
 
 
-def document_sets(docs: DataFrame, rule: Schemes, size: int, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
-    """id, carried columns, n, node (NULL for the empty set), need, tokens: one row per document."""
+def set_tokens(values: np.ndarray, at: np.ndarray, rule: Schemes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens of every set, the set of each, and the least number that any partner shares."""
+    n = np.diff(at)
+    schemes = [np.where(n > 0, s, -1) for s in (rule.of(n)[0], *rule.both(n))]
+    found = [part_tokens(values, at, s, rule) for s in schemes]
+    need = np.minimum.reduce([np.where(s >= 0, f[2], 1 << 30) for s, f in zip(schemes, found, strict=True)])
+    owner = np.concatenate([np.repeat(np.arange(len(n)), np.diff(f[1])) for f in found])
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate([f[0] for f in found])[order], owner[order], need
+
+
+def shared_tokens(docs: DataFrame, rule: Schemes, size: int, text_col: str) -> DataFrame:
+    """token, owner: the tokens of two nodes or more, and the smallest node of each."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                values, at = shingle_sets(part, "text", size)
+                tokens, owner, _ = set_tokens(values, at, rule)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(set_nodes(values, at)[owner])], ["token", "node"])
+
+    tokens = docs.select(F.col(text_col).alias("text")).mapInArrow(build, "token long, node long")
+    both = tokens.groupBy("token").agg(F.min("node").alias("owner"), F.max("node").alias("last"))
+    return staged(both.where("owner < last").select("token", "owner"), "owners")
+
+
+def bit_filter(values: DataFrame, bits: int) -> np.ndarray:
+    """A table of `bits` bits (a multiple of 32,768) from a column `p` of places in it; it comes to the driver as rows of 4 KB."""
+    out = np.zeros(bits // 8, np.uint8)
+    maps = values.groupBy(F.expr("bitmap_bucket_number(p + 1)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p + 1))").alias("bits"))
+    for k, found in maps.toLocalIterator():
+        out[(k - 1) * 4096 : k * 4096] = np.frombuffer(bytes(found), np.uint8)
+    return out
+
+
+def passes(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return table[places >> 3] >> (places & 7).astype(np.uint8) & 1 > 0
+
+
+def document_sets(docs: DataFrame, owners: DataFrame, rule: Schemes, size: int, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+    """id, carried columns, n, node (NULL for the empty set), need, tokens (shared ones, and few others): one row per document."""
+    spark = docs.sparkSession
+    wanted = spark.sparkContext.broadcast(bit_filter(owners.select(F.col("token").bitwiseAND(TOKEN_BITS - 1).alias("p")), TOKEN_BITS))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = wanted.value
         for batch in batches:
             for part in slices(batch, "text"):
                 values, at = shingle_sets(part, "text", size)
                 n = np.diff(at)
-                schemes = [rule.of(n)[0], *rule.both(n)]
-                schemes = [np.where(n > 0, s, -1) for s in schemes]
-                found = [part_tokens(values, at, s, rule) for s in schemes]
-                need = np.minimum.reduce([np.where(s >= 0, f[2], 1 << 30) for s, f in zip(schemes, found, strict=True)])
-                counts = np.sum([np.diff(f[1]) for f in found], axis=0)
-                owner = np.concatenate([np.repeat(np.arange(len(n)), np.diff(f[1])) for f in found])
-                tokens = np.concatenate([f[0] for f in found])[np.argsort(owner, kind="stable")]
+                tokens, owner, need = set_tokens(values, at, rule)
+                kept = passes(table, (tokens & np.uint64(TOKEN_BITS - 1)).view(np.int64))
+                ends = np.concatenate([[0], np.cumsum(np.bincount(owner[kept], minlength=len(n)))])
                 nodes = pa.array(set_nodes(values, at), mask=n == 0)
-                kept = [part.column(c) for c in ("id", *carry)]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(n), nodes, pa.array(need.astype(np.int32)), nested(tokens, np.concatenate([[0], np.cumsum(counts)]), pa.int64())],
+                    [*(part.column(c) for c in ("id", *carry)), pa.array(n), nodes, pa.array(need.astype(np.int32)), nested(tokens[kept], ends, pa.int64())],
                     ["id", *carry, "n", "node", "need", "tokens"],
                 )
 
     rows = docs.select(F.col(id_col).alias("id"), *carry, F.col(text_col).alias("text"))
     kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in ("id", *carry))
-    ship(docs.sparkSession)
     return rows.mapInArrow(build, f"{kept}, n long, node long, need int, tokens array<long>")
 
 
-def candidate_groups(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes that share a token (node, grp), and pairs of groups (g1, g2) to open; g1 = g2 within a group."""
+def candidate_groups(sets: DataFrame, owners: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes that share a token (node, grp), and the groups on both sides of every comparison (job, side, grp)."""
     tokens = sets.where("n > 0").select(F.explode("tokens").alias("token"), "node")
-    owners = tokens.groupBy("token").agg(F.min("node").alias("owner"), F.max("node").alias("last")).where("owner < last").select("token", "owner")
-    shared = staged(tokens.join(staged(owners, "owners"), "token").groupBy("token", "node").agg(F.first("owner").alias("owner")), "shared")
+    shared = staged(tokens.join(owners, "token").groupBy("token", "node").agg(F.first("owner").alias("owner")), "shared")
     facts = sets.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("need").alias("need"))
     nodes = staged(shared.groupBy("node").agg(F.min("owner").alias("key")).join(facts, "node"), "nodes")
-    room = F.greatest(F.lit(2), F.least(F.lit(GROUP_NODES), F.floor(F.lit(GROUP_SHINGLES) / F.max("n"))))
-    large = nodes.groupBy("key").agg(F.count("*").alias("c"), room.alias("room")).where("c > room")
+    large = nodes.groupBy("key").agg(F.count("*").alias("c"), room_of("n").alias("room")).where("c > room")
     # The few large keys are repeated per salt, so that one key's nodes need not meet in one task.
     large = staged(large.select("key", F.ceil(F.col("c") / F.col("room")).alias("chunks"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt")), "large")
     salted = nodes.withColumn("salt", F.pmod("node", F.lit(16)).cast("int")).join(large, ["key", "salt"], "left")
@@ -158,38 +195,71 @@ def candidate_groups(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     matrix = staged(shared.join(nodes, "node").groupBy("token", "grp").agg(F.min("need").alias("need")), "matrix")
     one, two = (matrix.select("token", F.col("grp").alias(g), F.col("need").alias(f"n{g}")) for g in ("g1", "g2"))
     across = one.join(two, "token").where("g1 < g2").groupBy("g1", "g2").agg(F.count("*").alias("c"), F.min(F.greatest("ng1", "ng2")).alias("need")).where("c >= need")
-    within = nodes.groupBy(F.col("grp").alias("g1")).agg(F.count("*").alias("c")).where("c > 1").select("g1", F.col("g1").alias("g2"))
-    return nodes.select("node", "grp"), staged(across.select("g1", "g2").union(within), "pairs")
+    return merged(nodes, staged(across.select("g1", "g2"), "pairs"), room_of("n"))
+
+
+def room_of(size: str) -> Column:
+    return F.greatest(F.lit(2), F.least(F.lit(GROUP_NODES), F.floor(F.lit(GROUP_SHINGLES) / F.max(size))))
+
+
+def merged(nodes: DataFrame, pairs: DataFrame, room: Column) -> tuple[DataFrame, DataFrame]:
+    """Small groups put together with those that pairs connect them to, as far as there is room, and the pairs that are left.
+
+    Two groups of a pair are either in one larger group now or in two that are opened together, so no comparison
+    is lost; only the groups of such pairs come to the task of two larger ones. Returns (node, grp) and (job, side, grp).
+    """
+    sizes = nodes.groupBy("grp").agg(F.count("*").alias("c"), room.alias("room"))
+    near = components(pairs.toDF("a", "b")).toDF("grp", "head")
+    small = staged(sizes.where("2 * c <= room").join(near, "grp", "left").withColumn("head", F.coalesce("head", "grp")), "small")
+    heads = staged(small.groupBy("head").agg(F.sum("c").alias("total"), F.min("room").alias("least")), "heads")
+    bin_ = F.pmod(F.xxhash64("grp"), F.ceil(F.col("total") / F.col("least")))
+    homes = staged(small.join(heads, "head").select("grp", F.xxhash64("head", bin_).alias("home")), "homes")
+    place = staged(sizes.join(homes, "grp", "left").select("grp", "c", F.coalesce("home", "grp").alias("home")), "places")
+    ends = pairs
+    for end in ("g1", "g2"):
+        ends = ends.join(place.select(F.col("grp").alias(end), F.col("home").alias(f"h{end}")), end)
+    job = F.struct(F.least("hg1", "hg2").alias("one"), F.greatest("hg1", "hg2").alias("two")).alias("job")
+    ends = ends.where("hg1 <> hg2").select(job, F.col("hg1"), "g1", "g2")
+    first = (F.col("hg1") == F.col("job.one")).cast("int")
+    across = ends.select("job", (1 - first).alias("side"), F.col("g1").alias("grp")).union(ends.select("job", first.alias("side"), F.col("g2").alias("grp"))).distinct()
+    several = place.groupBy("home").agg(F.sum("c").alias("total")).where("total > 1").select("home")
+    within = place.join(several, "home", "left_semi").select(F.struct(F.col("home").alias("one"), F.col("home").alias("two")).alias("job"), F.lit(0).alias("side"), "grp")
+    return nodes.select("node", "grp"), staged(across.union(within), "opened")
 
 
 def needed_sets(docs: DataFrame, sets: DataFrame, nodes: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """node, shingles (bytes of sorted 64-bit hashes) of all `nodes`, built from one text each.
+    """node, shingles (`packed`) of all `nodes`, built from one text each, or from a few of equal sets.
 
     A bit filter of fixed size passes all ids that are needed and few others, so most texts are not cut
     into shingles again; the join drops what passed in vain.
     """
     chosen = sets.where("n > 0").select("node", "id").join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    maps = chosen.where("id is not null").select(place("id").alias("p")).groupBy(F.expr("bitmap_bucket_number(p + 1)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p + 1))").alias("bits"))
-    for k, found in maps.collect():  # at most FILTER_BITS / 32768 rows
-        low = np.frombuffer(bytes(found), np.uint8)
-        at = ((k - 1) * 4096) % len(bits)
-        bits[at : at + 4096] |= low
+    bits = bit_filter(chosen.where("id is not null").select(place("id").alias("p")), FILTER_BITS)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = batch.column("p").to_numpy()
-            wanted = (p < 0) | (bits[p // 8] >> (p % 8).astype(np.uint8) & 1 > 0)
-            for part in slices(batch.filter(pa.array(wanted)), "text"):
+            for part in slices(batch.filter(pa.array((p < 0) | passes(bits, np.maximum(p, 0)))), "text"):
                 values, at = shingle_sets(part, "text", size)
                 keep = np.flatnonzero(np.diff(at))
-                raw = [values[at[i] : at[i + 1]].tobytes() for i in keep]
+                raw = [packed(values[at[i] : at[i + 1]]) for i in keep]
                 yield pa.RecordBatch.from_arrays([pa.array(set_nodes(values, at)[keep]), pa.array(raw, pa.binary())], ["node", "shingles"])
 
     rows = docs.select(F.when(F.col(id_col).isNull(), -1).otherwise(place(id_col)).alias("p"), F.col(text_col).alias("text"))
     built = rows.mapInArrow(build, "node long, shingles binary")
-    return staged(built.join(nodes.select("node"), "node", "left_semi"), "sets").dropDuplicates(["node"])
+    return staged(built.join(nodes.select("node"), "node", "left_semi"), "sets")
+
+
+def packed(values: np.ndarray) -> bytes:
+    """The upper 48 bits of sorted hashes. Two sets of 1,000 shingles agree wrongly in one with a chance of 4 in a billion."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64)[:, 0]
 
 
 class _Forest:
@@ -229,13 +299,13 @@ def open_groups(left: list[np.ndarray], right: list[np.ndarray], num: int, den:
     return forest
 
 
-def links(groups: DataFrame, pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def links(groups: DataFrame, sides: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """a, b: per task a spanning forest of the links between two groups."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(job: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
-            job.sort(key=lambda x: x[:2])  # by side, then node
-            sides = [[np.frombuffer(raw, np.uint64) for side, _, raw in job if side == s] for s in (0, 1)]
+            job = sorted({x[:2]: x for x in job}.values(), key=lambda x: x[:2])  # each node once; by side, then node
+            sides = [[unpacked(raw) for side, _, raw in job if side == s] for s in (0, 1)]
             if len(job) < 2 or not sides[0]:
                 return []
             forest = open_groups(*sides, num, den)
@@ -254,8 +324,6 @@ def links(groups: DataFrame, pairs: DataFrame, sets: DataFrame, num: int, den: i
         if edges := close(job):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], ["a", "b"])
 
-    job = F.struct("g1", "g2").alias("job")
-    sides = pairs.select(job, F.lit(0).alias("side"), F.col("g1").alias("grp")).union(pairs.where("g1 < g2").select(job, F.lit(1).alias("side"), F.col("g2").alias("grp")))
     rows = sides.join(groups, "grp").join(sets, "node").select("job", "side", "node", "shingles")
     return staged(rows.repartition("job").sortWithinPartitions("job").mapInArrow(verify, "a long, b long"), "links")
 
@@ -263,10 +331,12 @@ def links(groups: DataFrame, pairs: DataFrame, sets: DataFrame, num: int, den: i
 def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """id, carried columns, n_shingles, node, component (smallest id reachable by links) for every row."""
     rule, carry = Schemes(num, den), list(carry)
-    sets = staged(document_sets(docs, rule, size, id_col, text_col, carry), "documents")
-    groups, pairs = candidate_groups(sets)
+    ship(docs.sparkSession)
+    owners = shared_tokens(docs, rule, size, text_col)
+    sets = staged(document_sets(docs, owners, rule, size, id_col, text_col, carry), "documents")
+    groups, sides = candidate_groups(sets, owners)
     shingled = needed_sets(docs, sets, groups, size, id_col, text_col)
-    labels = components(links(groups, pairs, shingled, num, den))
+    labels = components(links(groups, sides, shingled, num, den))
     firsts = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("first"))
     named = staged(firsts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
     least = staged(named.groupBy("label").agg(F.min("first").alias("component")), "least")

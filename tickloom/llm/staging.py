@@ -26,19 +26,39 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Spark deletes an execution's shuffle files when it ends; a staged table is never made twice.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table once and read it back: later jobs and lost executors never recompute it."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    before = spark.conf.get(_FREE)
+    spark.conf.set(_FREE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def made() -> list[str]:
+    """Folders that exist now, to be given to `delete` when nothing reads them any more."""
+    return list(_MADE)
+
+
+def delete(paths: list[str]) -> None:
+    for uri in paths:
+        if uri in _MADE:
+            _MADE.remove(uri)
+            system, path = open_store(uri)
+            if system.get_file_info(path).type == pafs.FileType.Directory:
+                system.delete_dir(path)
 
 
 def clear() -> None:
     """Delete every intermediate folder of this process; results read from them must be consumed first."""
-    while _MADE:
-        system, path = open_store(_MADE.pop())
-        if system.get_file_info(path).type == pafs.FileType.Directory:
-            system.delete_dir(path)
+    delete(made())
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -14,7 +14,7 @@ PACKAGE = Path(__file__).resolve().parents[1]
 
 
 #: Spark's limit on rows alone lets a batch of very long texts grow without bound.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
