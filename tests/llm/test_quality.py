@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.llm import ppm, quality_pu, quality_rules, url_reputation
 from tickloom.llm.workers import ship
@@ -146,6 +147,24 @@ def test_rare_words_are_joined(spark):
     assert one == two
 
 
+def test_runs_not_held_are_joined(spark):
+    """With hardly any run, or none, sent to the tasks, scores still come from all learnt runs."""
+    rows = [(i, t) for i, t in odd_texts() if t is None or len(t) < 5_000]
+    rows += [(200 + n, f"held out or not {n} {'unheard ' * n}") for n in range(12)] + [(300, "\0" * 9), (301, "\0" * 20)]
+    docs = documents(spark, rows)
+    want = sorted(r[-1] for r in brute_scores(rows))
+    for most in (0, 40):
+        model, rare = ppm.train(docs.where(ppm.learnt(F.col("doc_id"))), most_edges=most)
+        assert len(model.runs) <= most
+        assert sorted(r.score for r in ppm.score(docs, model, rare).collect()) == pytest.approx(want)
+
+
+def test_bound_on_large_counts(spark):
+    """Counts above 65,536 are told apart, and what is sent is bounded among them too."""
+    counts = spark.range(100).selectExpr("id as key", "100000 + 1000 * id as n")
+    assert 0 < len(ppm._collected(counts, 30)[0]) <= 30
+
+
 def test_probabilities_sum_to_one(spark):
     model, _ = ppm.train(documents(spark, [(i, t) for i, t in odd_texts() if t and len(t) < 5_000]), most_edges=300)
     for context in (b"\xfe\xfe\xfe\xfe\xfe", b"e qui", b"zzzzz", b"of an"):

@@ -1,9 +1,7 @@
 """Language-model scoring by prediction by partial matching (PPM) over bytes.
 
 Learning counts every run of ORDER + 1 bytes of the learning texts: in each task with NumPy, then over
-all tasks by Spark. Shorter runs are sums of longer ones. The trie is kept to at most `most_edges` edges
-by one least count for all orders, so a kept context's suffixes are kept too, and what follows a context
-follows its suffix.
+all tasks by Spark. Shorter runs are sums of longer ones. All of them are kept, in tables.
 
 Scoring walks from the longest context down. Where a context has c occurrences of the byte, T of all and D
 different ones, the byte has c / (T + D), the escape D / (T + D). After an escape, what the longer context
@@ -11,6 +9,11 @@ could have given is excluded: as its bytes are a subset of the shorter one's, th
 number per context. Below the empty context all symbols not yet excluded are equally likely. A text
 begins with ORDER start symbols and closes with an end symbol; these bytes never occur in UTF-8.
 
+A run's score depends on the run alone. The scores of the most frequent learnt runs (`most_edges`) are sent to all
+tasks: that spares most positions the join and changes no result. What other runs a text has, each once with its
+number, is joined by Spark with the scores of all learnt runs and of those never learnt. The latter are found order
+by order; no group is large there, as one more byte on either side of a run has 255 values at most.
+
 The base score is an add-one unigram model over all words of the learning texts. The most frequent words
 (`most_words`) are sent to all tasks; occurrences of rarer ones are joined with the count table by Spark.
 
@@ -28,7 +31,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.staging import staged
@@ -62,10 +65,6 @@ def at_order(run: np.ndarray, order: int) -> np.ndarray:
     return (run & np.uint64((1 << 8 * (order + 1)) - 1)) | np.uint64((order + 1) << 56)
 
 
-def context(run: np.ndarray) -> np.ndarray:
-    return (run & _BYTES) >> np.uint64(8) | (run >> _TAG) << _TAG
-
-
 class Table:
     """A fixed hash table from 64-bit keys (never 0) to their places."""
 
@@ -102,58 +101,53 @@ class Table:
 
 
 class Trie:
-    """Counts of runs of 1 to ORDER + 1 bytes. Sent as two arrays; tables are built in each worker."""
-
-    def __init__(self, edges: np.ndarray, counts: np.ndarray) -> None:
-        order = np.argsort(edges)
-        self.edges, self.counts = edges[order], counts[order].astype(np.int64)
+    """All learnt runs: `runs` (key, n, gain) of ORDER + 1 bytes, gain being the score, and `edges` (depth, key, n) with `depth` bytes of context."""
+
+    def __init__(self, runs: DataFrame, edges: DataFrame) -> None:
+        self.runs, self.edges = runs, edges
+
+    def gains(self, asked: DataFrame) -> DataFrame:
+        """key and gain of the runs `asked` (key): log10 probability of each run's last symbol after its context."""
+        asked = asked.select(F.inline(_orders(F.col("key")))).distinct()
+        context, lower = F.expr("shiftright(key, 8)"), F.expr("key & (shiftleft(1L, 8 * depth) - 1)")
+        # The count of the edge one order below, which one more byte of context parts.
+        edges = self.edges.select("depth", "key", "n", F.sum("n").over(Window.partitionBy("depth", lower)).alias("below"), F.lit(1).alias("edge"))
+        rows = edges.union(asked.select("depth", "key", F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(0)))
+        node = Window.partitionBy("depth", context)
+        found = F.sum("n").over(Window.partitionBy("depth", context, "key"))
+        sums = [F.sum(of).over(node).alias(name) for of, name in (("n", "total"), ("edge", "kinds"), ("below", "excluded"))]
+        placed = staged(rows.select("depth", "key", "edge", found.alias("n"), *sums).where("edge = 0").drop("edge"), "placed")
+        out = None
+        for order in range(ORDER + 1):
+            at = placed.where(F.col("depth") == order).drop("depth")
+            if out is None:
+                rest, other = -F.log10(SYMBOLS - F.col("kinds")), F.lit(-float(np.log10(SYMBOLS)))
+            else:
+                at = at.withColumn("low", F.col("key").bitwiseAND(F.lit((1 << 8 * order) - 1).cast("long")))
+                at = at.join(out.select(*[F.col(c).alias("low" if c == "key" else f"low_{c}") for c in out.columns]), "low")
+                both, open_ = F.expr("low_total + low_kinds - excluded - kinds"), F.expr("low_kinds - kinds")
+                escape = F.when(open_ > 0, F.log10(open_) - F.log10(both)).otherwise(0.0)
+                rest = F.when(F.col("low_n") > 0, F.log10("low_n") - F.log10(both)).otherwise(escape + F.col("low_rest"))
+                other = F.col("low_gain")
+            whole = F.log10(F.col("total") + F.col("kinds"))
+            gain = F.when(F.col("n") > 0, F.log10("n") - whole).when(F.col("kinds") > 0, F.log10("kinds") - whole + rest).otherwise(other)
+            # `rest` is the score from the next lower context on, after an escape out of this one.
+            out = at.select("key", "n", "total", "kinds", rest.alias("rest"), gain.alias("gain"))
+        return out.select("key", "gain")
 
-    def __getstate__(self) -> dict:
-        return {"edges": self.edges, "counts": self.counts}
+    def log10(self, run: np.ndarray) -> np.ndarray:
+        """The same for the runs of an array, on the driver."""
+        spark = self.runs.sparkSession
+        asked = spark.createDataFrame([(k,) for k in np.unique(run).tolist()], "key long")
+        got = self.gains(asked).toArrow()
+        key, gain = got.column("key").to_numpy(), got.column("gain").to_numpy()
+        order = np.argsort(key)
+        return gain[order][np.searchsorted(key[order], run.view(np.int64))]
 
-    @cached_property
-    def tables(self) -> tuple[Table, Table]:
-        self.nodes, owner = np.unique(context(self.edges), return_inverse=True)
-        self.total = np.bincount(owner, self.counts, minlength=len(self.nodes))
-        self.kinds = np.bincount(owner, minlength=len(self.nodes)).astype(np.float64)
-        below = np.zeros(len(self.edges))
-        for order in range(1, ORDER + 1):
-            mine = np.flatnonzero(self.edges >> _TAG == order + 1)
-            lower = at_order(self.edges[mine] & _BYTES, order - 1)
-            place = np.minimum(np.searchsorted(self.edges, lower), max(0, len(self.edges) - 1))
-            below[mine] = np.where(self.edges[place] == lower, self.counts[place], 0)
-        self.excluded = np.bincount(owner, below, minlength=len(self.nodes))
-        self.direct = np.log10(self.counts / (self.total + self.kinds)[owner]).astype(np.float32)
-        return Table(self.edges), Table(self.nodes)
 
-    def log10(self, run: np.ndarray) -> np.ndarray:
-        """log10 probability of each run's last symbol after its context."""
-        edges, nodes = self.tables
-        out = np.zeros(len(run))
-        place = edges.find(at_order(run, ORDER))
-        out[place >= 0] = self.direct[place[place >= 0]]
-        left = np.flatnonzero(place < 0)
-        run, less, fewer = run[left], np.zeros(len(left)), np.zeros(len(left))
-        for order in range(ORDER, -1, -1):
-            if not len(left):
-                return out
-            key = at_order(run, order)
-            node = nodes.find(context(key))
-            some = np.flatnonzero(node >= 0)
-            total = self.total[node[some]] - less[some]
-            kinds = self.kinds[node[some]] - fewer[some]
-            edge = edges.find(key[some])
-            hit, both = edge >= 0, np.maximum(total + kinds, 1e-300)
-            out[left[some[hit]]] += np.log10(self.counts[edge[hit]] / both[hit])
-            escape = some[~hit]
-            open_ = kinds[~hit] > 0
-            out[left[escape[open_]]] += np.log10(kinds[~hit][open_] / both[~hit][open_])
-            less[escape], fewer[escape] = self.excluded[node[escape]], self.kinds[node[escape]]
-            on = np.ones(len(left), bool)
-            on[some[hit]] = False
-            left, run, less, fewer = left[on], run[on], less[on], fewer[on]
-        out[left] -= np.log10(SYMBOLS - fewer)
-        return out
+def _orders(key: Column) -> Column:
+    """A run of ORDER + 1 bytes with 0 to ORDER of its bytes of context: depth and key."""
+    return F.array(*[F.struct(F.lit(o).alias("depth"), key.bitwiseAND(F.lit((1 << 8 * (o + 1)) - 1).cast("long")).alias("key")) for o in range(ORDER + 1)])
 
 
 class _Tally:
@@ -200,9 +194,10 @@ def count(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _least(counts: DataFrame, most: int) -> int:
-    """The least count that leaves at most `most` rows; counts from 65,536 on are told apart no further."""
-    found = counts.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("rows")).collect()
-    left, least = 0, (1 << 16) + 1
+    """The least count that leaves at most `most` rows; counts from 65,536 on are told apart by their first 16 bits."""
+    coarse = F.expr("n - n % shiftleft(1L, greatest(length(bin(n)) - 16, 0))")
+    found = counts.groupBy(coarse.alias("n")).agg(F.count("*").alias("rows")).collect()
+    left, least = 0, (1 << 63) - 1
     for n, rows in sorted(found, reverse=True):
         left += rows
         if left > most:
@@ -211,40 +206,60 @@ def _least(counts: DataFrame, most: int) -> int:
     return least
 
 
-def _collected(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the most frequent rows, `most` of them at most."""
-    got = counts.where(F.col("n") >= _least(counts, most)).select("key", "n").toArrow()
-    return got.column("key").to_numpy().view(np.uint64), got.column("n").to_numpy()
+def _collected(counts: DataFrame, most: int, value: str = "n") -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values of the most frequent rows, `most` of them at most."""
+    got = counts.where(F.col("n") >= _least(counts, most)).select("key", value).toArrow()
+    return got.column("key").to_numpy().view(np.uint64), got.column(value).to_numpy()
 
 
 class Model:
-    """The trie, the frequent words with their counts, and the numbers of the unigram model."""
+    """The trie, its most frequent runs with their scores, the frequent words with their counts, and the numbers of the unigram model.
 
-    def __init__(self, trie: Trie, words: np.ndarray, counts: np.ndarray, texts: int, tokens: int, kinds: int) -> None:
-        self.trie, self.words, self.counts, self.texts, self.tokens, self.kinds = trie, words, counts, texts, tokens, kinds
+    Sent without the trie; hash tables are built in each worker.
+    """
+
+    def __init__(self, trie: Trie, runs: np.ndarray, gains: np.ndarray, words: np.ndarray, counts: np.ndarray, texts: int, tokens: int, kinds: int) -> None:
+        self.trie, self.runs, self.gains = trie, runs, gains
+        self.words, self.counts, self.texts, self.tokens, self.kinds = words, counts, texts, tokens, kinds
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "table"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("trie", "table", "held")}
 
     @cached_property
     def table(self) -> Table:
         return Table(self.words)
 
+    @cached_property
+    def held(self) -> Table:
+        return Table(at_order(self.runs, ORDER))
+
 
 def train(docs: DataFrame, text_col: str = "text", most_edges: int = 1_000_000, most_words: int = 500_000) -> tuple[Model, DataFrame]:
     """The model of all `docs`, and the counts of the words (key, n) that it doesn't hold."""
     counts = staged(count(docs, text_col), "counts")
-    masks = [F.col("key").bitwiseAND(F.lit((1 << 8 * (o + 1)) - 1)).bitwiseOR(F.lit((o + 1) << 56)) for o in range(ORDER + 1)]
-    edges = staged(counts.where(F.col("kind") == RUN).select(F.explode(F.array(*masks)).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n")), "edges")
+    node = Window.partitionBy(F.expr("shiftright(key, 8)"))
+    gain = F.log10("n") - F.log10(F.sum("n").over(node) + F.count("*").over(node))
+    runs = staged(counts.where(F.col("kind") == RUN).select("key", "n", gain.alias("gain")), "runs")
+    edges = staged(runs.select(F.inline(_orders(F.col("key"))), "n").groupBy("depth", "key").agg(F.sum("n").alias("n")), "edges")
     words = counts.where(F.col("kind") == WORD)
     held, n = _collected(words, most_words)
     kinds, tokens = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     texts = docs.count()
-    model = Model(Trie(*_collected(edges, most_edges)), held, n, texts, tokens + texts, kinds + (texts > 0))
+    model = Model(Trie(runs, edges), *_collected(runs, most_edges, "gain"), held, n, texts, tokens + texts, kinds + (texts > 0))
     least = int(n.min()) if len(n) else None
     return model, words.select("key", "n") if least is None else words.where(F.col("n") < least).select("key", "n")
 
 
+def _tallied(run: np.ndarray, before: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's chosen runs, once each, their numbers, and how many lie before each row."""
+    place = np.flatnonzero(chosen)
+    row, left = np.searchsorted(before, place, "right") - 1, run[place]
+    order = np.lexsort((left, row))
+    row, left = row[order], left[order]
+    new = np.flatnonzero(np.diff(left, prepend=~left[:1]).astype(bool) | np.diff(row, prepend=-1).astype(bool))
+    return left[new], np.diff(np.append(new, len(left))), np.searchsorted(row[new], np.arange(len(before)))
+
+
 def score(docs: DataFrame, model: Model, rare: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row."""
     spark = docs.sparkSession
@@ -254,14 +269,16 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, id_col: str = "doc_id"
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, row = sent.value, TaskContext.get().partitionId() << 33
-        table = model.table
+        table, held = model.table, model.held
         gains = np.log10(model.counts + 1)
         for batch in batches:
             for part in slices(batch, "text", AT_ONCE):
                 n = part.num_rows
                 data, at = text_bytes(part.column("text"))
                 run, before = runs(data, at)
-                sums = np.concatenate([[0], np.cumsum(model.trie.log10(run))])
+                at_run = held.find(at_order(run, ORDER))
+                sums = np.concatenate([[0], np.cumsum(np.where(at_run >= 0, np.append(model.gains, 0.0)[at_run], 0.0))])
+                others, times, ends = _tallied(run, before, at_run < 0)
                 starts, stops, words = spans(data, at)
                 names = hashes(data, starts, stops)
                 place = table.find(names)
@@ -272,19 +289,23 @@ def score(docs: DataFrame, model: Model, rare: DataFrame, id_col: str = "doc_id"
                 n_known = np.bincount(owner[known], minlength=n) + (model.texts > 0)
                 rest = np.concatenate([[0], np.cumsum(np.bincount(owner[~known], minlength=n))])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row + np.arange(n)), part.column("doc_id"), pa.array(tokens), pa.array(n_known), pa.array(base), pa.array(sums[before[1:]] - sums[before[:-1]]), nested(names[~known], rest, pa.int64())],
-                    ["row", "doc_id", "n_tokens", "n_known", "base", "score", "rest"],
+                    [pa.array(row + np.arange(n)), part.column("doc_id"), pa.array(tokens), pa.array(n_known), pa.array(base), pa.array(sums[before[1:]] - sums[before[:-1]]), nested(names[~known], rest, pa.int64()), nested(others, ends, pa.int64()), nested(times, ends, pa.int64())],
+                    ["row", "doc_id", "n_tokens", "n_known", "base", "held_score", "rest", "runs", "times"],
                 )
                 row += n
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    rated = staged(rows.mapInArrow(rate, f"row long, doc_id {kind}, n_tokens long, n_known long, base double, score double, rest array<long>"), "rated")
+    rated = staged(rows.mapInArrow(rate, f"row long, doc_id {kind}, n_tokens long, n_known long, base double, held_score double, rest array<long>, runs array<long>, times array<long>"), "rated")
     more = rated.select("row", F.explode("rest").alias("key")).join(rare, "key")
     more = more.groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("gain"))
-    out = rated.drop("rest").join(more, "row", "left")
+    asked = rated.select("row", F.inline(F.arrays_zip("runs", "times"))).select("row", F.col("runs").alias("key"), "times")
+    learnt_runs = model.trie.runs.select("key", "gain")
+    novel = staged(asked.select("key").distinct().join(learnt_runs, "key", "left_anti"), "novel")
+    missed = asked.join(learnt_runs.union(model.trie.gains(novel)), "key").groupBy("row").agg(F.sum(F.col("times") * F.col("gain")).alias("missed"))
+    out = rated.drop("rest", "runs", "times").join(more, "row", "left").join(missed, "row", "left")
     known = F.col("n_known") + F.coalesce("more", F.lit(0))
-    return out.select("doc_id", "n_tokens", known.alias("n_known"), (F.col("base") + F.coalesce("gain", F.lit(0.0))).alias("base_score"), "score")
+    return out.select("doc_id", "n_tokens", known.alias("n_known"), (F.col("base") + F.coalesce("gain", F.lit(0.0))).alias("base_score"), (F.col("held_score") + F.coalesce("missed", F.lit(0.0))).alias("score"))
 
 
 def op9_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
