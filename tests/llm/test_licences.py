@@ -79,3 +79,36 @@ def test_size_bounds_drop_nothing():
 def test_empty(spark):
     assert licences.licences(documents(spark, [])).count() == 0
     assert licences.licences(documents(spark), templates={}).where("licence is not null").count() == 0
+
+
+def test_notices_anywhere(spark):
+    """Texts of several paragraphs among others, notices inside lines and wrapped ones; runs against brute force."""
+    t = licences.TEMPLATES
+    mit = t["MIT"][2].replace(" The above copyright", "\n\nThe above copyright").replace(" THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    apache = t["Apache-2.0"][2].replace(" http:", "\n\n    http:").replace("2.0 Unless", "2.0\n\nUnless")
+    assert mit.count("\n\n") == apache.count("\n\n") == 2
+    rows = [
+        (1, f"{story(1, 300)}\n\n{mit}\n\n{story(2, 300)}"),
+        (2, f"{story(3, 300)}\n\n{apache}\n\n{story(4, 300)}"),
+        (3, f"{story(5, 400)} Released under the MIT License. {story(6, 400)}"),
+        (4, f"{story(7, 90)}\nMore words here. Released under the\nISC License. {story(8, 9)}\n{story(9, 90)}"),
+        (5, f"{story(7, 90)} {' '.join(mit.split())} {story(9, 90)} licensed under CC BY-SA 4.0 {story(2, 9)}"),
+        (6, "The License is under discussion. Released yesterday under rain."),
+        (7, "licensed under CC"),
+        (8, "BY 4.0"),
+        (9, None),
+    ]
+    got = {r.doc_id: r for r in licences.licences(documents(spark, rows), anywhere=True).collect()}
+    assert [got[i].licence for i in range(1, 10)] == ["MIT", "Apache-2.0", "MIT", "ISC", "CC-BY-SA-4.0", None, None, None, None]
+    assert got[5].found == ["CC-BY-SA-4.0", "MIT"] and got[3].scope == "window" and got[3].dice == 1
+    one = {"X": ("a b a b c d e",)}
+    import pyarrow as pa
+
+    want = Counter(zip("ababcd", "babcde"))
+    for seed in range(200):
+        w = [chr(97 + (seed * 7919 + k * k * 31 + k * (seed % 13)) % 6) for k in range(12)]
+        w[3:8] = "ababc" if seed % 3 == 0 else w[3:8]
+        runs = [Counter(zip(w[i:j], w[i + 1 : j])) for i in range(12) for j in range(i + 2, 13)]
+        best = max(2 * sum((r & want).values()) / (sum(r.values()) + 6) for r in runs)
+        found = licences.scan(licences.Templates(one), pa.array([" ".join(w)]), 0.6, anywhere=True)
+        assert (found[0][3] if found else 0) == pytest.approx(best if best >= 0.6 else 0), w

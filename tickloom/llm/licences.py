@@ -6,6 +6,11 @@ is 2 common / (a + b); it can't reach `least` unless 2 min(a, b) >= least (a + b
 template than that asks for. These size bounds leave few templates, which are compared exactly. The best template
 of a passage counts; per document and licence the best passage does.
 
+With `anywhere`, every run of bigrams inside a text is a passage too, whatever lines and blocks it crosses. A run
+that can reach `least` begins and ends with a bigram of the template, has least / (2 - least) of its bigrams and
+is at most (2 - least) / least times as long, so only such runs are counted, around known bigrams. Of runs that
+overlap, the most similar counts (then the longest, then the licence that is first by name).
+
 The templates are the stated query set and go to every task with the code; texts are never shuffled.
 
 Cases: NULL, empty and word-free texts, and texts of one word, have no licence; ties go to the licence that is
@@ -15,7 +20,9 @@ are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+import math
+from bisect import bisect
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 from functools import cached_property
 
@@ -62,7 +69,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "MIT": ("Released under the MIT License.", "Licensed under the MIT License.", _MIT),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
-SCOPES = ("line", "block", "text")
+SCOPES = ("line", "block", "text", "window")
 _FILTER = 1 << 16
 
 
@@ -90,6 +97,11 @@ class Templates:
     def known(self) -> np.ndarray:
         return np.array(sorted({v for c in self.counts for v in c}), np.uint64)
 
+    @cached_property
+    def members(self) -> np.ndarray:
+        """Whether each template (row) has each known bigram (column)."""
+        return np.array([np.isin(self.known, np.array(list(c), np.uint64)) for c in self.counts]).reshape(len(self.counts), -1)
+
     @cached_property
     def filter(self) -> np.ndarray:
         out = np.zeros(_FILTER, bool)
@@ -128,7 +140,37 @@ def _passages(data: np.ndarray, place: np.ndarray, row: np.ndarray) -> list[np.n
     return [*out, row]
 
 
-def scan(templates: Templates, column: pa.Array, least: float) -> list[tuple[int, str, str, float]]:
+def _windows(templates: Templates, values: np.ndarray, row: np.ndarray, hits: np.ndarray, least: float) -> Iterator[tuple[int, str, float]]:
+    """(row, licence, coefficient) of the best runs of bigrams that don't overlap; `hits` are the places of known bigrams."""
+    codes, ends = np.searchsorted(templates.known, values[hits]), np.searchsorted(row, row[hits], "right")
+    found = defaultdict(list)
+    for t, size in enumerate(templates.sizes.tolist()):
+        mine = np.flatnonzero(templates.members[t, codes]) if size else []
+        if not len(mine):
+            continue
+        place = hits[mine]
+        longest, fewest = math.floor(size * (2 - least) / least + 1e-9), math.ceil(size * least / (2 - least) - 1e-9)
+        stop = np.searchsorted(place, np.minimum(place + longest, ends[mine]))
+        for k in np.flatnonzero(stop - np.arange(len(place)) >= fewest).tolist():
+            left, common, best = dict(templates.counts[t]), 0, (0.0, 0)
+            for at, value in zip(place[k : stop[k]].tolist(), values[place[k : stop[k]]].tolist(), strict=True):
+                if left[value]:
+                    left[value] -= 1
+                    common += 1
+                    n = at - int(place[k]) + 1
+                    best = max(best, (2 * common / (n + size), n))
+            if best[0] >= least:
+                found[int(row[place[k]])].append((-best[0], -best[1], templates.names[t], int(place[k])))
+    for r, runs in found.items():
+        taken: list[tuple[int, int]] = []
+        for dice, n, name, first in sorted(runs):
+            at = bisect(taken, (first, 0))
+            if (at == 0 or taken[at - 1][1] <= first) and (at == len(taken) or taken[at][0] >= first - n):
+                taken.insert(at, (first, first - n))
+                yield r, name, -dice
+
+
+def scan(templates: Templates, column: pa.Array, least: float, anywhere: bool = False) -> list[tuple[int, str, str, float]]:
     """(row, licence, scope, coefficient): the best passage of each row and licence."""
     values, place, before, data = bigrams(column)
     row = np.repeat(np.arange(len(before) - 1), np.diff(before))
@@ -149,10 +191,13 @@ def scan(templates: Templates, column: pa.Array, least: float) -> list[tuple[int
             if found := templates.best(values[mine], int(hits[k]), least):
                 key = int(row[mine[0]]), found[1]
                 best[key] = max(best.get(key, (0.0, 0)), (found[0], -scope))
+    if anywhere:
+        for r, name, dice in _windows(templates, values, row, np.flatnonzero(maybe), least):
+            best[r, name] = max(best.get((r, name), (0.0, 0)), (dice, -3))
     return [(r, name, SCOPES[-scope], dice) for (r, name), (dice, scope) in sorted(best.items())]
 
 
-def licences(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] | None = None, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def licences(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] | None = None, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", anywhere: bool = False) -> DataFrame:
     """doc_id, licence (the best one, or NULL), scope, dice, and found: every licence of the text by name. One row per document."""
     ship(docs.sparkSession)
     known = Templates(TEMPLATES if templates is None else templates)
@@ -161,7 +206,7 @@ def licences(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] | None =
         for batch in batches:
             for part in slices(batch, "text"):
                 found: list[list[tuple[str, str, float]]] = [[] for _ in range(part.num_rows)]
-                for row, *rest in scan(known, part.column("text"), least):
+                for row, *rest in scan(known, part.column("text"), least, anywhere):
                     found[row].append(tuple(rest))
                 best = [max(f, key=lambda x: x[2]) if f else (None, None, None) for f in found]
                 columns = [pa.array(c, k) for c, k in zip(zip(*best, strict=True), (pa.string(), pa.string(), pa.float64()), strict=True)]
@@ -174,4 +219,4 @@ def licences(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] | None =
 
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, licence, scope, dice and found of every document."""
-    return licences(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return licences(spark.read.parquet(f"{sf_dir}/documents.parquet"), anywhere=True)
