@@ -175,6 +175,26 @@ def test_no_benchmark_or_documents(spark):
     assert decontamination.leaks(documents(spark, []), some).count() == 0
 
 
+def test_items_longer_than_the_document(spark):
+    """A document that is an item short of some words is one window; all pairs, compared by hand."""
+    item = [f"w{k}" for k in range(24)]
+    twice = ("a b c d e f g " * 5).split()
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(twice)), (3, "one two three")], "item_id long, text string")
+    docs = [(10 + n, " ".join(w[:n])) for w in (item,) for n in range(16, 25)] + [(50, " ".join(item[2:])), (51, " ".join(twice[:-2])), (52, " ".join(item[:11] + item[13:])), (53, "one two"), (54, "w1")]
+    want = {}
+    for d, text in docs:
+        for i, w in ((1, item), (2, twice)):
+            one, two = (Counter(tuple(x[k : k + 5]) for k in range(len(x) - 4)) for x in (text.split(), w))
+            alike = sum((one & two).values()) / sum((one | two).values())
+            if alike >= 0.8:
+                want[d, i] = (0, len(text.split()), pytest.approx(alike))
+    assert {d for d, _ in want} == {30, 31, 32, 33, 34, 50, 51}
+    got = decontamination.leaks(documents(spark, docs), benchmark).collect()
+    assert {(x.doc_id, x.item_id): (x.start, x.n_words, x.similarity) for x in got} == want
+    clean = decontamination.decontaminate(documents(spark, docs), benchmark)
+    assert {x.doc_id for x in clean.collect()} == {d for d, _ in docs} - {d for d, _ in want}
+
+
 def test_index_returns_all_within_the_radius():
     r = np.random.default_rng(8)
     runs = [r.integers(1, 1 << 62, 20).astype(np.uint64) for _ in range(40)]

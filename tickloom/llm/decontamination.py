@@ -8,6 +8,9 @@ radius of its own block: two fingerprints within the radius are that close in on
 the indexes return all of them. Each candidate is then compared exactly: the sum of the smaller
 shingle counts over the sum of the larger ones must reach `least`.
 
+A document with fewer words than an item has one window for it, the whole document. It is compared with every
+item of which it has as many shingles as `least` asks for, without fingerprints.
+
 The benchmark is the stated query set. It is read in blocks of at most `items_at_once` items and about
 16 MB, each block going with one pass over the documents; the documents are never shuffled.
 
@@ -158,7 +161,18 @@ def find(items: Items, column: pa.Array, least: float) -> list[tuple[int, int, i
             if min(SHINGLE, size) != width:
                 continue
             runs = int(size) - width + 1
-            touched = np.unique(spot[sizes == size])
+            near, far = spot[sizes == size], owner[sizes == size]
+            held = np.searchsorted(before, near, "right") - 1
+            have = before[held + 1] - before[held]
+            short = (have < runs) & (have >= least * runs - 1e-9)
+            pairs, hits = np.unique(held[short] * len(items.ids) + far[short], return_counts=True)
+            for pair, both in zip(pairs.tolist(), hits.tolist(), strict=True):
+                r, i = divmod(pair, len(items.ids))
+                whole = values[before[r] : before[r + 1]]
+                # `both` counts no less than the shared shingles.
+                if both >= least * (len(whole) + runs) / (1 + least) - 1e-9 and (alike := similarity(whole, items.shingles[i])) >= least:
+                    best[r, i] = alike, 0
+            touched = np.unique(near)
             row = np.searchsorted(before, touched, "right") - 1
             low, high = np.maximum(touched - runs + 1, before[row]), np.minimum(touched, before[row + 1] - runs)
             marks = np.zeros(len(values) + 1, np.int32)
@@ -203,7 +217,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radius: int
                     if hits := find(items, part.column("text"), least):
                         row, item, start, alike = zip(*hits, strict=True)
                         ids = pa.array([items.ids[i] for i in item], pa.int64())
-                        size = pa.array(items.sizes[list(item)])
+                        _, at = words_of(part.column("text"))
+                        size = pa.array(np.minimum(items.sizes[list(item)], np.diff(at)[list(row)]))
                         yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(row)), ids, pa.array(start, pa.int64()), size, pa.array(alike)], ["doc_id", "item_id", "start", "n_words", "similarity"])
 
         found = rows.mapInArrow(scan, "doc_id long, item_id long, start long, n_words long, similarity double")
