@@ -82,6 +82,21 @@ def test_hand_made_pages(model):
     assert html_labeller.main_texts(pages, model) == want
 
 
+def test_whole_blocks_and_paths(model):
+    """Words late in a block count, and so does a container far above the text."""
+    long = " ".join(["word"] * 3000)
+    assert inputs(blocks(f"<p>{long} one</p>"))[1] != inputs(blocks(f"<p>{long} two</p>"))[1]
+    deep = "<div>" * 40
+    page = f"<html><body><article><h1>The title</h1>{'<p>A story of some words, told here.</p>' * 5}</article>{{}}</body></html>"
+    story = "\n\n".join(["The title"] + ["A story of some words, told here."] * 5)
+    for tag in ("<aside class='related'>", "<nav class='menu'>", "<footer class='footer'>", "<div class='comments'>"):
+        text = "<p>Words of others that tell of this and that.</p>"
+        end = f"</{tag[1:].split()[0]}>"
+        assert html_labeller.main_texts([page.format(tag + deep + text + "</div>" * 40 + end)], model) == [story], tag
+        path = blocks(tag + deep + text)[0].path
+        assert len(path) < 6 and path[0] == f"tag {tag[1:].split()[0]}"
+
+
 def test_odd_pages(spark):
     long_page = "<article>" + "<p>some words of a long page</p>" * 5000 + "</article>"
     rows = [(1, None, None), (1, None, None), (None, "u", ""), (2, "u", "   "), (3, "u", "<p"), (4, "u", long_page), (5, "u", "<article><p>" + "w " * 200_000)]

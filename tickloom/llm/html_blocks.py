@@ -5,13 +5,12 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 
 PATH_SIZE, WORD_SIZE, DENSE = 1024, 1024, 8
-#: Elements nearest to the text whose names and attributes count.
-DEPTH = 12
 _SCAN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|iframe|textarea|select|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*|/)?)>|<[!?][^>]*>",
@@ -41,14 +40,15 @@ _CLOSES = {
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]
+    path: tuple[str, ...]  # names of all open elements, outermost first, each hashed place once
     links: int  # characters inside links
 
 
 def blocks(page: str) -> list[Block]:
     """All blocks with text, in page order: references decoded, white space made one space and trimmed."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    # Element, names on the whole path to it, and their places: no more than there are places, however deep.
+    stack: list[tuple[str, tuple[str, ...], frozenset[int]]] = []
     parts: list[str] = []
     links, in_link, at = 0, 0, 0
 
@@ -58,8 +58,7 @@ def blocks(page: str) -> list[Block]:
             raw = "".join(parts)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                path = [t for _, tokens in stack[-DEPTH:] for t in tokens]
-                out.append(Block(text, (*path, f"last {stack[-1][0] if stack else ''}"), links))
+                out.append(Block(text, (*(stack[-1][1] if stack else ()), f"last {stack[-1][0] if stack else ''}"), links))
             parts.clear()
         links = 0
 
@@ -99,7 +98,10 @@ def blocks(page: str) -> list[Block]:
         if found[4]:
             for one, two, three in _NAMED.findall(found[4]):
                 tokens += [f"name {t.lower()}" for t in _TOKEN.findall(one or two or three)]
-        stack.append((name, tuple(tokens)))
+        path, places = stack[-1][1:] if stack else ((), frozenset())
+        if new := {p: t for t in reversed(tokens) if (p := _place(t, PATH_SIZE)) not in places}:
+            path, places = (*path, *reversed(new.values())), places | new.keys()
+        stack.append((name, path, places))
         in_link = 0
     parts.append(page[at:])
     flush()
@@ -110,10 +112,10 @@ def _place(token: str, size: int) -> int:
     return zlib.crc32(token.encode()) % size
 
 
-def inputs(found: list[Block]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-    """Hashed path tokens and words of each block, and a few plain numbers."""
+def inputs(found: list[Block]) -> tuple[list[list[int]], list[Counter[int]], np.ndarray]:
+    """Hashed path tokens of each block, how often it has each hashed word, and a few plain numbers."""
     paths = [[_place(t, PATH_SIZE) for t in b.path] for b in found]
-    bags = [[_place(w.lower(), WORD_SIZE) for w in b.text[:2000].split()[:24]] for b in found]
+    bags = [Counter(_place(w, WORD_SIZE) for w in b.text.lower().split()) for b in found]
     dense = np.zeros((len(found), DENSE), np.float32)
     for i, b in enumerate(found):
         n = len(b.text)

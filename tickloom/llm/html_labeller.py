@@ -206,8 +206,12 @@ class Labeller:
             x[i, :n, PATH_DIM + WORD_DIM :] = dense
             for name, lists in (("path", paths), ("word", bags)):
                 size = np.array([len(t) for t in lists])
+                if name == "word":
+                    weight = np.fromiter((k / total for t in lists for total in (t.total(),) for k in t.values()), np.float64)
+                else:
+                    weight = np.repeat(1 / np.sqrt(size), size)
                 owner = i * longest + np.repeat(np.arange(n), size)
-                cells[name].append((owner, np.fromiter((v for t in lists for v in t), np.int64), np.repeat(1 / size if name == "word" else 1 / np.sqrt(size), size)))
+                cells[name].append((owner, np.fromiter((v for t in lists for v in t), np.int64), weight))
         flat = x.reshape(-1, INPUT)
         cells = {k: tuple(np.concatenate(c) for c in zip(*v, strict=True)) for k, v in cells.items()}
         for name, low, dim in (("path", 0, PATH_DIM), ("word", PATH_DIM, WORD_DIM)):
