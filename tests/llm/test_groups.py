@@ -175,6 +175,17 @@ def test_no_benchmark_or_documents(spark):
     assert decontamination.leaks(documents(spark, []), some).count() == 0
 
 
+def test_one_row_per_needed_set(spark):
+    """Copies of a set that all pass the bit filter, here by their id, give one row."""
+    docs = documents(spark, [(i % 4, story(i % 4, 60)) for i in range(80)])
+    rule = jaccard_groups.Schemes(80, 100)
+    owners = jaccard_groups.shared_tokens(docs, rule, 3, "text")
+    sets = staged(jaccard_groups.document_sets(docs, owners, rule, 3, "doc_id", "text", []), "documents")
+    nodes = sets.select("node").distinct()
+    got = [r.node for r in jaccard_groups.needed_sets(docs, sets, nodes, 3, "doc_id", "text").collect()]
+    assert len(got) == len(set(got)) == 4
+
+
 def test_items_longer_than_the_document(spark):
     """A document that is an item short of some words is one window; all pairs, compared by hand."""
     item = [f"w{k}" for k in range(24)]

@@ -228,27 +228,32 @@ def merged(nodes: DataFrame, pairs: DataFrame, room: Column) -> tuple[DataFrame,
 
 
 def needed_sets(docs: DataFrame, sets: DataFrame, nodes: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """node, shingles (`packed`) of all `nodes`, built from one text each, or from a few of equal sets.
+    """node, shingles (`packed`) of all `nodes`, one row each, built from one text or from a few of equal sets.
 
     A bit filter of fixed size passes all ids that are needed and few others, so most texts are not cut
-    into shingles again; the join drops what passed in vain.
+    into shingles again; the join drops what passed in vain. A task gives out each node once, and of
+    those of several tasks one stays, so copies of a set don't travel on however full the filter is.
     """
     chosen = sets.where("n > 0").select("node", "id").join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
     bits = bit_filter(chosen.where("id is not null").select(place("id").alias("p")), FILTER_BITS)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for batch in batches:
             p = batch.column("p").to_numpy()
             for part in slices(batch.filter(pa.array((p < 0) | passes(bits, np.maximum(p, 0)))), "text"):
                 values, at = shingle_sets(part, "text", size)
-                keep = np.flatnonzero(np.diff(at))
+                names = set_nodes(values, at)
+                fresh = {node: i for i, node in enumerate(names.tolist()) if at[i + 1] > at[i] and node not in given}
+                given.update(fresh)
+                keep = np.array(sorted(fresh.values()), np.int64)
                 raw = [packed(values[at[i] : at[i + 1]]) for i in keep]
-                yield pa.RecordBatch.from_arrays([pa.array(set_nodes(values, at)[keep]), pa.array(raw, pa.binary())], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(names[keep]), pa.array(raw, pa.binary())], ["node", "shingles"])
 
     rows = docs.select(F.when(F.col(id_col).isNull(), -1).otherwise(place(id_col)).alias("p"), F.col(text_col).alias("text"))
     built = rows.mapInArrow(build, "node long, shingles binary")
-    return staged(built.join(nodes.select("node"), "node", "left_semi"), "sets")
+    return staged(built.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -303,21 +308,21 @@ def links(groups: DataFrame, sides: DataFrame, sets: DataFrame, num: int, den: i
     """a, b: per task a spanning forest of the links between two groups."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(job: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
-            job = sorted({x[:2]: x for x in job}.values(), key=lambda x: x[:2])  # each node once; by side, then node
+        def close(held: dict[tuple[int, int], bytes]) -> list[tuple[int, int]]:
+            job = sorted((*name, raw) for name, raw in held.items())  # by side, then node
             sides = [[unpacked(raw) for side, _, raw in job if side == s] for s in (0, 1)]
             if len(job) < 2 or not sides[0]:
                 return []
             forest = open_groups(*sides, num, den)
             return [(job[i][1], job[r][1]) for i in range(len(job)) if (r := forest.find(i)) != i]
 
-        job, name, edges = [], None, []
+        job, name, edges = {}, None, []  # of a job, each node once
         for batch in batches:
             for key, side, node, raw in zip(*(batch.column(c).to_pylist() for c in ("job", "side", "node", "shingles")), strict=True):
                 if key != name:
                     edges += close(job)
-                    job, name = [], key
-                job.append((side, node, raw))
+                    job, name = {}, key
+                job.setdefault((side, node), raw)
             if edges:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], ["a", "b"])
                 edges = []
