@@ -65,8 +65,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     key = F.coalesce(F.col("doc_id").cast("long"), text_hash.bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(1 << 62))
     keyed = docs.select(key.alias("key"), text_hash.alias("tag"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     found = jaccard_components(keyed.withColumn("text", F.col("row.text")), size=5, num=80, den=100, id_col="key", carry=("tag",))
-    # The two columns of a kept document name its row; equal rows are one.
-    kept = found.where(F.col("id") == F.col("component")).select(F.col("id").alias("key"), "tag").distinct()
+    # The two columns of a kept document name its row; equal rows are one. Groups go by label, as two of
+    # them have the same least id where one id has unlike texts.
+    least = found.where("node is not null").groupBy("label").agg(F.min(F.struct(F.col("id").alias("key"), "tag")).alias("least"))
+    kept = least.select("least.*").union(found.where("node is null").select("id", "tag").distinct())
     one = keyed.join(kept, ["key", "tag"]).dropDuplicates(["key", "tag"])
     return one.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 

@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline as pipeline
 
-from .cases import documents, jaccard_labels, odd_texts, shingle_set
+from .cases import documents, jaccard_labels, odd_texts, shingle_set, story
 from .test_quality import SF
 
 
@@ -46,6 +46,14 @@ def test_one_document_of_each_group(spark, folder):
     assert len(got) == len(set(labels))
 
 
+def test_repeated_id_with_near_equal_texts(spark, folder):
+    """One document of a group stays where they share their id, and of two unlike groups with that id one each."""
+    one, two = story(31, 200), story(32, 200)
+    rows = [(5, one), (5, one + " more"), (5, one + " and more"), (6, one), (5, two), (5, two + " end"), (5, "  "), (5, "  ")]
+    got = [r.text for r in pipeline.near_duplicates(spark, documents(spark, rows), folder).collect()]
+    assert sorted(t.startswith(one) + 2 * t.startswith(two) for t in got) == [0, 1, 2]
+
+
 def test_decontaminated(spark, folder):
     got = pipeline.decontaminated(spark, documents(spark), folder).collect()
     assert len(got) == sum("seven grey geese" not in (t or "") for _, t in odd_texts())

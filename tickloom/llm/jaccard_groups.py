@@ -334,7 +334,7 @@ def links(groups: DataFrame, sides: DataFrame, sets: DataFrame, num: int, den: i
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """id, carried columns, n_shingles, node, component (smallest id reachable by links) for every row."""
+    """id, carried columns, n_shingles, node, label (one for each group), component (smallest id reachable by links) for every row."""
     rule, carry = Schemes(num, den), list(carry)
     ship(docs.sparkSession)
     owners = shared_tokens(docs, rule, size, text_col)
@@ -345,7 +345,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     firsts = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("first"))
     named = staged(firsts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
     least = staged(named.groupBy("label").agg(F.min("first").alias("component")), "least")
-    found = staged(named.join(least, "label").select("node", "component"), "components")
+    found = staged(named.join(least, "label").select("node", "label", "component"), "components")
     out = sets.select("id", *carry, F.col("n").alias("n_shingles"), "node").join(found, "node", "left")
     return out.withColumn("component", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component")))
 
