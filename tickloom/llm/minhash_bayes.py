@@ -13,9 +13,14 @@ Documents with one and the same shingle set are one node from the start. For the
    connected yet. A pair inside a component can't change the result.
 5. Crossing. What leaders can't see are links between two other nodes of a bucket. Buckets whose other nodes
    are still of several components are opened: each node outside the bucket's most frequent component meets all
-   nodes of other components there, in blocks of BLOCK x BLOCK, by steps 3 and 4. The likeliest pairs of two
-   components are checked first, then, among those still apart, all. Nothing is capped.
-6. Components of all links.
+   nodes of other components there, in blocks of BLOCK x BLOCK, by step 3. Of the likely pairs of a block, those that
+   join its components to a tree are checked on full sets.
+6. Zones. Components that are still apart but joined by likely pairs make a zone; every likely pair of unlike
+   components is inside one. A zone's blocks are opened with their full sets: each node outside the zone's largest
+   component meets all others, likely pairs are checked exactly at once, and a task returns a tree of links. So a
+   group of n near copies gives some n rows, whatever its likely pairs, and each of its sets travels to as
+   many tasks as there are blocks on the other side. Nothing is capped.
+7. Components of all links.
 
 A link is lost only where a bucket or a posterior misses it, each with a chance below `miss` (1e-8 and 1e-7 per
 batch), and where no other path of links joins the two documents either. Every link that is used was confirmed on
@@ -50,8 +55,8 @@ BATCH = 32
 BLOCK = 1024
 #: Pairs whose signatures are in memory at once.
 PAIRS = 1 << 17
-#: Pairs of two components that are checked before all of them are.
-FIRST_PAIRS = 4
+#: Shingles of a block whose sets are opened.
+BLOCK_SHINGLES = 1 << 19
 _SEED = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -64,9 +69,11 @@ def signatures(values: np.ndarray, at: np.ndarray, hashes: int) -> np.ndarray:
     """Least value of every hash function over each set (sets x hashes); all sets have a value at least."""
     out = np.empty((len(at) - 1, hashes), np.uint32)
     seeds = mix(np.arange(1, 2 * hashes + 1, dtype=np.uint64) * _SEED)
+    scrambled = np.empty_like(values)
     for k in range(hashes if len(out) else 0):
-        scrambled = (values ^ seeds[2 * k]) * (seeds[2 * k + 1] | np.uint64(1))
-        out[:, k] = np.minimum.reduceat((scrambled >> np.uint64(32)).astype(np.uint32), at[:-1])
+        np.bitwise_xor(values, seeds[2 * k], out=scrambled)
+        np.multiply(scrambled, seeds[2 * k + 1] | np.uint64(1), out=scrambled)
+        out[:, k] = np.minimum.reduceat(scrambled, at[:-1]) >> np.uint64(32)
     return out
 
 
@@ -172,11 +179,11 @@ def confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose nodes are of different components."""
+    """Pairs whose nodes are of different components, with these (la, lb)."""
     for end in ("a", "b"):
         pairs = pairs.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end, "left")
         pairs = pairs.withColumn(f"l{end}", F.coalesce(f"l{end}", end))
-    return pairs.where("la <> lb").drop("la", "lb")
+    return pairs.where("la <> lb")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
@@ -197,59 +204,153 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Rec
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def crossing(entries: DataFrame, labels: DataFrame, nodes: DataFrame, hashes: int, rule: list[tuple[int, int]], most: int | None) -> DataFrame | None:
-    """a < b, m: likely pairs of different components that share a bucket; of two components, `most` per opened block. None: nothing to open."""
-    named = entries.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    named = staged(named, "named")
-    sizes = staged(named.groupBy("bucket", "label").agg(F.count("*").alias("c")), "sizes")
-    several = sizes.groupBy("bucket").agg(F.max_by("label", "c").alias("main"), F.max("c").alias("c"), F.sum("c").alias("total")).where("c < total")
-    blocks = lambda c: F.ceil(F.expr(c) / BLOCK).cast("int")
-    several = staged(several.select("bucket", "main", blocks("total - c").alias("others"), blocks("total").alias("all")), "opened")
+def blocks_of(members: DataFrame, unit: str, weight: str) -> DataFrame | None:
+    """job, side, node, label, other: what meets what where a `unit` holds several labels. None: nowhere.
+
+    A node outside its unit's most frequent label (side 0) meets all blocks of the unit, in the job of its own
+    block; every node (side 1) is met by all of those. `weight` is a node's share of a block.
+    """
+    sizes = staged(members.groupBy(unit, "label").agg(F.count("*").alias("c"), F.sum(weight).alias("w")), "sizes")
+    several = sizes.groupBy(unit).agg(F.max_by("label", "c").alias("main"), F.max("c").alias("c"), F.sum("c").alias("total"), F.sum("w").alias("w"))
+    several = several.where("c < total").withColumn("each", F.col("w") / F.col("total"))
+    blocks = lambda n: F.ceil(F.greatest(F.expr(n) / BLOCK, F.expr(n) * F.col("each"))).cast("int")
+    several = staged(several.select(unit, "main", blocks("total - c").alias("others"), blocks("total").alias("all")), "opened")
     if several.isEmpty():
         return None
-    members = staged(named.join(several, "bucket"), "members")
+    rows = staged(members.join(several, unit), "members")
     other = F.col("label") != F.col("main")
-    # A node outside the main component meets all blocks of the bucket, in the job of its own block; every node is met by all of those.
-    asks = members.where(other).select("bucket", F.pmod(F.xxhash64("node"), F.col("others")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"), F.lit(0).alias("side"), "node", "label", other.alias("other"))
-    meets = members.select("bucket", F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("i"), F.pmod(F.xxhash64("node"), F.col("all")).alias("j"), F.lit(1).alias("side"), "node", "label", other.alias("other"))
-    rows = asks.select(*asks.columns).union(meets.select(F.col("bucket"), F.col("i").cast("long"), F.col("j").cast("long"), "side", "node", "label", "other"))
-    jobs = staged(rows.select(F.xxhash64("bucket", "i", "j").alias("job"), "side", "node", "label", "other"), "jobs")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
+    part = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("long")
+    asks = rows.where(other).select(unit, part("others").alias("i"), each("all").alias("j"), F.lit(0).alias("side"), "node", "label", F.lit(True).alias("other"))
+    meets = rows.select(unit, each("others").alias("i"), part("all").alias("j"), F.lit(1).alias("side"), "node", "label", other.alias("other"))
+    return staged(asks.union(meets).select(F.xxhash64(unit, "i", "j").alias("job"), "side", "node", "label", "other"), "jobs")
+
+
+class _Labels:
+    """Labels joined in a task."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether they were apart."""
+        x, y = self.find(x), self.find(y)
+        self.up[x] = y
+        return x != y
+
+
+def likely_pairs(t: pa.RecordBatch, hashes: int, rule: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows x, y of whole jobs that are likely and of unlike labels, and their equal minima; by some PAIRS at once."""
+    job, side, node, label = (t.column(c).to_numpy() for c in ("job", "side", "node", "label"))
+    other, sig = t.column("other").to_numpy(zero_copy_only=False), _matrix(t.column("sig"), hashes)
+    new = np.append(True, job[1:] != job[:-1])
+    starts = np.flatnonzero(new)
+    asking, meeting = np.add.reduceat(1 - side, starts), np.add.reduceat(side, starts)
+    ask = np.flatnonzero(side == 0)  # of a job, the asking rows come first
+    of = (np.cumsum(new) - 1)[ask]
+    first, width = (starts + asking)[of], meeting[of]
+    stop, k = np.cumsum(width), 0
+    while k < len(ask):
+        last = max(k + 1, int(np.searchsorted(stop, (stop[k - 1] if k else 0) + PAIRS, "right")))
+        each = width[k:last]
+        x = np.repeat(ask[k:last], each)
+        y = np.repeat(first[k:last] - np.cumsum(each) + each, each) + np.arange(each.sum())
+        # Two nodes outside the main component meet twice.
+        kept = (label[x] != label[y]) & ~(other[y] & (node[y] < node[x]))
+        x, y = x[kept], y[kept]
+        left, equal = surviving(sig[x], sig[y], rule)
+        yield x[left], y[left], equal
+        k = last
+
+
+def crossing(entries: DataFrame, labels: DataFrame, nodes: DataFrame, hashes: int, rule: list[tuple[int, int]]) -> DataFrame | None:
+    """a, b: likely pairs that join the components of a bucket's block to a tree. None: no bucket to open."""
+    named = entries.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"), F.lit(0.0).alias("w"))
+    jobs = blocks_of(staged(named, "named"), "bucket", "w")
+    if jobs is None:
+        return None
 
     def open_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, "job"):
-            job, side, node, label = (t.column(c).to_numpy() for c in ("job", "side", "node", "label"))
-            other, sig = t.column("other").to_numpy(zero_copy_only=False), _matrix(t.column("sig"), hashes)
-            new = np.append(True, job[1:] != job[:-1])
-            starts = np.flatnonzero(new)
-            asking = np.add.reduceat(1 - side, starts)
-            meeting = np.add.reduceat(side, starts)
-            ask = np.flatnonzero(side == 0)  # of a job, the asking rows come first
-            of = (np.cumsum(new) - 1)[ask]
-            first, width = (starts + asking)[of], meeting[of]
-            stop, found, k = np.cumsum(width), [(np.zeros(0, np.int64),) * 3], 0
-            while k < len(ask):
-                last = max(k + 1, int(np.searchsorted(stop, (stop[k - 1] if k else 0) + PAIRS, "right")))
-                each = width[k:last]
-                x = np.repeat(ask[k:last], each)
-                y = np.repeat(first[k:last] - np.cumsum(each) + each, each) + np.arange(each.sum())
-                # Two nodes outside the main component meet twice.
-                kept = (label[x] != label[y]) & ~(other[y] & (node[y] < node[x]))
-                x, y = x[kept], y[kept]
-                left, equal = surviving(sig[x], sig[y], rule)
-                found.append((x[left], y[left], equal))
-                k = last
-            x, y, m = (np.concatenate(z) for z in zip(*found, strict=True))
-            if most is not None:
+            job, node, label = (t.column(c).to_numpy() for c in ("job", "node", "label"))
+            best: dict[tuple[int, int, int], tuple[int, int, int]] = {}
+            for x, y, m in likely_pairs(t, hashes, rule):
                 one, two = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
                 order = np.lexsort((-m, two, one, job[x]))
                 run = np.column_stack([job[x], one, two])[order]
-                begins = np.flatnonzero(np.append(True, (run[1:] != run[:-1]).any(1))[: len(run)])
-                place = np.arange(len(run)) - np.repeat(begins, np.diff(np.append(begins, len(run))))
-                x, y, m = (z[order[place < most]] for z in (x, y, m))
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[x], node[y])), pa.array(np.maximum(node[x], node[y])), pa.array(m)], ["a", "b", "m"])
+                top = order[np.append(True, (run[1:] != run[:-1]).any(1))[: len(run)]]
+                for key, found in zip(zip(job[x][top].tolist(), one[top].tolist(), two[top].tolist()), zip(m[top].tolist(), node[x][top].tolist(), node[y][top].tolist())):
+                    if best.get(key, (-1,)) < found:
+                        best[key] = found
+            trees: dict[int, _Labels] = {}
+            kept = []
+            for (j, one, two), (_, a, b) in sorted(best.items(), key=lambda item: -item[1][0]):
+                if trees.setdefault(j, _Labels()).join(one, two):
+                    kept.append((min(a, b), max(a, b)))
+            a, b = zip(*kept) if kept else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     full = jobs.join(nodes.select("node", "sig"), "node").repartition("job").sortWithinPartitions("job", "side")
-    return full.select("job", "side", "node", "label", "other", "sig").mapInArrow(open_blocks, "a long, b long, m long").groupBy("a", "b").agg(F.max("m").alias("m"))
+    return full.select("job", "side", "node", "label", "other", "sig").mapInArrow(open_blocks, "a long, b long").distinct()
+
+
+def settled(members: DataFrame, nodes: DataFrame, sets: DataFrame, hashes: int, rule: list[tuple[int, int]], num: int, den: int) -> DataFrame | None:
+    """a, b: links, a tree per block, between the components of every zone. members: zone, node, label, w. None: no zone."""
+    jobs = blocks_of(members, "zone", "w")
+    if jobs is None:
+        return None
+
+    def open_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, "job"):
+            job, side, node, label = (t.column(c).to_numpy() for c in ("job", "side", "node", "label"))
+            raw = t.column("shingles").to_pylist()
+            trees: dict[int, _Labels] = {}
+            index: tuple = (None,)  # of one job: its right side's shingles, sorted, and their owners
+            kept = []
+            for x, y, _ in likely_pairs(t, hashes, rule):
+                edges = np.flatnonzero(np.append(True, x[1:] != x[:-1])[: len(x)])
+                for k, stop in zip(edges.tolist(), [*edges[1:].tolist(), len(x)]):
+                    i, j = int(x[k]), int(job[x[k]])
+                    tree = trees.setdefault(j, _Labels())
+                    mine = int(label[i])
+                    open_ = [int(r) for r in y[k:stop] if tree.find(int(label[r])) != tree.find(mine)]
+                    if not open_:
+                        continue
+                    if index[0] != j:
+                        right = np.flatnonzero((job == j) & (side == 1))
+                        lists = [unpacked(raw[r]) for r in right]
+                        values = np.concatenate(lists)
+                        order = np.argsort(values, kind="stable")
+                        sizes = np.array([len(v) for v in lists])
+                        index = (j, int(right[0]), values[order], np.repeat(np.arange(len(right)), sizes)[order], sizes)
+                    _, base, values, owners, sizes = index
+                    asked = unpacked(raw[i])
+                    low, high = np.searchsorted(values, asked, "left"), np.searchsorted(values, asked, "right")
+                    hits = high - low
+                    both = np.bincount(owners[np.repeat(low - np.cumsum(hits) + hits, hits) + np.arange(hits.sum())], minlength=len(sizes))
+                    for r in open_:
+                        n = both[r - base]
+                        if den * n >= num * (len(asked) + sizes[r - base] - n) and tree.join(mine, int(label[r])):
+                            kept.append((int(node[i]), int(node[r])))
+            a, b = zip(*kept) if kept else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    full = jobs.join(nodes.select("node", "sig"), "node").join(sets, "node").repartition("job").sortWithinPartitions("job", "side")
+    return staged(full.select("job", "side", "node", "label", "other", "sig", "shingles").mapInArrow(open_blocks, "a long, b long"), "links")
+
+
+def zones(pairs: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """zone, node, label, w: all nodes of the components that `pairs` (la, lb) join; w is a node's share of BLOCK_SHINGLES."""
+    joined = components(staged(pairs.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "zone-pairs")).toDF("label", "zone")
+    known = sets.where("node is not null").groupBy("node").agg((F.first("n") / BLOCK_SHINGLES).alias("w"))
+    named = known.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return staged(named.join(joined, "label").select("zone", "node", "label", "w"), "zones")
 
 
 def near_components(
@@ -260,6 +361,11 @@ def near_components(
     bands = bands_for(num / den, rows)
     hashes = bands * rows
     rule = least_matches(num / den, hashes)
+
+    def shingled(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        return needed_sets(docs, sets, staged(ends, "ends"), size, id_col, text_col)
+
     sets = staged(signed(docs, size, rows, hashes, id_col, text_col), "signed")
     nodes = staged(sets.where("sig is not null").select("node", "sig", "buckets").dropDuplicates(["node"]), "nodes")
     entries = nodes.select("node", F.explode("buckets").alias("bucket"))
@@ -270,24 +376,20 @@ def near_components(
     found = staged(likely(pairs, nodes, hashes, rule), "likely")
 
     best = staged(found.groupBy("b").agg(F.max_by("a", "m").alias("a")).select("a", "b"), "best")
-    ends = found.select(F.col("a").alias("node")).union(found.select("b")).distinct()
-    texts = needed_sets(docs, sets, staged(ends, "ends"), size, id_col, text_col)
+    texts = shingled(found)
     links = confirmed(best, texts, num, den)
     labels = components(links)
-    rest = staged(apart(found.select("a", "b").join(best, ["a", "b"], "left_anti"), labels), "rest")
-    tested = best.union(rest)
+    rest = staged(apart(found.select("a", "b").join(best, ["a", "b"], "left_anti"), labels).select("a", "b"), "rest")
     links = staged(links.union(confirmed(rest, texts, num, den)), "links")
     labels = components(links)
-    for most in (FIRST_PAIRS, None):
-        across = crossing(others.select("bucket", "node"), labels, nodes, hashes, rule, most)
-        if across is None or (across := staged(across.select("a", "b"), "crossing")).isEmpty():
-            break
-        new = staged(across.join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "new")
-        ends = new.select(F.col("a").alias("node")).union(new.select("b")).distinct()
-        texts = needed_sets(docs, sets, staged(ends, "ends"), size, id_col, text_col)
-        links = staged(links.union(confirmed(new, texts, num, den)), "links")
-        tested = tested.union(new)
+    across = crossing(others.select("bucket", "node"), labels, nodes, hashes, rule)
+    if across is not None and not (across := staged(across, "crossing")).isEmpty():
+        links = staged(links.union(confirmed(across, shingled(across), num, den)), "links")
         labels = components(links)
+        members = zones(apart(across, labels), labels, sets)
+        more = settled(members, nodes, needed_sets(docs, sets, members, size, id_col, text_col), hashes, rule, num, den)
+        if more is not None:
+            labels = components(staged(links.union(more), "links"))
     firsts = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("first"))
     named = staged(firsts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
     least = staged(named.groupBy("label").agg(F.min("first").alias("component")), "least")
