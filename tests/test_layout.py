@@ -116,7 +116,7 @@ def test_daily_pass_shuffles_once(make_bars):
 
     def build(df, w):
         df = averages.add_means(df, w, {"m": ("close", 200)})
-        return oscillators.add_macd_recursive(oscillators.add_rsi_partial(df, w), w)
+        return oscillators.add_rsi_partial(df, w)
 
-    plan = over_series(bars, build, back=10, pos=True)._jdf.queryExecution().executedPlan().toString()
+    plan = over_series(bars, build, back=200, pos=True, then=oscillators.add_macd_recursive)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1

@@ -84,9 +84,15 @@ def carried(per_block, layout, **carry):
     return per_block.select(layout.key, "_tblk", *[c(w).alias(n) for n, c in carry.items()])
 
 
-def numbered(bars, layout, total=None):
-    """Add ``_pos``, the 0-based place of a row in its series; with ``total``, the length."""
+def numbered(bars, layout, total=None, state=None):
+    """Add ``_pos``, the 0-based place of a row in its series; with ``total``, the length.
+
+    The columns of ``state`` (at most one row per series) are added to the rows of a series; they
+    are NULL where it has none.
+    """
     if not layout.split:
+        if state is not None:
+            bars = bars.join(state, layout.key, "left")
         out = bars.withColumn("_pos", (F.row_number().over(layout.window().spec) - 1).cast("long"))
         if total:
             out = out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(layout.key)))
@@ -97,6 +103,8 @@ def numbered(bars, layout, total=None):
     if total:
         lengths = sizes.groupBy(layout.key).agg(F.sum("_n").alias(total))
         offsets = offsets.join(lengths, layout.key)
+    if state is not None:
+        offsets = offsets.join(state, layout.key, "left")
     return (
         tagged.withColumn("_rn", F.row_number().over(layout.window("_tblk").spec))
         .join(offsets, [layout.key, "_tblk"])
@@ -105,19 +113,25 @@ def numbered(bars, layout, total=None):
     )
 
 
-def over_series(bars, build, back=0, ahead=0, layout=None, pos=False, total=None):
+def over_series(bars, build=None, back=0, ahead=0, layout=None, pos=False, total=None, then=None, state=None):
     """Run ``build(rows, w)`` where every frame reaching ``back`` rows behind and
     ``ahead`` rows in front of a row is complete.
 
     ``back`` adds up over stacked windows: a lag of a 50-row mean reaches 50 rows.
-    With ``pos`` the rows carry ``_pos`` (see :func:`numbered`) while building.
+    With ``pos`` the rows carry ``_pos`` (see :func:`numbered`) while building, with ``state``
+    also its columns.  ``then(rows, w)`` runs last, on a series' (or block's) own rows only: for
+    what is handed on along a series instead of being read from neighbours.
     """
     layout = layout or layout_of(bars)
+    build = build or (lambda df, w: df)
+    then = then or (lambda df, w: df)
+    extra = ["_pos", *([] if state is None else [c for c in state.columns if c != layout.key])]
     if not layout.split:
-        rows = numbered(bars, layout, total) if pos or total else bars
-        return build(rows, layout.window()).drop("_pos")
+        rows = numbered(bars, layout, total, state) if pos or total or state is not None else bars
+        w = layout.window()
+        return then(build(rows, w), w).drop(*extra)
     size = max(layout.block_rows, back, ahead)
-    rows = numbered(bars, layout, total)
+    rows = numbered(bars, layout, total, state)
     block, off = F.floor(F.col("_pos") / size), F.col("_pos") % size
 
     def copy(number, own):
@@ -132,7 +146,7 @@ def over_series(bars, build, back=0, ahead=0, layout=None, pos=False, total=None
     # One exchange by block serves all windows below, also those by block and chunk.
     spread = spread.repartition(layout.key, "_blk")
     window = replace(layout.window("_blk"), block=size)
-    return build(spread, window).filter("_own").drop("_blk", "_own", "_pos")
+    return then(build(spread, window).filter("_own").drop("_own"), window).drop("_blk", *extra)
 
 
 def over_prefix(bars, build, summaries, carry, layout=None):

@@ -14,6 +14,9 @@ from pyspark.sql import Window, functions as F
 
 from tickloom.functions.prices import as_col
 from tickloom.layout import over_series
+from tickloom.operators import ladder
+from tickloom.operators.ladder import add_frames
+from tickloom.session import stored
 
 
 def last_rows(w, n):
@@ -34,47 +37,9 @@ def strict(aggregate, c, w, n):
 def add_means(df, w, means, full=False):
     """Add means over the last n rows: name -> (column, n).
 
-    Spark adds a sliding frame up anew for every row.  Here sums over 1, 2, 4, 8 ... rows
-    are each two sums of half the length, and a frame is the sum of the lengths its size
-    is made of: a handful of lags for any size, all in one sort order, and additions only,
-    so a value that has left the frame leaves no trace.  A mean depends on its own size
-    alone.  With ``full`` a mean is NULL until its frame holds n values.
+    With ``full`` a mean is NULL until its frame holds n values.
     """
-    held = []
-    for c in sorted({c for c, _ in means.values()}):
-        sizes = {k: n for k, (of, n) in means.items() if of == c}
-        for kind, one in (("sum", F.coalesce(as_col(c).cast("double"), F.lit(0.0))), ("num", as_col(c).isNotNull().cast("int"))):
-            name = f"_{kind}_{c}"
-            df = df.withColumn(f"{name}_1", one)
-            held.append(f"{name}_1")
-            length = 1
-            while 2 * length <= max(sizes.values()):
-                df = df.withColumn(f"{name}_{2 * length}", F.col(f"{name}_{length}") + _rows_ago(f"{name}_{length}", length, w))
-                length *= 2
-                held.append(f"{name}_{length}")
-            df = df.withColumns({f"_{kind}_of_{k}": _frame(name, n, w) for k, n in sizes.items()})
-            held += [f"_{kind}_of_{k}" for k in sizes]
-
-    def mean(k, n):
-        count = F.col(f"_num_of_{k}")
-        return F.when(count == n if full else count > 0, F.col(f"_sum_of_{k}") / count)
-
-    return df.withColumns({k: mean(k, n) for k, (_, n) in means.items()}).drop(*held)
-
-
-def _rows_ago(c, n, w):
-    return F.coalesce(F.lag(c, n).over(w.spec), F.lit(0)) if n else F.col(c)
-
-
-def _frame(name, n, w):
-    """The sum of the last n rows from sums over the powers of two in n, longest first."""
-    total, behind = None, 0
-    for bit in range(n.bit_length() - 1, -1, -1):
-        if n >> bit & 1:
-            part = _rows_ago(f"{name}_{1 << bit}", behind, w)
-            total = part if total is None else total + part
-            behind += 1 << bit
-    return total
+    return add_frames(df, w, {k: ladder.mean(c, n, full) for k, (c, n) in means.items()})
 
 
 def moving_averages(bars, sizes=(7, 30, 90), layout=None):
@@ -83,7 +48,6 @@ def moving_averages(bars, sizes=(7, 30, 90), layout=None):
         lambda df, w: add_means(df, w, {f"ma_{n}_day": ("close", n) for n in sizes}),
         back=max(sizes),
         layout=layout,
-        pos=True,
     )
 
 
@@ -93,13 +57,15 @@ def sma_strict(bars, sizes=(20, 50, 200), layout=None):
         lambda df, w: add_means(df, w, {f"sma_{n}": ("close", n) for n in sizes}, full=True),
         back=max(sizes),
         layout=layout,
-        pos=True,
     )
 
 
-def add_one_step_emas(df, w, sizes, c="close"):
+def one_step_frames(sizes, c="close"):
+    return {f"_sma_{n}": ladder.mean(c, n) for n in sizes}
+
+
+def with_one_step_emas(df, w, sizes, c="close"):
     """ema_n columns from the partial mean of the row before; first row NULL."""
-    df = add_means(df, w, {f"_sma_{n}": (c, n) for n in sizes})
 
     def ema(n):
         k = 2.0 / (n + 1)
@@ -108,115 +74,207 @@ def add_one_step_emas(df, w, sizes, c="close"):
     return df.withColumns({f"ema_{n}": ema(n) for n in sizes}).drop(*[f"_sma_{n}" for n in sizes])
 
 
+def add_one_step_emas(df, w, sizes, c="close"):
+    return with_one_step_emas(add_frames(df, w, one_step_frames(sizes, c)), w, sizes, c)
+
+
 def technical_ema(bars, sizes=(9, 22, 50), layout=None):
     return over_series(
         bars,
         lambda df, w: add_one_step_emas(df, w, sizes),
         back=max(sizes) + 1,
         layout=layout,
-        pos=True,
     )
 
 
 # --- recursive means -------------------------------------------------------
 #
 # y_i = a * x_i + (1 - a) * y_(i-1) is summed in chunks: inside a chunk, a running sum of
-# x_j / b^j (b = 1 - a) that restarts before the powers leave double range; then the ends
-# of the chunks before are handed on.  One chunk spans some e^-500, so three ends reach
-# below the smallest double, and nothing a recursion row by row would still hold is lost.
-# A series in blocks does the same once more over the ends of its blocks, one row each.
+# x_j / b^j (b = 1 - a) that restarts before the powers leave double range; then the ends of
+# the chunks before are handed on.  One chunk spans some e^-500, so a few ends reach below
+# the smallest double, and nothing a recursion row by row would still hold is lost.
+#
+# A series in blocks is worked out in its blocks as if nothing came before, and stored.  What
+# comes before adds b^(i+1) * (the end of the block before), so only the ends, one row per
+# block, are summed again over the series, and joined back.  The same goes for what an
+# earlier run left behind (``state``), and for a mean of other means: both are linear.
 
 _SAFE = 500.0  # powers stay below e^500
 _RANGE = 745.0  # e^-745 is zero in double precision
-_ALIKE = 4.0  # rates that far apart still share their chunks, and so their sort
+_ALIKE = 10.0  # rates that far apart still share their chunks, and so their sort
 
 
 def alpha_of_span(n):
     return 2.0 / (n + 1)
 
 
-def linear_recurrence(df, by, order, place, terms):
+def _rate(b):
+    return -math.log(b)
+
+
+def _alike(rates):
+    """Names whose rates are alike, as lists; fastest first."""
+    groups = []
+    for name in sorted(rates, key=lambda n: -rates[n]):
+        if groups and rates[groups[-1][0]] <= _ALIKE * rates[name]:
+            groups[-1].append(name)
+        else:
+            groups.append([name])
+    return groups
+
+
+def linear_recurrence(df, by, order, place, terms, size=None):
     """Add y_i = term_i + b * y_(i-1), y before the first row 0: name -> (term, b, -ln b).
 
     ``place`` numbers the rows of a partition ``by`` without gaps, in the order of ``order``.
+    Three window nodes for names of alike rates: the chunk so far, the end of the chunk
+    before, and the ends of the chunks before that.  ``size`` sets the length of chunks.
     """
-    groups = []
-    for name, (term, b, rate) in sorted(terms.items(), key=lambda t: -t[1][2]):
-        if groups and groups[-1][0] <= _ALIKE * rate:
-            groups[-1][1][name] = (term, b, rate)
-        else:
-            groups.append((rate, {name: (term, b, rate)}))
-    for fastest, members in groups:
-        size = max(1, int(_SAFE / fastest))
-        df = df.withColumns({"_chunk": F.floor(F.col(place) / size), "_j": F.pmod(F.col(place), F.lit(size))})
+    for names in _alike({n: rate for n, (_, _, rate) in terms.items()}):
+        members = {n: terms[n] for n in names}
+        rows = size or max(1, int(_SAFE / members[names[0]][2]))
+        df = df.withColumns({"_chunk": F.floor(F.col(place) / rows), "_j": F.pmod(F.col(place), F.lit(rows))})
         inside = Window.partitionBy(*by, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        before = Window.partitionBy(*by).orderBy("_chunk", order).rowsBetween(Window.unboundedPreceding, -1)
-        last = F.col("_j") == size - 1
+        along = Window.partitionBy(*by).orderBy("_chunk", order)
+        ended = F.col("_j") == rows - 1
         df = df.withColumns(
-            {
-                n: F.sum(term * F.pow(F.lit(b), -F.col("_j"))).over(inside) * F.pow(F.lit(b), F.col("_j"))
-                for n, (term, b, _) in members.items()
-            }
+            {n: F.sum(term * F.pow(F.lit(b), -F.col("_j"))).over(inside) * F.pow(F.lit(b), F.col("_j")) for n, (term, b, _) in members.items()}
         )
-        ends = {n: F.when(last, F.col(n)) for n in members}
-        rounds = {n: math.ceil(_RANGE / (rate * size)) for n, (_, _, rate) in members.items()}
-        for k in range(max(rounds.values()) + 1):
-            df = df.withColumns({f"_end_{n}": e for n, e in ends.items()})
-            handed = {n: F.coalesce(F.last(f"_end_{n}", ignorenulls=True).over(before), F.lit(0.0)) for n in members}
-            ends = {
-                n: F.when(last, F.col(n) + b**size * handed[n]) if k < rounds[n] else F.col(f"_end_{n}")
-                for n, (_, b, _) in members.items()
-            }
+        so_far = along.rowsBetween(Window.unboundedPreceding, -1)
+        df = df.withColumns({f"_end_{n}": F.coalesce(F.last(F.when(ended, F.col(n)), ignorenulls=True).over(so_far), F.lit(0.0)) for n in members})
+        handed = {}
+        for n, (_, b, rate) in members.items():
+            handed[n] = F.col(f"_end_{n}")
+            for back in range(1, int(_RANGE / (rate * rows)) + 1):
+                handed[n] += b ** (rows * back) * F.lag(f"_end_{n}", rows * back, 0.0).over(along)
         df = df.withColumns({n: F.col(n) + handed[n] * F.pow(F.lit(b), F.col("_j") + 1) for n, (_, b, _) in members.items()})
         df = df.drop("_chunk", "_j", *[f"_end_{n}" for n in members])
     return df
 
 
-def recursive_means(df, w, means):
-    """Add recursive means: name -> (column, alpha).  Needs ``_pos`` on the rows.
+def add_recursive(df, w, means, of=None, lagged=()):
+    """Add recursive means: name -> (column, alpha), and means of these: ``of`` name -> ({mean: weight}, alpha).
 
-    Inputs must not be NULL (forward-fill first).  In a series cut into blocks, a block's
-    rows, and the one row copied from before it, get the values of the uncut series.
+    Belongs in the ``then`` step of ``over_series`` (with ``pos``): rows of a block without
+    copies.  Inputs must not be NULL (forward-fill first).  For names in ``lagged`` the value
+    of the row before is added as ``_prev_<name>``.  Columns ``_start`` (rows of the series before
+    these) and ``_in_<name>`` (the value it had there), from ``state``, continue an earlier run.
     """
+    of = of or {}
     copies = {n: as_col(c) for n, (c, a) in means.items() if a >= 1}
     df = df.withColumns(copies) if copies else df
-    means = {n: m for n, m in means.items() if n not in copies}
-    if not means:
+    own = {n: m for n, m in means.items() if n not in copies}
+    if not own and not of:
         return df
-    terms = {
-        n: (as_col(c) * F.when(F.col("_pos") == 0, 1.0).otherwise(a), 1 - a, -math.log1p(-a)) for n, (c, a) in means.items()
-    }
-    if w.block is None:
-        return linear_recurrence(df, w.by, w.order, "_pos", terms)
-    own = {n: (F.when(F.col("_own"), term).otherwise(0.0), b, rate) for n, (term, b, rate) in terms.items()}
+    first_run = "_start" not in df.columns
+    df = df.withColumn("_start", F.lit(0).cast("long") if first_run else F.coalesce("_start", F.lit(0)))
+    df = (_in_blocks if w.block else _whole)(df, w, own, of, lagged)
+    return df.drop("_start") if first_run else df
+
+
+def _weight(a):
+    """A series' first value counts whole."""
+    return F.when(F.col("_pos") + F.col("_start") == 0, 1.0).otherwise(a)
+
+
+def _sum_of(weights):
+    return sum((weight * F.col(n) for n, weight in weights.items()), F.lit(0.0))
+
+
+def _before(df, name):
+    """What an earlier run handed on, 0 where there was none."""
+    return F.coalesce(F.col(f"_in_{name}"), F.lit(0.0)) if f"_in_{name}" in df.columns else F.lit(0.0)
+
+
+def _in_line(df, w, place, means, of):
+    """Recursive means along a window as if nothing came before, and what the means of these need."""
+    rates = {n: _rate(1 - a) for n, (_, a) in (*means.items(), *of.items())}
+    size = int(_SAFE / max(rates.values())) if len(_alike(rates)) == 1 else None
+    df = linear_recurrence(df, w.by, w.order, place, {n: (as_col(c) * _weight(a), 1 - a, rates[n]) for n, (c, a) in means.items()}, size)
+    return df, {n: (weights, a, 1 - a, rates[n], size) for n, (weights, a) in of.items()}
+
+
+def _whole(df, w, means, of, lagged):
+    df, nested = _in_line(df, w, "_pos", means, of)
+    carried = [n for n in (*means, *of) if f"_in_{n}" in df.columns]
+    power = lambda a: F.pow(F.lit(1 - a), F.col("_pos") + 1)
+    known = [n for n in means if n in carried]
+    df = df.withColumns({n: F.col(n) + _before(df, n) * power(means[n][1]) for n in known}) if known else df
+    for n, (weights, a, b, rate, size) in nested.items():
+        df = linear_recurrence(df, w.by, w.order, "_pos", {n: (_sum_of(weights) * _weight(a), b, rate)}, size)
+        if n in carried:
+            df = df.withColumn(n, F.col(n) + _before(df, n) * power(a))
+    if lagged:
+        first = {n: F.col(f"_in_{n}") if n in carried else F.lit(None).cast("double") for n in lagged}
+        df = df.withColumns({f"_prev_{n}": F.coalesce(F.lag(n).over(w.spec), first[n]) for n in lagged})
+    return df
+
+
+def _in_blocks(df, w, means, of, lagged):
     df = df.withColumn("_at", F.col("_pos") - F.col("_blk") * w.block)
-    df = linear_recurrence(df, w.by, w.order, "_at", own)
-    ends = df.filter("_own").groupBy(*w.by).agg(*[F.max_by(n, "_at").alias(f"_last_{n}") for n in terms])
-    series = [k for k in w.by if k != "_blk"]
-    whole = linear_recurrence(
-        ends, series, "_blk", "_blk", {f"_y_{n}": (F.col(f"_last_{n}"), b**w.block, rate * w.block) for n, (_, b, rate) in terms.items()}
+    df, nested = _in_line(df, w, "_at", means, of)
+    for n, (weights, a, b, rate, size) in nested.items():
+        df = linear_recurrence(df, w.by, w.order, "_at", {n: (_sum_of(weights) * _weight(a), b, rate)}, size)
+    names = (*means, *of)
+    if lagged:
+        df = df.withColumns({f"_prev_{n}": F.coalesce(F.lag(n).over(w.spec), F.lit(0.0)) for n in lagged})
+    rows, _ = stored(df, "blocks")
+    states = [c for c in rows.columns if c.startswith("_in_")]
+    ends = rows.groupBy(*w.by).agg(
+        *[F.max_by(n, "_at").alias(f"_last_{n}") for n in names],
+        *[F.first(c).alias(c) for c in states],
     )
+    series = [k for k in w.by if k != "_blk"]
     along = Window.partitionBy(*series).orderBy("_blk")
-    handed = whole.select(*w.by, *[F.coalesce(F.lag(f"_y_{n}").over(along), F.lit(0.0)).alias(f"_from_{n}") for n in terms])
-    df = df.join(handed, list(w.by))
-    full = {n: F.col(n) + F.col(f"_from_{n}") * F.pow(F.lit(b), F.col("_at") + 1) for n, (_, b, _) in terms.items()}
-    return df.withColumns(full).drop("_at", *[f"_from_{n}" for n in terms])
+
+    def over_blocks(ends, found):
+        """The values handed to each block, from the ends of those before: name -> (end, b)."""
+        terms = {f"_y_{n}": (end, b**w.block, _rate(b) * w.block) for n, (end, b) in found.items()}
+        ends = linear_recurrence(ends, series, "_blk", "_blk", terms)
+        first = {n: _before(ends, n) for n in found}
+        ends = ends.withColumns({f"_y_{n}": F.col(f"_y_{n}") + first[n] * F.pow(F.lit(b**w.block), F.col("_blk") + 1) for n, (_, b) in found.items()})
+        return ends.withColumns({f"_from_{n}": F.coalesce(F.lag(f"_y_{n}").over(along), first[n]) for n in found})
+
+    ends = over_blocks(ends, {n: (F.col(f"_last_{n}"), 1 - a) for n, (_, a) in means.items()})
+    for n, (weights, a, b, _, _) in nested.items():
+        passed = _passed_on(weights, means, a, F.lit(w.block))
+        ends = over_blocks(ends, {n: (F.col(f"_last_{n}") + passed, b)})
+    rows = rows.join(ends.select(*w.by, *[f"_from_{n}" for n in names]), list(w.by))
+
+    def full(n, column, so_far):
+        if n in means:
+            return F.col(column) + F.col(f"_from_{n}") * F.pow(F.lit(1 - means[n][1]), so_far)
+        weights, a, b, _, _ = nested[n]
+        return F.col(column) + F.col(f"_from_{n}") * F.pow(F.lit(b), so_far) + _passed_on(weights, means, a, so_far)
+
+    known = {n: full(n, n, F.col("_at") + 1) for n in names}
+    begins = F.col("_pos") + F.col("_start") == 0
+    known |= {f"_prev_{n}": F.when(~begins, full(n, f"_prev_{n}", F.col("_at"))) for n in lagged}
+    return rows.withColumns(known).drop("_at", *[f"_from_{n}" for n in names])
+
+
+def _passed_on(weights, means, a, rows):
+    """What the ends handed to ``rows`` rows of the means add to a recursive mean (weight a) of their weighted sum."""
+    d, total = 1 - a, F.lit(0.0)
+    for n, weight in weights.items():
+        if n in means:
+            b = 1 - means[n][1]
+            reach = rows * F.pow(F.lit(b), rows) if b == d else b * (F.pow(F.lit(b), rows) - F.pow(F.lit(d), rows)) / (b - d)
+            total += a * weight * F.col(f"_from_{n}") * reach
+    return total
 
 
 def ema(bars, spans=(12, 26), c="close", warm_up=False, layout=None):
     """Recursive EMAs; with ``warm_up`` the first span - 1 rows are NULL."""
-    alphas = {n: alpha_of_span(n) for n in spans}
 
-    def build(df, w):
-        df = recursive_means(df, w, {f"ema_{n}": (c, a) for n, a in alphas.items()})
+    def then(df, w):
+        df = add_recursive(df, w, {f"ema_{n}": (c, alpha_of_span(n)) for n in spans})
         return warm(df, spans) if warm_up else df
 
-    return over_series(bars, build, layout=layout, pos=True)
+    return over_series(bars, then=then, layout=layout, pos=True)
 
 
 def warm(df, spans):
     return df.withColumns(
         {f"ema_{n}": F.when(F.col("_pos") >= n - 1, F.col(f"ema_{n}")) for n in spans}
     )
-
-

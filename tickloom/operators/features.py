@@ -4,8 +4,19 @@ from pyspark.sql import functions as F, types as T
 
 from tickloom.functions import candles, dates
 from tickloom.layout import layout_of, numbered, over_series
-from tickloom.operators.bands import add_bollinger, add_rolling_features
-from tickloom.operators.oscillators import add_macd_warm, add_rsi_wilder, add_stochastic
+from tickloom.operators.averages import add_recursive
+from tickloom.operators.bands import bollinger_frames, rolling_frames, with_bollinger
+from tickloom.operators.ladder import add_frames
+from tickloom.operators.oscillators import (
+    _PARTS,
+    add_gains_losses,
+    macd_means,
+    stochastic_frames,
+    wilder_means,
+    with_macd_warm,
+    with_rsi_wilder,
+    with_stochastic,
+)
 
 
 def candle_geometry(bars):
@@ -45,15 +56,16 @@ def ml_features(bars, layout=None):
     """
 
     def build(df, w):
-        df = add_rsi_wilder(df, w, 14, "rsi")
-        df = add_macd_warm(df, w)
-        df = add_bollinger(df, w, population=True).drop("bb_middle", "bb_std")
-        df = df.withColumnsRenamed({"bb_upper": "bb_high", "bb_lower": "bb_low"})
-        df = add_stochastic(df, w, 14, "stoch")
-        df = add_rolling_features(df, w)
-        return target_up(_add_patterns(df, w), w)
-
-    rows = over_series(candle_geometry(bars), build, 20, 1, layout, pos=True)
+        df = target_up(_add_patterns(add_gains_losses(df, w), w), w)
+        df = add_frames(df, w, {**bollinger_frames(population=True), **stochastic_frames(), **rolling_frames()})
+        df = with_bollinger(df).drop("bb_middle", "bb_std").withColumnsRenamed({"bb_upper": "bb_high", "bb_lower": "bb_low"})
+        return with_stochastic(df, "stoch")
+
+    def then(df, w):
+        df = add_recursive(df, w, {**wilder_means(), **macd_means()})
+        return with_macd_warm(with_rsi_wilder(df).drop(*_PARTS))
+
+    rows = over_series(candle_geometry(bars), build, 20, 1, layout, pos=True, then=then)
     rows = rows.withColumns(
         {
             "hour": F.hour(F.col("date").cast("timestamp")),

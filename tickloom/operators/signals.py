@@ -4,16 +4,25 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import labels
 from tickloom.layout import over_series
-from tickloom.operators.averages import add_means
-from tickloom.operators.bands import add_bollinger
-from tickloom.operators.oscillators import add_macd_recursive, add_rsi_strict
+from tickloom.operators import ladder
+from tickloom.operators.bands import bollinger_frames, with_bollinger
+from tickloom.operators.ladder import add_frames
+from tickloom.operators.oscillators import (
+    add_gains_losses,
+    add_macd_recursive,
+    gain_loss_frames,
+    with_rsi_strict,
+)
 from tickloom.operators.select import latest_per_pair
 
 STATES = ("moving_average", "rsi", "macd", "bollinger")
 
 
-def _add_smas(df, w):
-    df = add_means(df, w, {f"sma_{n}": ("close", n) for n in (50, 200)}, full=True)
+_SMAS = {f"sma_{n}": ladder.mean("close", n, True) for n in (50, 200)}
+
+
+def _add_smas(df, w, others=None):
+    df = add_frames(df, w, {**_SMAS, **(others or {})})
     return df.withColumns({f"_prev_sma_{n}": F.lag(f"sma_{n}").over(w.spec) for n in (50, 200)})
 
 
@@ -28,7 +37,6 @@ def ma_crossovers(bars, layout=None):
         lambda df, w: _add_smas(df, w).withColumn("ma_signal", _sma_state()),
         back=201,
         layout=layout,
-        pos=True,
     )
     return states.filter(F.col("ma_signal").startswith("Strong")).drop(
         "_prev_sma_50", "_prev_sma_200"
@@ -43,12 +51,13 @@ def signal_states(bars, within=None, layout=None):
     """
 
     def build(df, w):
-        df = add_macd_recursive(add_rsi_strict(_add_smas(df, w), w, out="rsi_value"), w)
-        df = add_bollinger(df, w)
-        df = df.withColumns(
-            {"_prev_macd": F.lag("macd").over(w.spec), "_prev_signal": F.lag("macd_signal").over(w.spec)}
-        )
-        macd = (F.col(c) for c in ("macd", "macd_signal", "_prev_macd", "_prev_signal"))
+        df = _add_smas(add_gains_losses(df, w), w, {**gain_loss_frames(14, True), **bollinger_frames()})
+        return with_bollinger(with_rsi_strict(df, "rsi_value"))
+
+    def then(df, w):
+        df = add_macd_recursive(df, w, lagged=("ema_12", "ema_26", "macd_signal"))
+        df = df.withColumn("_prev_macd", F.col("_prev_ema_12") - F.col("_prev_ema_26"))
+        macd = (F.col(c) for c in ("macd", "macd_signal", "_prev_macd", "_prev_macd_signal"))
         return df.select(
             "pair",
             "date",
@@ -57,10 +66,10 @@ def signal_states(bars, within=None, layout=None):
             labels.rsi_state("rsi_value").alias("rsi"),
             labels.macd_state(*macd).alias("_macd_state"),
             labels.band_state("close", "bb_upper", "bb_lower").alias("bollinger"),
-            *([c for c in df.columns if c in ("_own", "_blk", "_pos")]),
+            *([c for c in df.columns if c in ("_blk", "_pos")]),
         ).withColumnRenamed("_macd_state", "macd")
 
-    states = over_series(bars, build, back=201, layout=layout, pos=True)
+    states = over_series(bars, build, back=201, layout=layout, pos=True, then=then)
     if within is not None:
         held = bars.filter(within).groupBy("pair").agg(F.count(F.lit(1)).alias("rows"))
         newest = latest_per_pair(states.filter(within).drop("rows")).join(held, "pair")

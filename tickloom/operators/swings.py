@@ -5,6 +5,8 @@ from dataclasses import replace
 from pyspark.sql import Window, functions as F, types as T
 
 from tickloom.layout import Layout, over_prefix, over_series
+from tickloom.operators import ladder
+from tickloom.operators.ladder import Frame, add_frames
 
 SIDES = {"support": ("low", F.min), "resistance": ("high", F.max)}
 
@@ -16,14 +18,12 @@ def swing_points(bars, n=10, layout=None):
     """
 
     def build(df, w):
-        frame = w.rows(-n, n)
-        whole = F.count(F.lit(1)).over(frame) == 2 * n + 1
-        return df.withColumns(
-            {
-                f"is_{side}": whole & (F.col(c) == agg(c).over(frame))
-                for side, (c, agg) in SIDES.items()
-            }
-        )
+        kinds = {"support": ladder.LOW, "resistance": ladder.HIGH}
+        df = df.withColumns({"_back": F.lag(F.lit(1), n).over(w.spec), "_on": F.lead(F.lit(1), n).over(w.spec)})
+        df = add_frames(df, w, {f"_{s}": Frame(kinds[s], c, 2 * n + 1, ahead=n) for s, (c, _) in SIDES.items()})
+        whole = F.col("_back").isNotNull() & F.col("_on").isNotNull()
+        found = {f"is_{s}": whole & (F.col(c) == F.col(f"_{s}")) for s, (c, _) in SIDES.items()}
+        return df.withColumns(found).drop("_back", "_on", *[f"_{s}" for s in SIDES])
 
     return over_series(bars, build, back=n, ahead=n, layout=layout)
 

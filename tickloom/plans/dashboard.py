@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.prices import percent_of
 from tickloom.layout import over_series
-from tickloom.operators.averages import add_means
-from tickloom.operators.bands import add_bollinger
+from tickloom.operators import ladder
+from tickloom.operators.bands import bollinger_frames, with_bollinger
 from tickloom.operators.bars import with_changes
-from tickloom.operators.oscillators import add_macd_recursive, add_rsi_strict
+from tickloom.operators.ladder import add_frames
+from tickloom.operators.oscillators import (
+    add_gains_losses,
+    add_macd_recursive,
+    gain_loss_frames,
+    with_rsi_strict,
+)
 
 RETURN_ROWS = {"weekly_return": 5, "monthly_return": 20}
 
@@ -20,8 +26,9 @@ def add_indicators(bars, layout=None):
     """All dashboard indicators of every row, in one windowed pass."""
 
     def build(df, w):
-        df = add_means(df, w, {f"sma_{n}": ("close", n) for n in (20, 50, 200)}, full=True)
-        df = add_bollinger(add_rsi_strict(add_macd_recursive(df, w), w), w)
+        smas = {f"sma_{n}": ladder.mean("close", n, True) for n in (20, 50, 200)}
+        df = add_frames(add_gains_losses(df, w), w, {**smas, **gain_loss_frames(14, True), **bollinger_frames()})
+        df = with_bollinger(with_rsi_strict(df))
 
         def n_row_return(n):
             before = F.lag("close", n).over(w.spec)
@@ -29,7 +36,7 @@ def add_indicators(bars, layout=None):
 
         return df.withColumns({k: n_row_return(n) for k, n in RETURN_ROWS.items()})
 
-    return with_changes(over_series(bars, build, back=200, layout=layout, pos=True))
+    return with_changes(over_series(bars, build, back=200, layout=layout, pos=True, then=add_macd_recursive))
 
 
 def price_panel(bars, within, layout=None):

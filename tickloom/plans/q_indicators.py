@@ -1,11 +1,12 @@
 """Queries over single indicators, on daily bars and (block-wise) on hourly bars."""
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
-from tickloom.layout import Layout
-from tickloom.operators import averages, bands, changes, features, oscillators, select, swings
+from tickloom.layout import Layout, over_series
+from tickloom.operators import averages, bands, changes, features, ladder, oscillators, resume, select, swings
 from tickloom.plans import inputs
 from tickloom.plans.registry import query
+from tickloom.session import stored
 
 W = "(PARTITION BY pair ORDER BY date)"
 
@@ -422,14 +423,82 @@ def recursive_flat_tail_blocks(spark, sf):
     return _tail(spark, sf, Layout(block_rows=256, split=True))
 
 
+def _relative_sql(agg, n):
+    """Against the largest close of the frame, as a spike leaves no digits for what is beside it."""
+    return f"{strict_sql(agg, n)} / max(close) OVER (w ROWS {n - 1} PRECEDING)"
+
+
+SPIKED = {"mean_20": ("avg", 20), "mean_200": ("avg", 200), "dev_20": ("stddev_samp", 20), "dev_200": ("stddev_samp", 200), "dev_500": ("stddev_samp", 500)}
+
+
 @query(
     "means_after_spikes",
-    "pair date:d sma_20:6 sma_50:6 sma_200:1",
-    f"""SELECT pair, date, {strict_sql('avg', 20)} AS sma_20, {strict_sql('avg', 50)} AS sma_50,
-        {strict_sql('avg', 200)} AS sma_200 FROM spiked WINDOW w AS {W} QUALIFY row_number() OVER w % 97 = 96""",
+    "pair date:d " + " ".join(f"{k}:9" for k in SPIKED),
+    "SELECT pair, date, " + ", ".join(f"{_relative_sql(*v)} AS {k}" for k, v in SPIKED.items()) + f" FROM spiked WINDOW w AS {W}",
 )
 def means_after_spikes(spark, sf):
-    """Means just before the next spike: the last one is out of the shorter frames and leaves no trace."""
-    rows = averages.sma_strict(inputs.spiked_bars(spark, sf))
-    place = F.row_number().over(Window.partitionBy("pair").orderBy("date"))
-    return rows.withColumn("_rn", place).filter(F.col("_rn") % 97 == 96)
+    """Means and deviations of every row, as shares of the frame's largest close: a spike that left a frame leaves no trace."""
+    kinds = {"avg": lambda n: ladder.mean("close", n, True), "stddev_samp": lambda n: ladder.std("close", n)}
+    frames = {k: kinds[agg](n) for k, (agg, n) in SPIKED.items()}
+    frames |= {f"_top_{k}": ladder.Frame(ladder.HIGH, "close", n) for k, (_, n) in SPIKED.items()}
+    rows = over_series(inputs.spiked_bars(spark, sf), lambda df, w: ladder.add_frames(df, w, frames), back=500)
+    return rows.withColumns({k: F.col(k) / F.col(f"_top_{k}") for k in SPIKED})
+
+
+# --- runs that continue earlier ones ------------------------------------------
+
+RESUMED = "pair date:d n:l ema_12:4 ema_26:4 macd:4 macd_signal:4 macd_histogram:4 rsi:6"
+RESUMED_SQL = """SELECT e.pair, e.date, e.rn AS n, ema_12, ema_26, ema_12 - ema_26 AS macd, signal AS macd_signal,
+    ema_12 - ema_26 - signal AS macd_histogram,
+    CASE WHEN e.rn < 14 THEN NULL WHEN down = 0 THEN 100 ELSE 100 - 100 / (1 + up / down) END AS rsi
+    FROM ema_run e JOIN wilder_run z USING (pair, date)"""
+
+
+def _in_steps(bars, cuts, layout=None):
+    """Indicators of the bars up to each cut, each run from the state that the one before left."""
+    state, found = None, None
+    for cut in (*cuts, None):
+        fresh = bars if cut is None else bars.filter(F.col("date") <= cut)
+        fresh = fresh if state is None else resume.newer_bars(fresh, state)
+        rows, _ = stored(resume.recursive_indicators(fresh, state, layout), "indicators")
+        state, _ = stored(resume.state_after(rows, state), "state")
+        found = rows if found is None else found.unionByName(rows)
+    return found, state
+
+
+@query("resumed_indicators", RESUMED, RESUMED_SQL)
+def resumed_indicators(spark, sf):
+    """Three daily loads, the second of a few days: each reads its new bars and the state before."""
+    return _in_steps(inputs.stored_bars(spark, sf), (F.lit("1995-03-15").cast("date"), F.lit("1995-03-19").cast("date")))[0]
+
+
+@query(
+    "indicator_state",
+    "pair date:d n:l close:4 ema_12:4 ema_26:4 macd_signal:4 avg_gain:4 avg_loss:4",
+    """SELECT e.pair, e.date, e.rn AS n, close, ema_12, ema_26, signal AS macd_signal, up AS avg_gain, down AS avg_loss
+       FROM ema_run e JOIN wilder_run z USING (pair, date) QUALIFY row_number() OVER (PARTITION BY e.pair ORDER BY e.date DESC) = 1""",
+)
+def indicator_state(spark, sf):
+    """What the last of two loads leaves behind; one instrument has no bars in it."""
+    rows = inputs.stored_bars(spark, sf)
+    return _in_steps(rows, (F.when(F.col("pair") == "5-LOW", F.lit("2999-01-01")).otherwise("1996-01-01").cast("date"),))[1]
+
+
+HOURLY_RUN_SQL = f"""WITH RECURSIVE n AS (SELECT *, row_number() OVER {W} AS rn,
+      coalesce(close - lag(close) OVER {W}, 0) AS diff FROM hourly_bars),
+    run AS (SELECT pair, date, rn, close AS ema_12, close AS ema_26, 0e0 AS signal, 0e0 AS up, 0e0 AS down FROM n WHERE rn = 1
+      UNION ALL SELECT pair, date, rn, e12, e26, signal * 0.8e0 + (e12 - e26) * 0.2e0, up * 13e0 / 14 + greatest(diff, 0) / 14,
+        down * 13e0 / 14 + greatest(-diff, 0) / 14 FROM (
+        SELECT n.pair, n.date, n.rn, n.diff, run.ema_12 * 11e0 / 13 + n.close * 2e0 / 13 AS e12,
+          run.ema_26 * 25e0 / 27 + n.close * 2e0 / 27 AS e26, signal, up, down
+        FROM run JOIN n ON n.pair = run.pair AND n.rn = run.rn + 1))
+    SELECT pair, date, rn AS n, ema_12, ema_26, ema_12 - ema_26 AS macd, signal AS macd_signal, ema_12 - ema_26 - signal AS macd_histogram,
+      CASE WHEN rn < 14 THEN NULL WHEN down = 0 THEN 100 ELSE 100 - 100 / (1 + up / down) END AS rsi FROM run"""
+
+
+@query("hourly_resumed_indicators", RESUMED.replace("date:d", "date:t"), HOURLY_RUN_SQL)
+def hourly_resumed_indicators(spark, sf):
+    """The same on hourly bars in blocks, in two runs cut in the middle of the time."""
+    rows, _ = stored(hourly(spark, sf), "hourly")
+    middle = rows.agg(F.timestamp_seconds((F.unix_seconds(F.min("date").cast("timestamp")) + F.unix_seconds(F.max("date").cast("timestamp"))) / 2)).scalar()
+    return _in_steps(rows, (middle,), inputs.HOURLY)[0]

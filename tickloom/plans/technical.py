@@ -4,14 +4,17 @@ from pyspark.sql import Window, functions as F
 
 from tickloom.functions import labels
 from tickloom.layout import over_series
-from tickloom.operators.averages import add_one_step_emas, technical_ema
+from tickloom.operators.averages import one_step_frames, technical_ema, with_one_step_emas
 from tickloom.operators.bands import price_band, usual_move
 from tickloom.operators.changes import running_count
+from tickloom.operators.ladder import add_frames
 from tickloom.operators.oscillators import (
-    add_macd_simple,
-    add_rsi_partial,
+    add_gains_losses,
+    gain_loss_frames,
     technical_macd,
     technical_rsi,
+    with_macd_simple,
+    with_rsi_partial,
 )
 from tickloom.operators.select import as_of_column, last_n, latest_date, trailing
 from tickloom.operators.summary import performance_summary as summarize
@@ -48,11 +51,13 @@ def technical_analysis(fact, as_of=None, days=90, layout=None):
     cut = F.date_sub(as_of_column(fact, as_of), days)
 
     def build(df, w):
-        df = add_one_step_emas(add_rsi_partial(df, w), w, (9, 22, 50))
-        return add_macd_simple(df, w, keep_emas=False)
+        sizes = (9, 12, 22, 26, 50)
+        df = add_frames(add_gains_losses(df, w), w, {**gain_loss_frames(14), **one_step_frames(sizes)})
+        df = with_one_step_emas(with_rsi_partial(df), w, sizes)
+        return with_macd_simple(df, w, keep_emas=False)
 
     needed = recent_with_history(needed, cut, LOOK_BACK)
-    rows = over_series(needed, build, LOOK_BACK, layout=layout, pos=True)
+    rows = over_series(needed, build, LOOK_BACK, layout=layout)
     return _with_labels(rows.filter(F.col("date") >= cut))
 
 
