@@ -8,6 +8,7 @@ from tickloom.layout import over_series
 from tickloom.operators.averages import add_means
 from tickloom.operators.changes import forward_fill
 from tickloom.operators.select import with_marks
+from tickloom.session import stored
 
 
 def count_by_pair(rows):
@@ -75,7 +76,7 @@ def period_stats(bars, within=None, layout=None):
         return df.withColumn("_prev", F.lag("close").over(w.spec))
 
     move, wide = change_percent(), spread_percent()
-    rows = over_series(bars, build, back=200, layout=layout, pos=True)
+    rows = over_series(bars, build, back=200, layout=layout)
     out = (rows if within is None else rows.filter(within)).groupBy("pair").agg(
         F.max_by("close", "date").alias("current_price"),
         F.max_by("_prev", "date").alias("previous_price"),
@@ -150,32 +151,89 @@ def volatility_summary(bars):
     )
 
 
+QUARTILES = (0.25, 0.5, 0.75)
+
+
 def describe_exact(rows, columns, key="pair", exact=True):
     """Count, mean, deviation, min, quartiles and max per series and column.
 
-    Exact quartiles gather the distinct values of a series, which the calendar bounds
-    for daily bars; ``exact=False`` uses mergeable sketches for anything longer.
+    Exact quartiles of daily bars hold the distinct values of a series, which the calendar
+    bounds; for anything longer they are found by counting (see ``exact_quantiles``), which reads
+    ``rows`` a few times.  ``exact=False`` uses mergeable sketches and one pass.
     """
-    if exact and "date" in rows.columns and not isinstance(rows.schema["date"].dataType, T.DateType):
-        raise ValueError("exact quartiles are for daily rows; use exact=False")
-    quartiles = [0.25, 0.5, 0.75]
+    daily = "date" in rows.columns and isinstance(rows.schema["date"].dataType, T.DateType)
+    counted = exact and not daily
 
     def stats(c):
-        found = F.percentile(c, quartiles) if exact else F.percentile_approx(c, quartiles, 10000)
+        found = F.percentile(c, list(QUARTILES)) if exact else F.percentile_approx(c, list(QUARTILES), 10000)
+        quartiles = [] if counted else [found[i].alias(f"p{int(100 * q)}") for i, q in enumerate(QUARTILES)]
         return F.struct(
             F.lit(c).alias("column_name"),
             F.count(c).alias("count"),
             F.avg(c).alias("mean"),
             F.stddev_samp(c).alias("std"),
             F.min(c).alias("min"),
-            found[0].alias("p25"),
-            found[1].alias("p50"),
-            found[2].alias("p75"),
+            *quartiles,
             F.max(c).alias("max"),
         )
 
     wide = rows.groupBy(key).agg(F.array(*[stats(c) for c in columns]).alias("_stats"))
-    return wide.select(key, F.inline("_stats"))
+    out = wide.select(key, F.inline("_stats"))
+    if not counted:
+        return out
+    found = exact_quantiles(rows, columns, QUARTILES, key)
+    named = [F.max(F.when(F.col("quantile") == q, F.col("value"))).alias(f"p{int(100 * q)}") for q in QUARTILES]
+    quartiles = found.groupBy(key, "column_name").agg(*named)
+    joined = out.join(quartiles, [key, "column_name"], "left")
+    return joined.select(key, "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+BINS = 1024
+FEW = 4096
+
+
+def exact_quantiles(rows, columns, quantiles=QUARTILES, key="pair", bins=BINS, few=FEW):
+    """key, column_name, quantile, value: linear interpolation between neighbours, as ``percentile``.
+
+    No series is gathered.  A wanted rank starts from the range of all values; a pass counts the
+    values in ``bins`` equal parts of its range, keeps the part that holds the rank, and narrows it to
+    the values that occur there.  A part of one value is the answer; one of at most ``few`` rows is
+    put in order.  What is held per series, column and quantile is two ranks, and ``bins`` counts while
+    they are summed, whatever the length of a series.  NULLs and NaN don't count; a series without
+    values has no row.
+    """
+    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]))
+    long = rows.select(key, cells).filter("v IS NOT NULL AND NOT isnan(v)")
+    unit = [key, "column_name"]
+    ends = long.groupBy(*unit).agg(F.count(F.lit(1)).alias("inside"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    asked = ends.withColumn("quantile", F.explode(F.array(*map(F.lit, quantiles)))).withColumn("_at", (F.col("inside") - 1) * F.col("quantile"))
+    sides = asked.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at"))))).withColumn("share", 1 - F.abs(F.col("_at") - F.col("rank")))
+    wanted, _ = stored(sides.drop("_at"), "wanted")
+    ranks = wanted.select(*unit, "rank", "lo", "hi", "inside", F.lit(0).cast("long").alias("before")).distinct()
+    found = None
+    while True:
+        ranks, _ = stored(ranks, "ranks")
+        sure = ranks.filter("lo = hi").select(*unit, "rank", F.col("lo").alias("v"))
+        short = ranks.filter((F.col("lo") < F.col("hi")) & (F.col("inside") <= few))
+        within = (F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))
+        listed = long.join(short, unit).filter(within).groupBy(*unit, "rank", "before").agg(F.sort_array(F.collect_list("v")).alias("_v"))
+        settled = sure.unionByName(listed.select(*unit, "rank", F.element_at("_v", (F.col("rank") - F.col("before") + 1).cast("int")).alias("v")))
+        found = settled if found is None else found.unionByName(settled)
+        open_ = ranks.filter((F.col("lo") < F.col("hi")) & (F.col("inside") > few))
+        if open_.isEmpty():
+            break
+        # The ends fall in the first and the last bin; in halves where the width is beyond the largest double.
+        half = F.when(F.col("hi") - F.col("lo") < float("inf"), 1.0).otherwise(0.5)
+        share = (F.col("v") * half - F.col("lo") * half) / (F.col("hi") * half - F.col("lo") * half)
+        place = F.floor(share * bins)
+        placed = long.join(open_, unit).filter(within).withColumn("bin", F.least(place, F.lit(bins - 1)))
+        counts = placed.groupBy(*unit, "rank", "before", "bin").agg(F.count(F.lit(1)).alias("inside"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        along = Window.partitionBy(*unit, "rank").orderBy("bin")
+        upto = F.col("before") + F.sum("inside").over(along)
+        counts = counts.withColumn("_upto", upto).filter((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("inside")))
+        ranks = counts.select(*unit, "rank", "lo", "hi", "inside", (F.col("_upto") - F.col("inside")).alias("before"))
+    values = wanted.select(*unit, "rank", "quantile", "share").join(found, [*unit, "rank"])
+    return values.groupBy(*unit, "quantile").agg(F.sum(F.col("v") * F.col("share")).alias("value"))
 
 
 def histogram(rows, value, bins=50, key="pair"):

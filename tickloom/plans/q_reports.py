@@ -139,6 +139,36 @@ def describe_bars(spark, sf):
     return summary.describe_exact(inputs.fact(spark, sf), columns)
 
 
+@query(
+    "describe_ticks",
+    "pair column_name count:l mean:4 std:4 min:4 p25:4 p50:4 p75:4 max:4",
+    " UNION ALL ".join(
+        f"""SELECT pair, '{c}' AS column_name, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std,
+            min({c}) AS min, quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50,
+            quantile_cont({c}, 0.75) AS p75, max({c}) AS max FROM ticks GROUP BY pair"""
+        for c in ("price", "event_id")
+    ),
+)
+def describe_ticks(spark, sf):
+    """Exact quartiles of quotes, of which a series may have any number: found by counting."""
+    return summary.describe_exact(inputs.ticks(spark, sf), ("price", "event_id"))
+
+
+TICK_QUANTILES = (0.0, 0.01, 0.5, 0.9, 0.999, 1.0)
+
+
+@query(
+    "tick_quantiles",
+    "pair column_name quantile:4 value:6",
+    " UNION ALL ".join(
+        f"SELECT pair, 'price' AS column_name, {q} AS quantile, quantile_cont(price, {q}) AS value FROM ticks GROUP BY pair" for q in TICK_QUANTILES
+    ),
+)
+def tick_quantiles(spark, sf):
+    """The same with so few bins and rows that ranks are narrowed several times."""
+    return summary.exact_quantiles(inputs.ticks(spark, sf), ("price",), TICK_QUANTILES, bins=8, few=4)
+
+
 def histogram_sql(column):
     return f"""SELECT pair, CAST(bin AS INTEGER) AS bin, lo + (bin - 1) * (hi - lo) / 50 AS bin_from,
         lo + bin * (hi - lo) / 50 AS bin_to, count(*) AS n
