@@ -332,8 +332,14 @@ def test_correlation_mirrors_its_triangle(make_bars):
     assert got["A", "A"] == pytest.approx(1)
 
 
-def test_calendar_is_clipped(spark):
-    days = spark.sql("SELECT explode(array(DATE'0001-01-01', DATE'2199-12-30', DATE'9999-01-01')) AS date")
-    assert star.date_span(days).count() == 1
+def test_calendar_holds_every_date(spark):
+    """A wrong date adds its own year only; years between others are filled."""
+    days = spark.sql("SELECT explode(array(DATE'0001-01-01', DATE'2199-12-30', DATE'9999-01-01', NULL)) AS date")
+    span = star.date_span(days)
+    assert span.count() == 365 + 365 + 1
+    facts = days.select(F.lit("A").alias("pair"), "date")
+    pairs = star.dim_pairs(spark, [("A", "X", "Y")])
+    assert star.star_join(facts, star.calendar(span), pairs).count() == 3
     days = spark.sql("SELECT explode(array(DATE'2019-12-30', DATE'2021-01-02')) AS date")
     assert [str(r.date) for r in star.date_span(days).orderBy("date").collect()][::366] == ["2019-12-30", "2020-12-30"]
+    assert star.date_span(days.limit(0)).count() == 0

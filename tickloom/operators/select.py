@@ -47,18 +47,16 @@ def newest(rows, n, order="date", key="pair"):
     return rows.orderBy(F.col(order).desc(), F.col(key)).limit(n)
 
 
-SALTS = 16
-
-
 def with_marks(rows, marks, key, how="inner"):
     """Join rows to one row of ``marks`` per key, where one key may hold most rows.
 
     Spark can't split a join side whose other side is an aggregate of the same key.  So the
-    marks are repeated per salt and joined by key and salt: a hot key's rows meet in SALTS
-    tasks, and the planner may still broadcast marks that are small.
+    marks are repeated per salt and joined by key and salt: a hot key's rows meet in half as many
+    tasks as a shuffle has partitions, and the planner may still broadcast marks that are small.
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    count = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("_salt")
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(count)).cast("int"))
     return salted.join(marks.select("*", salts), [key, "_salt"], how).drop("_salt")
 
 

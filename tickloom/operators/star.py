@@ -1,6 +1,6 @@
 """Star schema: dimensions and the views joined over them."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tickloom.functions import dates, prices
 from tickloom.operators.changes import rate_lags
@@ -26,17 +26,23 @@ def date_series(spark, start, end=None, years=5):
     return spark.range(1).select(F.explode(F.sequence(first, last)).alias("date"))
 
 
-FIRST_DAY, LAST_DAY = "1900-01-01", "2200-12-31"
+GAP_YEARS = 50  # a longer stretch of years without any fact comes from a wrong date and is left out
 
 
 def date_span(facts):
-    """One row per day from the first to the last date of ``facts`` that lies in FIRST_DAY to LAST_DAY.
+    """One row per day from the first to the last date of ``facts``, whatever these are.
 
-    Years first, then the days of each: no row holds more than a year.
+    The years that occur come first (ten thousand at most), then the days of each: no row holds
+    more than a year.  Years between two of them are filled in unless they are more than
+    GAP_YEARS, so a wrong date adds its own year and not the millennia before it.
     """
-    valid = facts.filter(F.col("date").between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")))
-    ends = valid.agg(F.min("date").alias("a"), F.max("date").alias("b")).filter("a IS NOT NULL")
-    years = ends.select("a", "b", F.explode(F.sequence(F.year("a"), F.year("b"))).alias("y"))
+    known = facts.filter("date IS NOT NULL")
+    seen = known.groupBy(F.year("date").alias("y")).agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    whole = Window.partitionBy()
+    before = F.lag("y").over(whole.orderBy("y"))
+    from_year = F.when(F.col("y") - before <= GAP_YEARS, before + 1).otherwise(F.col("y"))
+    spans = seen.select(from_year.alias("_from"), F.col("y").alias("_to"), F.min("a").over(whole).alias("a"), F.max("b").over(whole).alias("b"))
+    years = spans.select("a", "b", F.explode(F.sequence("_from", "_to")).alias("y"))
     first = F.greatest("a", F.make_date("y", F.lit(1), F.lit(1)))
     last = F.least("b", F.make_date("y", F.lit(12), F.lit(31)))
     return years.select(F.explode(F.sequence(first, last)).alias("date"))
