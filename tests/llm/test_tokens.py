@@ -91,6 +91,14 @@ def test_packing(spark):
     # equal rows have equal pieces, so documents are rebuilt from the counts of their pieces
     parts = Counter((r.doc_id, r.start, r.doc_tokens, bytes(r.ids)) for r in got)
     assert parts == Counter((i, s, len(ids), np.array(ids[s : s + 64], "<u2").tobytes()) for (i, ids), n in want.items() for s in range(0, len(ids), 64) for _ in range(n))
+    assert all(r.ids_crc32 == zlib.crc32(np.frombuffer(r.ids, "<u2").astype("<u4").tobytes()) for r in got)
+
+
+def test_places_without_ids(spark):
+    both = [sorted(packing.pack(documents(spark), size=64, with_ids=w).drop("ids").collect(), key=repr) for w in (True, False)]
+    assert "ids" not in packing.pack(documents(spark), size=64, with_ids=False).columns
+    strip = lambda rows: Counter((r.doc_id, r.start, r.length, r.doc_tokens, r.ids_crc32) for r in rows)
+    assert strip(both[0]) == strip(both[1])
 
 
 @settings(max_examples=200, deadline=None)

@@ -5,7 +5,8 @@ A document's ids are cut into pieces of `size` ids and a rest. Only the histogra
 that hold least so far; what is updated is a count per pattern of lengths, never a pack by itself, so
 the work depends on `size` and not on the data. A pattern's places take the pieces of their length by
 rank. Ranks come from counts per task and length: no piece is sorted, and one very common length is
-never gathered in one task.
+never gathered in one task. Checksums are made where the ids are; ids travel to their rank only where they are
+asked for.
 
 Cases: a NULL or empty text is one piece of the end id; a NULL id is carried; repeated rows are packed
 each; an empty table gives no rows; other columns are ignored.
@@ -29,8 +30,7 @@ from tickloom.llm.token_ids import default_path, encoder
 from tickloom.llm.words import slices, text_bytes
 from tickloom.llm.workers import ship
 
-PIECE = "doc_id long, start long, length int, doc_tokens long, ids binary, task int, place long"
-PACKED = "doc_id long, start long, length int, doc_tokens long, ids binary, sequence_id long, offset long"
+PIECE = "doc_id long, start long, length int, doc_tokens long, ids_crc32 long, task int, place long"
 
 
 def pack_histogram(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
@@ -85,8 +85,9 @@ def places(patterns: list[tuple[tuple[int, ...], int]], size: int) -> tuple[np.n
     return tuple(np.array(x, np.int64) for x in zip(*sorted(rows), strict=True)) if rows else (np.zeros(0, np.int64),) * 3
 
 
-def token_pieces(docs: DataFrame, path: str, size: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pieces of every document with their ids, and each piece's rank among those of its length in its task."""
+def token_pieces(docs: DataFrame, path: str, size: int, end_id: int, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+    """The pieces of every document with their checksums (of little-endian 32-bit ids) and, on demand, ids, and each
+    piece's rank among those of its length in its task."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
@@ -109,54 +110,56 @@ def token_pieces(docs: DataFrame, path: str, size: int, end_id: int, id_col: str
                 place[order] = seen[in_order] + run
                 seen += np.bincount(length, minlength=size + 1)
                 first = at[row] + start
-                got = [ids[a:b].tobytes() for a, b in zip(first.tolist(), (first + length).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(row)), pa.array(start), pa.array(length, pa.int32()), pa.array(rows[row] + 1), pa.array(got, pa.binary()), pa.array(np.full(len(row), task), pa.int32()), pa.array(place)],
-                    ["doc_id", "start", "length", "doc_tokens", "ids", "task", "place"],
-                )
+                ends = list(zip(first.tolist(), (first + length).tolist(), strict=True))
+                crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in ends]
+                columns = {
+                    "doc_id": part.column("doc_id").take(pa.array(row)),
+                    "start": pa.array(start),
+                    "length": pa.array(length, pa.int32()),
+                    "doc_tokens": pa.array(rows[row] + 1),
+                    "ids_crc32": pa.array(crc, pa.int64()),
+                    "task": pa.array(np.full(len(row), task), pa.int32()),
+                    "place": pa.array(place),
+                }
+                if with_ids:
+                    columns["ids"] = pa.array([ids[a:b].tobytes() for a, b in ends], pa.binary())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(cut, PIECE)
+    return rows.mapInArrow(cut, PIECE + (", ids binary" if with_ids else ""))
 
 
-def pack(docs: DataFrame, path: str | None = None, size: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, start, length, doc_tokens, ids (little-endian, 2 bytes each where the vocabulary allows), sequence_id, offset."""
-    pieces = staged(token_pieces(docs, path or default_path(), size, end_id, id_col, text_col), "pieces")
+def pack(
+    docs: DataFrame, path: str | None = None, size: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True
+) -> DataFrame:
+    """doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset and, on demand, ids (little-endian, 2 bytes each
+    where the vocabulary allows)."""
+    pieces = staged(token_pieces(docs, path or default_path(), size, end_id, id_col, text_col, with_ids), "pieces")
     counts = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     keys, sequences, offsets = places(pack_histogram(histogram, size), size)
 
+    kept = [c for c in pieces.columns if c not in ("task", "place")]
+
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key = batch.column("length").to_numpy().astype(np.int64) << 44 | batch.column("rank").to_numpy()
             at = np.searchsorted(keys, key, "right") - 1
             seats = [pa.array(sequences[at] + key - keys[at]), pa.array(offsets[at])]
-            kept = ["doc_id", "start", "length", "doc_tokens", "ids"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *seats], [*kept, "sequence_id", "offset"])
 
     ranked = pieces.join(base, ["task", "length"]).withColumn("rank", F.col("place") + F.col("base"))
-    return ranked.select("doc_id", "start", "length", "doc_tokens", "ids", "rank").mapInArrow(seat, PACKED)
-
-
-def with_checksums(packed: DataFrame, width: int) -> DataFrame:
-    """`ids` as checksum of little-endian 32-bit ids."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = [zlib.crc32(np.frombuffer(x.as_buffer(), f"<u{width}").astype("<u4").tobytes()) for x in batch.column("ids")]
-            yield batch.append_column("ids_crc32", pa.array(crc, pa.int64())).drop_columns(["ids"])
-
-    schema = "doc_id long, start long, length int, doc_tokens long, sequence_id long, offset long, ids_crc32 long"
-    out = packed.mapInArrow(digest, schema)
-    return out.select("doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    schema = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in kept)
+    return ranked.select(*kept, "rank").mapInArrow(seat, f"{schema}, sequence_id long, offset long")
 
 
 def packed_documents(docs: DataFrame) -> DataFrame:
-    path = default_path()
-    return with_checksums(pack(docs, path), encoder(path).width.itemsize)
+    """The places of all pieces, with checksums for ids."""
+    out = pack(docs, with_ids=False).withColumn("length", F.col("length").cast("long"))
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
