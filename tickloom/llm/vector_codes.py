@@ -5,11 +5,12 @@ from the parts of the vectors of least id and moves to its parts' means (rounded
 times. What makes a round cheap is the layout that is stored once before the rounds:
 
 1. Blocks. A task sorts some 65,536 parts of one position along a Hilbert curve and cuts them into flat
-   blocks of 256 neighbours. A block holds its parts as 32-bit integers, its bounding box (least and greatest
+   blocks of 64 neighbours. A block holds its parts as 32-bit integers, its bounding box (least and greatest
    component per place) and its sums. Nothing is shuffled for that.
-2. Shortlists. In a round, the least and the greatest distance from every box to every entry come from the
-   boxes alone. An entry whose least distance is above some entry's greatest one can't be nearest to any
-   part of the block. One entry left: the block's stored sums are its contribution, no part is looked at.
+2. Shortlists. In a round, distances come from the boxes alone. The entry nearest to a box's middle is its best;
+   another entry is compared with it at the box's corner that favours that entry most. If even this corner is
+   nearer to the best one, so is every part of the block, and the entry is off the block's list. One entry left:
+   the block's stored sums are its contribution, no part is looked at.
 3. Kernels. Otherwise the block's parts are compared with the few entries of its shortlist, in 64-bit integers.
 
 A task returns one row per (position, entry), with count and sums, so a round shuffles a few rows per task and
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.staging import staged
 from tickloom.llm.workers import ship
 
-BLOCK = 256
+BLOCK = 64
 #: Vectors sorted together; a block is as tight as its chunk is large.
 CHUNK = 1 << 16
 #: Bytes of components in a chunk at most.
@@ -112,11 +113,11 @@ def shortlists(part: np.ndarray, low: np.ndarray, high: np.ndarray, books: np.nd
     """For every block, which entries can be nearest to a point of its box (blocks x entries)."""
     out = np.empty((len(part), books.shape[1]), bool)
     for k in range(0, len(part), 4096):
-        entries = books[part[k : k + 4096]]
-        under, over = low[k : k + 4096, None] - entries, entries - high[k : k + 4096, None]
-        near = (np.maximum(np.maximum(under, over), 0) ** 2).sum(2)
-        far = (np.maximum(np.abs(under), np.abs(over)) ** 2).sum(2)
-        out[k : k + 4096] = near <= far.min(1, keepdims=True)
+        entries, lo, hi = books[part[k : k + 4096]], low[k : k + 4096, None], high[k : k + 4096, None]
+        middle = ((2 * entries - lo - hi) ** 2).sum(2).argmin(1)
+        best = entries[np.arange(len(entries)), middle][:, None]
+        corner = np.where(entries > best, hi, lo)  # where the box is nearest to the entry and farthest from the best one
+        out[k : k + 4096] = ((corner - entries) ** 2).sum(2) <= ((corner - best) ** 2).sum(2)
     return out
 
 
