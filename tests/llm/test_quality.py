@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickloom.llm import ppm, quality_pu, quality_rules, url_reputation
 from tickloom.llm.workers import ship
 
-from .cases import documents, odd_texts, words
+from .cases import documents, odd_texts, story, words
 
 SF = "/root/testdata/sf0.01"
 
@@ -90,7 +90,59 @@ def test_prior_is_estimated():
     r = np.random.default_rng(5)
     p = np.column_stack([r.normal(2, 1, (3000, 3)), np.ones(3000)])
     u = np.column_stack([np.concatenate([r.normal(2, 1, (4200, 3)), r.normal(-2, 1, (1800, 3))]), np.ones(6000)])[r.permutation(6000)]
-    assert quality_pu.fit_prior(p, u) == pytest.approx(0.7, abs=0.04)
+    w = quality_pu.against(p[::2], u[::2])
+    marks = np.sort(p[1::2] @ w)
+    below = np.array([*(int((u @ w < m).sum()) for m in marks), len(u)])
+    assert quality_pu.prior_of(marks, below) == pytest.approx(0.7, abs=0.05)
+
+
+def plain_risk(w, p, u, prior):
+    """The non-negative risk term by term: (whole, its second part)."""
+    dot = lambda x: sum(a * b for a, b in zip(w, x))
+    loss = lambda z: math.log1p(math.exp(-z))
+    mean = lambda xs: sum(xs) / len(xs)
+    positive = prior * mean([loss(dot(x)) for x in p])
+    negative = mean([loss(-dot(x)) for x in u]) - prior * mean([loss(-dot(x)) for x in p])
+    return positive + negative, negative
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_steps_follow_the_risk(seed):
+    """The step equals differences of the plainly written risk, and turns back where its second part is below zero."""
+    r = np.random.default_rng(seed)
+    p, u, w = r.normal(1, 1, (30, 4)), r.normal(0, 1, (50, 4)), r.normal(0, 1 + seed, 4)
+    prior = 0.3 + 0.1 * seed
+    _, second = plain_risk(w, p, u, prior)
+    got = quality_pu.risk_step(w, p, u, prior)
+    for k in range(4):
+        e = np.eye(4)[k] * 1e-6
+        up, down = plain_risk(w + e, p, u, prior), plain_risk(w - e, p, u, prior)
+        want = -(up[1] - down[1]) / 2e-6 if second < 0 else (up[0] - down[0]) / 2e-6 + quality_pu.RIDGE * w[k]
+        assert got[k] == pytest.approx(want, abs=1e-5)
+
+
+def test_shares_below_marks_cover_all_rows(spark):
+    """Counts over all rows, by scores worked out on the driver."""
+    import pyarrow as pa
+
+    ship(spark)
+    docs = documents(spark)
+    r = np.random.default_rng(2)
+    size = quality_pu.BUCKETS + quality_pu.RATIOS
+    mean, scale, w = np.zeros(size), np.ones(size), r.normal(0, 1, size + 1).astype(np.float32)
+    scores = quality_pu.features(pa.array([t for _, t in odd_texts()], pa.string())) @ w[:-1] + w[-1]
+    marks = np.sort(scores.astype(np.float64))[::3] + 1e-4
+    got = quality_pu._below(docs.select("text"), mean, scale, w, marks)
+    assert got.tolist() == [*(int((scores < m).sum()) for m in marks), len(scores)]
+
+
+def test_one_row_for_a_third_of_all(spark):
+    """A repeated labelled row is learnt once, and all its copies are scored alike."""
+    rows = [(4, story(1, 50))] * 300 + [(i, story(i, 40)) for i in range(10, 400)]
+    labels = spark.createDataFrame([(4, 1), *((i, 1) for i in range(10, 200))], "doc_id long, quality int")
+    docs = documents(spark, rows)
+    scored = quality_pu.score(docs, quality_pu.train(docs, labels)).collect()
+    assert len(scored) == len(rows) and len({r.score for r in scored if r.doc_id == 4}) == 1
 
 
 def brute_scores(rows):

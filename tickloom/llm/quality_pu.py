@@ -1,20 +1,22 @@
 """Quality classifier learnt from trusted positives and unlabelled text (positive-unlabelled learning).
 
-Only label 1 is used. P are texts with that label, U is a sample of all texts, whatever their label. With
+Only label 1 is used. P are texts with that label, U are all texts, whatever their label. With
 the class prior p, a linear score g and the logistic loss l, the risk that is minimised is
 
     p E_P[l(g)] + max(0, E_U[l(-g)] - p E_P[l(-g)])
 
 whose second part estimates the risk on negatives without bias and, cut at zero, can't be driven below
 what any risk can be. The prior comes from the data too: a classifier of P against U is fitted on one
-half; on the other half, p is the least ratio of the shares of U and of P above any threshold that leaves
-most of P above it.
+half of the sample; p is the least ratio of the share of all of U and the share of the other half of P above
+any threshold that leaves most of P above it.
 
 Features of a whole text, all made with NumPy in the tasks: shares of hashed runs of three character
 classes, and a few ratios (capitals, signs, digits, repeated and distinct words, word and line lengths).
 
-The model is fitted on the driver from at most about `most_positive` and `most_unlabelled` rows, chosen by
-a hash of the id; that bound is the operator's parameter. All rows are scored.
+Mean and scale of the features and the shares that the prior comes from cover all rows of U. The weights are
+fitted on the driver from a sample of about `most_positive` labelled rows and `most_unlabelled` rows of U at most,
+chosen by a hash of id and text, so that a repeated id isn't chosen whole; these bounds are the operator's
+parameters. The sample is held once, as 32-bit numbers, and worked on in place. All rows are scored.
 
 Cases: NULL and empty texts have all features zero and get the score of such a text; without any positive
 every score is 0.5; ids with contradicting labels count as unlabelled; NULL ids are scored but never learnt
@@ -28,14 +30,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.staging import staged
 from tickloom.llm.words import distinct, hashes, slices, spans, text_bytes
 from tickloom.llm.workers import ship
 
 BUCKETS = 1024
 RATIOS = 12
+RIDGE = 1e-3
 _CLASS = np.full(256, 3, np.uint32)  # further bytes of a character count as letters
 _CLASS[:0x80] = np.arange(0x80) + 8
 _CLASS[[*range(0x61, 0x7B)]] = 3
@@ -126,45 +131,45 @@ def _loss(g: np.ndarray) -> float:
     return float(np.logaddexp(0, -g).mean())
 
 
-def fit_prior(p: np.ndarray, u: np.ndarray, steps: int = 150) -> float:
-    """Share of positives in U: the least share of U per share of P above a threshold of a classifier of P against U.
-
-    Only thresholds that leave most of P above count, where the shares are least uncertain; the result is one
-    standard error below the estimate, since too high a prior makes the risk spare the rarer kinds of bad text.
-    """
-    learn_p, learn_u, held_p, held_u = p[::2], u[::2], p[1::2], u[1::2]
+def against(p: np.ndarray, u: np.ndarray, steps: int = 150) -> np.ndarray:
+    """Weights of a classifier of P against U."""
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        up, down = -_sigmoid(-(learn_p @ w)), _sigmoid(learn_u @ w)
-        return learn_p.T @ up / len(up) + learn_u.T @ down / len(down) + 1e-3 * w
+        up, down = -_sigmoid(-(p @ w)), _sigmoid(u @ w)
+        return p.T @ up / len(up) + u.T @ down / len(down) + RIDGE * w
 
-    w = _minimise(gradient, p.shape[1], steps, 0.02)
-    sp, su = np.sort(held_p @ w), np.sort(held_u @ w)
-    above_p = 1 - np.arange(len(sp)) / len(sp)
-    above_u = 1 - np.searchsorted(su, sp, "left") / len(su)
-    ratio = min(1.0, (above_u / above_p)[above_p >= 0.8].min())
-    return float(np.clip(ratio - np.sqrt(ratio * (1 - ratio) / len(su)), 0.01, 0.99))
+    return _minimise(gradient, p.shape[1], steps, 0.02)
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, steps: int = 300) -> Model:
-    """Minimise the non-negative risk; where its second part is below zero, step back up on it instead."""
-    if not len(positive) or not len(unlabelled):
-        size = BUCKETS + RATIOS
-        return Model(np.zeros(size), 0.0, np.zeros(size), np.ones(size), 0.5)
-    mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-3
-    p, u = ((x - mean) / scale for x in (positive, unlabelled))
-    p, u = (np.column_stack([x, np.ones(len(x), x.dtype)]) for x in (p, u))
-    prior = fit_prior(p, u) if min(len(p), len(u)) >= 8 else 0.5
+def prior_of(positive: np.ndarray, below: np.ndarray) -> float:
+    """Share of positives in U, from sorted scores of held-out positives and how many rows of U score below each (and in all).
 
-    def gradient(w: np.ndarray) -> np.ndarray:
-        gp, gu = p @ w, u @ w
-        as_negative = u.T @ _sigmoid(gu) / len(u) - prior * (p.T @ _sigmoid(gp)) / len(p)
-        if _loss(-gu) - prior * _loss(-gp) < 0:
-            return -as_negative
-        return prior * (p.T @ -_sigmoid(-gp)) / len(p) + as_negative + 1e-3 * w
+    The least share of U per share of P above a threshold. Only thresholds that leave most of P above count, where
+    the shares are least uncertain; the result is one standard error below the estimate, since too high a prior
+    makes the risk spare the rarer kinds of bad text.
+    """
+    n, all_u = len(positive), int(below[-1])
+    above_p = 1 - np.arange(n) / n
+    above_u = 1 - below[:n] / all_u
+    counts = above_p >= 0.8
+    ratio = above_u / above_p
+    best = int(np.flatnonzero(counts)[ratio[counts].argmin()])
+    error = ratio[best] * np.sqrt((1 - above_p[best]) / (above_p[best] * n) + (1 - above_u[best]) / max(above_u[best] * all_u, 1e-9))
+    return float(np.clip(min(1.0, ratio[best]) - error, 0.01, 0.99))
+
+
+def risk_step(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> np.ndarray:
+    """Gradient of the non-negative risk with a small ridge; where its second part is below zero, of minus that part."""
+    gp, gu = p @ w, u @ w
+    as_negative = u.T @ _sigmoid(gu) / len(u) - prior * (p.T @ _sigmoid(gp)) / len(p)
+    if _loss(-gu) - prior * _loss(-gp) < 0:
+        return -as_negative
+    return prior * (p.T @ -_sigmoid(-gp)) / len(p) + as_negative + RIDGE * w
 
-    w = _minimise(gradient, p.shape[1], steps, 0.01)
-    return Model(w[:-1], float(w[-1]), mean.astype(np.float64), scale.astype(np.float64), prior)
+
+def fit(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 300) -> np.ndarray:
+    """Minimise the non-negative risk."""
+    return _minimise(lambda w: risk_step(w, p, u, prior), p.shape[1], steps, 0.01)
 
 
 def learnable(id_col: Column) -> Column:
@@ -173,28 +178,87 @@ def learnable(id_col: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, most_positive: int = 4000, most_unlabelled: int = 12000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """Fit on P: label 1 in learnable rows, U: learnable rows of any kind; a bounded sample by hash of the id."""
+    """Fit on P: label 1 in learnable rows, U: learnable rows of any kind."""
+    ship(docs.sparkSession)
+    size = BUCKETS + RATIOS
     part = 1 << 40
-    place = lambda salt: F.pmod(F.xxhash64(F.col(id_col), F.lit(salt)), F.lit(part))
+    place = lambda salt, *of: F.pmod(F.xxhash64(*of, F.lit(salt)), F.lit(part))
     good = labels.where(learnable(F.col(id_col))).groupBy(id_col).agg(F.min(label_col).alias("low")).where("low = 1")
-    all_good, all_docs = good.count(), docs.where(learnable(F.col(id_col))).count()
-    chosen = good.where(place(1) < int(part * min(1, most_positive / max(1, all_good)))).select(F.col(id_col).alias("_id"), F.lit(True).alias("_p"))
-    rows = docs.where(learnable(F.col(id_col))).select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), (place(2) < int(part * min(1, most_unlabelled / max(1, all_docs)))).alias("u"))
-    rows = rows.join(F.broadcast(chosen), "_id", "left")  # about `most_positive` rows at most
-    rows = rows.select("text", "u", F.coalesce("_p", F.lit(False)).alias("p")).where("u or p")
+    learnt = docs.where(learnable(F.col(id_col))).select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    all_good, all_docs = good.count(), learnt.count()
+    if not all_good or not all_docs:
+        return Model(np.zeros(size), 0.0, np.zeros(size), np.ones(size), 0.5)
+    chosen = good.where(place(1, id_col) < int(part * min(1, most_positive / all_good))).select(F.col(id_col).alias("_id"), F.lit(True).alias("_p"))
+    wanted = lambda salt, n: place(salt, "_id", "text") < int(part * min(1, n / all_docs))
+    rows = learnt.join(F.broadcast(chosen), "_id", "left")  # about `most_positive` rows at most
+    key = F.xxhash64("_id", "text")
+    # An id's label stands for all its texts, of which there may be very many.
+    texts = rows.where("_p").agg(F.approx_count_distinct(key)).first()[0]
+    labelled = F.col("_p").isNotNull() & wanted(3, all_docs * min(1, 2 * most_positive / max(1, texts)))
+    rows = rows.select("text", wanted(2, most_unlabelled).alias("u"), labelled.alias("p"), key.alias("key"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The features of chosen rows, and at last the sums of all rows' features and of their squares."""
+        names = ["p", "u", "key", "x", "k", "n", "s", "q"]
+        n, total, squares, given = 0, np.zeros(size), np.zeros(size), set()
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                x = features(piece.column("text"))
+                n, total = n + len(x), total + x.sum(0, dtype=np.float64)
+                squares += np.einsum("ij,ij->j", x, x, dtype=np.float64)
+                kept = pc.or_(piece.column("p"), piece.column("u")).to_numpy(zero_copy_only=False)
+                fresh = {k: i for i, k in enumerate(piece.column("key").to_pylist()) if kept[i] and k not in given}
+                given.update(fresh)
+                at = sorted(fresh.values())
+                chosen = piece.take(pa.array(at, pa.int64()))
+                raw = pa.array([v.tobytes() for v in x[at]], pa.binary())
+                empty = [pa.nulls(len(raw), t) for t in (pa.int32(), pa.int64(), pa.float64(), pa.float64())]
+                yield pa.RecordBatch.from_arrays([chosen.column("p"), chosen.column("u"), chosen.column("key"), raw, *empty], names)
+        empty = [pa.nulls(size, t) for t in (pa.bool_(), pa.bool_(), pa.int64(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*empty, pa.array(np.arange(size, dtype=np.int32)), pa.array(np.full(size, n)), pa.array(total), pa.array(squares)], names)
+
+    made = staged(rows.mapInArrow(build, "p boolean, u boolean, key long, x binary, k int, n long, s double, q double"), "features")
+    mean, scale = np.zeros(size), np.ones(size)
+    for k, n, s, q in made.where("k is not null").groupBy("k").agg(F.sum("n"), F.sum("s"), F.sum("q")).collect():  # one row per feature
+        mean[k], scale[k] = s / n, np.sqrt(max(0.0, q / n - (s / n) ** 2)) + 1e-3
+    sides = F.explode(F.array_compact(F.array(F.when(F.col("p"), 0), F.when(F.col("u"), 1)))).alias("side")
+    sample = staged(made.where("k is null").dropDuplicates(["key"]), "sample").select(sides, "key", "x")
+    counts = {r["side"]: r["n"] for r in sample.groupBy("side").agg(F.count("*").alias("n")).collect()}
+    n_p, n_u = counts.get(0, 0), counts.get(1, 0)
+    if not n_p or not n_u:
+        return Model(np.zeros(size), 0.0, np.zeros(size), np.ones(size), 0.5)
+    held = np.empty((n_p + n_u, size + 1), np.float32)
+    held[:, size] = 1  # the bias
+    for i, r in enumerate(sample.sort("side", "key").toLocalIterator()):  # the same order whatever the order of tasks
+        held[i, :size] = np.frombuffer(r["x"], np.float32)
+    held[:, :size] -= mean.astype(np.float32)
+    held[:, :size] /= scale.astype(np.float32)
+    p, u = held[:n_p], held[n_p:]
+    prior = 0.5
+    if min(n_p, n_u) >= 8:
+        w = against(p[: n_p // 2], u[: n_u // 2]).astype(np.float32)
+        marks = np.sort(p[n_p // 2 :] @ w)
+        prior = prior_of(marks, _below(rows.select("text"), mean, scale, w, marks))
+    w = fit(p, u, prior)
+    return Model(w[:-1], float(w[-1]), mean, scale, prior)
+
+
+def _below(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, w: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """How many of all rows score below each of the sorted marks, and their number."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(len(marks) + 1, np.int64)
         for batch in batches:
             for piece in slices(batch, "text"):
-                raw = [x.tobytes() for x in features(piece.column("text")).astype(np.float32)]
-                yield pa.RecordBatch.from_arrays([piece.column("p"), piece.column("u"), pa.array(raw, pa.binary())], ["p", "u", "x"])
-
-    got = rows.mapInArrow(build, "p boolean, u boolean, x binary").toArrow()
-    order = np.argsort(got.column("x").to_numpy(zero_copy_only=False)) if got.num_rows else []  # the same model whatever the order of tasks
-    got = got.take(pa.array(order, pa.int64()))
-    matrix = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, BUCKETS + RATIOS)
-    p, u = (got.column(c).to_numpy().astype(bool) for c in ("p", "u"))
-    return fit(matrix[p], matrix[u])
+                g = ((features(piece.column("text")) - mean.astype(np.float32)) / scale.astype(np.float32)) @ w[:-1] + w[-1]
+                found += np.bincount(np.searchsorted(marks, g, "right"), minlength=len(found))
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(found[some])], ["at", "n"])
+
+    total = np.zeros(len(marks) + 1, np.int64)
+    for at, n in rows.mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # one row per mark
+        total[at] = n
+    return np.cumsum(total)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
