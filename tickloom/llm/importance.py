@@ -263,3 +263,29 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_features, weight, score, rank of every document, drawn to look like `benchmark`."""
     docs, target = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     return resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_CUT = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+#: The same in plain SQL; a checksum goes byte by byte through a table made by its rule.
+OP11_SQL = f"""WITH crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+      docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_CUT} AS w FROM documents),
+      runs AS MATERIALIZED (SELECT r, unnest(list_concat(w, list_transform(list_zip(w, w[2 :], true), lambda z: z[1] || ' ' || z[2]))) AS f FROM docs),
+      counts AS (SELECT r, f, count(*) AS n FROM runs GROUP BY r, f),
+      goal AS (SELECT unnest(list_concat(w, list_transform(list_zip(w, w[2 :], true), lambda z: z[1] || ' ' || z[2]))) AS f FROM (SELECT {_CUT} AS w FROM benchmark)),
+      bytes AS (SELECT f, list_transform(range(0, len(hex(f)) // 2), lambda i:
+        (instr('0123456789ABCDEF', substr(hex(f), 2 * i + 1, 1)) - 1) * 16 + instr('0123456789ABCDEF', substr(hex(f), 2 * i + 2, 1)) - 1) AS b
+        FROM (SELECT f FROM counts UNION SELECT f FROM goal)),
+      hashed AS MATERIALIZED (SELECT f, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM bytes, crc_table),
+      source AS (SELECT bucket, sum(n)::BIGINT AS s FROM counts JOIN hashed USING (f) GROUP BY bucket),
+      target AS (SELECT bucket, count(*) AS t FROM goal JOIN hashed USING (f) GROUP BY bucket),
+      gain AS MATERIALIZED (SELECT k AS bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (coalesce((SELECT sum(s) FROM source), 0) + 10000)
+          / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce((SELECT sum(t) FROM target), 0) + 10000))))::BIGINT AS g
+        FROM range(10000) b(k) LEFT JOIN source ON source.bucket = k LEFT JOIN target ON target.bucket = k),
+      weighed AS (SELECT r, sum(n)::BIGINT AS n, floor(sum(n * g)::DOUBLE / sum(n))::BIGINT AS weight
+        FROM counts JOIN hashed USING (f) JOIN gain USING (bucket) GROUP BY r),
+      scored AS (SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+          coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 8))::UBIGINT + 0.5) / 4294967296.0)))::BIGINT AS score
+        FROM docs LEFT JOIN weighed USING (r)),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, 25 * count(*) FILTER (n_words >= 20) OVER () // 100 AS most FROM scored)
+      SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= most THEN place END AS rank FROM ranked"""

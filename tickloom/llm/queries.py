@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from tickloom.llm.decontamination import op3_decontamination
 from tickloom.llm.html_labeller import op5_html_extraction
-from tickloom.llm.importance import op11_importance_resampling
+from tickloom.llm.importance import OP11_SQL, op11_importance_resampling
 from tickloom.llm.jaccard_groups import op8_ngram_jaccard
+from tickloom.llm.jaccard_sql import OP8_SQL, OP12_SQL
 from tickloom.llm.licences import op7_licence_scan
 from tickloom.llm.minhash_bayes import op12_minhash_bayes
 from tickloom.llm.packing import op2_packing
@@ -34,5 +35,8 @@ QUERIES = {
 ORACLE_SQL = {
     "op4_quality_rules": OP4_SQL,
     "op6_url_reputation": OP6_SQL,
+    "op8_ngram_jaccard": OP8_SQL,
+    "op11_importance_resampling": OP11_SQL,
+    "op12_minhash_bayes": OP12_SQL,
     "op13_vector_codes": OP13_SQL,
 }
