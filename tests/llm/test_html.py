@@ -20,6 +20,60 @@ def test_blocks():
     assert [b.text for b in blocks("<ul><li>a<li>b<ul><li>c</ul></ul>")] == ["a", "b", "c"]
 
 
+def texts(page):
+    return [b.text for b in blocks(page)]
+
+
+def test_elements_that_do_not_end_lose_nothing():
+    for odd in ('<svg class="i"/>', "<template/>", "<svg>", "<select>", "<noscript>", "<iframe src=x>", "<title>", "<textarea>", "</svg>", "</select>", "<svg><template><svg>"):
+        assert texts(f"<p>one</p>{odd}<p>two</p>") == ["one", "two"], odd
+        assert texts(f"<p>one</p><p>a{odd}<p>two</p><p>three</p>") == ["one", "a", "two", "three"], odd
+    assert texts("<p>one<svg><title>icon</title><text>t</text></svg> two</p>") == ["one two"]
+    assert texts("<p>one</p><select><option>a<p>b</select><p>two") == ["one", "two"]
+    assert texts("<template><div><template>x</template>y</div></template><p>z") == ["z"]
+    assert texts("<noscript><p>early<noscript><p>inner</noscript><p>late") == ["early", "late"]
+
+
+def test_odd_tags():
+    assert texts("<p class=it's>one</p><p class=\"it's\">two</p><p title='a>b' x=\"c'd\">three") == ["one", "two", "three"]
+    assert texts('<p title="never closed>one</p><p>two') == ["one", "two"]
+    assert texts("<p>1 < 2 and 3 <4 & <<b>x</b></p></ p><?php x ?><!doctype html><p>y") == ["1 < 2 and 3 <4 & <x", "y"]
+    assert texts("<p>a</P><SCRIPT>'</p>' </scripty> x</Script ><p>b<style>c") == ["a", "b"]
+    assert texts("<p =x a = 'b' / c>one<p/>two") == ["one", "two"]
+    assert blocks("<div CLASS = Big-Box ID='a'>x")[0].path[:4] == ("tag div", "name big", "name box", "name a")
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<script " * 60_000,
+        "<script>" * 60_000,
+        '<a "' * 200_000,
+        "<a b='" * 100_000,
+        "<a b=\"'" * 100_000,
+        "<div>" * 100_000 + "</p>" * 100_000,
+        "<div>" * 100_000 + "<li>x" * 30_000,
+        "<ul><li>" + "<div>" * 50_000 + "<ul>" + "<b><li>x</li>" * 50_000,
+        "<li><ul>" + "<div>" * 50_000 + "<li>x</li>" * 50_000,
+        "<template>" * 100_000 + "x" + "</template>" * 50_000,
+        "<p>x<select>" * 60_000,
+        "<svg>x" * 100_000 + "</svg>",
+        "<!--" * 100_000,
+        "<" * 400_000,
+        "&" * 400_000,
+        "<a href = " + " " * 400_000,
+        "<a " + "b = " * 100_000,
+    ],
+    ids=lambda page: page[:12],
+)
+def test_odd_markup_takes_linear_time(page):
+    import time
+
+    start = time.perf_counter()
+    blocks(page)
+    assert time.perf_counter() - start < 2
+
+
 @pytest.fixture(scope="module")
 def model():
     return html_labeller.train()
