@@ -314,4 +314,4 @@ def op9_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, rare = train(docs.where(learnt(F.col("doc_id"))))
     rare = staged(rare, "rare")
     out = score(docs, model, rare)
-    return out.select("doc_id", (~learnt(F.col("doc_id"))).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).alias("train_tokens"), "base_score", "score")
+    return out.select("doc_id", (~learnt(F.col("doc_id"))).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
