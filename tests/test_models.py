@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import features, models, summary
+from tickloom.operators import features, logit, models, summary
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +66,63 @@ def test_ordered_folds(table):
         mine = [sizes[target, k] for k in range(5)]
         assert max(n for n, _, _ in mine) - min(n for n, _, _ in mine) <= 1
         assert all(one[2] < two[1] for one, two in zip(mine, mine[1:]))
+
+
+def plain_newton(x, y, c, steps=60):
+    """Gradient descent to the minimum of the summed losses and |w|^2 / (2 c), by plain Newton steps in numpy."""
+    import numpy as np
+
+    z = np.column_stack([np.ones(len(x)), (x - x.mean(0)) / x.std(0, ddof=1)])
+    w, ridge = np.zeros(z.shape[1]), np.r_[0.0, np.full(x.shape[1], 1 / c)]
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-z @ w))
+        w = w - np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge), z.T @ (p - y) + ridge * w)
+    return w, z
+
+
+def test_grid_of_exact_logistic_models(table, spark):
+    import numpy as np
+
+    grid = (0.01, 1.0, 100.0)
+    found = logit.fit_grid(table, ["x", "y"], grid=grid, folds=3)
+    data = models.ordered_folds(table, 3).toPandas()
+    for (fold, c), w, accuracy in zip(found.sets, found.weights, found.accuracy):
+        used = data if fold is None else data[data._fold != fold]
+        held = data if fold is None else data[data._fold == fold]
+        x = used[["x", "y"]].to_numpy()
+        want, _ = plain_newton(x, used.target.to_numpy(), c)
+        assert w == pytest.approx(want, rel=1e-6, abs=1e-8)
+        z = np.column_stack([np.ones(len(held)), (held[["x", "y"]].to_numpy() - x.mean(0)) / x.std(0, ddof=1)])
+        assert accuracy == pytest.approx(((z @ want > 0) == (held.target == 1)).mean())
+    assert found.best() == max(sorted(found.scores()), key=found.scores().get) and set(found.scores()) == set(grid)
+    intercept, slopes = found.plain(100.0)
+    raw = data.apply(lambda r: intercept + slopes["x"] * r.x + slopes["y"] * r.y > 0, axis=1)
+    assert (raw == (data.target == 1)).mean() == found.accuracy[found.sets.index((None, 100.0))]
+    assert found.table(spark).count() == 12 and found.steps < 30
+
+
+def test_logistic_models_of_odd_features(table):
+    """A constant feature has no weight; a feature that settles the label gives finite ones."""
+    rows = table.withColumn("one", F.lit(3.0)).withColumn("sure", F.col("target") * 2.0 - 1)
+    found = logit.fit_grid(rows, ["one", "sure"], grid=(1.0, 1000.0), folds=2)
+    assert abs(found.weights[:, 1]).max() < 1e-9 and (found.weights[:, 2] > 1).all()
+    assert found.accuracy.min() == 1.0
+
+
+def test_features_of_new_bars(make_bars):
+    """New bars from the last bars and the state, against the whole history."""
+    from tests.test_indicators import walk
+    from tickloom.operators import resume, select
+    from tickloom.session import stored
+
+    bars, _ = stored(make_bars(A=walk(120, 1), B=walk(60, 2), C=walk(10, 3)), "bars")
+    cut = F.lit("2020-02-15").cast("date")
+    old, new = bars.filter(F.col("date") < cut), bars.filter(F.col("date") >= cut)
+    state, _ = stored(resume.state_after(resume.recursive_indicators(old)), "state")
+    tail, _ = stored(select.last_n(old, features.TAIL), "tail")
+    got = features.features_of_new(new, tail, state).toPandas().sort_values(["pair", "date"], ignore_index=True)
+    whole = features.ml_features(bars).filter(F.col("date") >= cut).drop("target").toPandas().sort_values(["pair", "date"], ignore_index=True)
+    import pandas as pd
+
+    pd.testing.assert_frame_equal(got[sorted(whole.columns)], whole[sorted(whole.columns)], check_dtype=False, rtol=1e-9, atol=1e-9)
+    assert len(got) > 80

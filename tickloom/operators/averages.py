@@ -275,6 +275,6 @@ def ema(bars, spans=(12, 26), c="close", warm_up=False, layout=None):
 
 
 def warm(df, spans):
-    return df.withColumns(
-        {f"ema_{n}": F.when(F.col("_pos") >= n - 1, F.col(f"ema_{n}")) for n in spans}
-    )
+    """NULL for a span's first rows of a series."""
+    place = F.col("_pos") + (F.col("_start") if "_start" in df.columns else 0)
+    return df.withColumns({f"ema_{n}": F.when(place >= n - 1, F.col(f"ema_{n}")) for n in spans})

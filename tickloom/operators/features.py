@@ -1,6 +1,8 @@
 """Candle patterns and the model feature table."""
 
-from pyspark.sql import functions as F, types as T
+from dataclasses import replace
+
+from pyspark.sql import Window, functions as F, types as T
 
 from tickloom.functions import candles, dates
 from tickloom.layout import layout_of, numbered, over_series
@@ -52,27 +54,57 @@ def target_up(df, w):
 def ml_features(bars, layout=None):
     """All features and the target, without rows that miss any value.
 
-    One shuffle of the rows: frames are at most 20 rows, and recursive means hand on one row per block.
+    One shuffle of the rows: frames are at most TAIL rows, and recursive means hand on one row per block.
     """
 
     def build(df, w):
-        df = target_up(_add_patterns(add_gains_losses(df, w), w), w)
-        df = add_frames(df, w, {**bollinger_frames(population=True), **stochastic_frames(), **rolling_frames()})
-        df = with_bollinger(df).drop("bb_middle", "bb_std").withColumnsRenamed({"bb_upper": "bb_high", "bb_lower": "bb_low"})
-        return with_stochastic(df, "stoch")
+        return _add_frame_features(target_up(df, w), w)
+
+    rows = over_series(candle_geometry(bars), build, 20, 1, layout, pos=True, then=_add_recursive_features)
+    return _with_time(rows).dropna()
+
+
+def _add_frame_features(df, w):
+    """Features that look at neighbours: patterns, bands, %K, rolling means and deviations."""
+    df = _add_patterns(add_gains_losses(df, w), w)
+    df = add_frames(df, w, {**bollinger_frames(population=True), **stochastic_frames(), **rolling_frames()})
+    df = with_bollinger(df).drop("bb_middle", "bb_std").withColumnsRenamed({"bb_upper": "bb_high", "bb_lower": "bb_low"})
+    return with_stochastic(df, "stoch")
+
+
+def _add_recursive_features(df, w):
+    df = add_recursive(df, w, {**wilder_means(), **macd_means()})
+    return with_macd_warm(with_rsi_wilder(df).drop(*_PARTS))
+
+
+def _with_time(rows):
+    return rows.withColumns({"hour": F.hour(F.col("date").cast("timestamp")), "day_of_week": dates.monday_based_dow("date")})
+
+
+TAIL = 20  # bars that the frames of a new bar reach back
+
+
+def features_of_new(bars, tail, state):
+    """Features, without the target, of new daily bars, from the last TAIL bars before and the recursive state.
+
+    ``tail`` holds the newest bars of each instrument seen before, ``state`` what
+    ``resume.state_after`` gave for them.  Nothing older is read; rows that miss a value are left out.
+    """
+    kept = {"close": "close", "ema_12": "ema_12", "ema_26": "ema_26", "_up": "avg_gain", "_down": "avg_loss"}
+    handed = state.select("pair", F.col("n").alias("_start"), *[F.col(c).alias(f"_in_{k}") for k, c in kept.items()])
+    both = tail.select(*bars.columns).withColumn("_new", F.lit(False)).unionByName(bars.withColumn("_new", F.lit(True)))
+
+    def build(df, w):
+        older = F.count(F.when(~F.col("_new"), 1)).over(w.rows(Window.unboundedPreceding, 0))
+        return _add_frame_features(df.withColumn("_older", older), w)
 
     def then(df, w):
-        df = add_recursive(df, w, {**wilder_means(), **macd_means()})
-        return with_macd_warm(with_rsi_wilder(df).drop(*_PARTS))
+        fresh = df.filter("_new").withColumn("_pos", F.col("_pos") - F.col("_older")).drop("_new", "_older")
+        return _add_recursive_features(fresh, w)
 
-    rows = over_series(candle_geometry(bars), build, 20, 1, layout, pos=True, then=then)
-    rows = rows.withColumns(
-        {
-            "hour": F.hour(F.col("date").cast("timestamp")),
-            "day_of_week": dates.monday_based_dow("date"),
-        }
-    )
-    return rows.dropna()
+    whole = replace(layout_of(bars), split=False)
+    rows = over_series(candle_geometry(both), build, TAIL, layout=whole, pos=True, then=then, state=handed)
+    return _with_time(rows).dropna()
 
 
 def feature_columns(df, exclude=("target",)):

@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from tickloom.operators import bars as bar_ops, upkeep
+from tickloom.operators import bars as bar_ops, features, models, select, upkeep
 from tickloom.plans import inputs
+from tickloom.plans.q_models import FEATURES_SQL
 from tickloom.plans.registry import query
-from tickloom.session import scratch_path
+from tickloom.session import scratch_path, stored
 from tickloom.streaming import jobs
 
 
@@ -99,3 +100,32 @@ def stream_daily_bars(spark, sf):
     quotes = event_stream(spark, sf).withColumn("date", F.to_date("ts"))
     _finish(jobs.append_stream(quotes, f"{out}/table", f"{out}/checkpoint"))
     return bar_ops.build_bars(spark.read.parquet(f"{out}/table"), order="ts")
+
+
+SCORED = ("rsi", "macd", "stoch")
+CUT = "1998-03-01"
+
+
+@query(
+    "stream_scores",
+    "pair date:d rsi:6 ema_26:4 macd:4 stoch:6 bb_high:4 close_roll_std_10:4 bullish_engulfing:i same:b",
+    f"SELECT *, true AS same FROM ({FEATURES_SQL}) WHERE date > DATE '{CUT}'",
+)
+def stream_scores(spark, sf):
+    """Bars after a cut come in four files and are scored from the tail and the state before them: the features
+    and predictions are those of one batch over the whole history."""
+    out = scratch_path(spark, "scores")
+    rows = inputs.stored_bars(spark, sf).select(*jobs.BAR)
+    later = F.col("date") > F.lit(CUT).cast("date")
+    whole, _ = stored(features.ml_features(rows), "features")
+    fitted = {name: models.logistic(SCORED, whole.count(), c).fit(whole) for name, c in (("random_forest", 1.0), ("boosted_trees", 0.01), ("logistic_regression", 100.0))}
+    jobs.remember(rows.filter(~later), f"{out}/memory")
+    days = F.datediff("date", F.lit(CUT).cast("date"))
+    for part in range(4):
+        between = (days > 40 * part) & (days <= 40 * part + 40) if part < 3 else days > 120
+        rows.filter(later & between).coalesce(1).write.mode("append").parquet(f"{out}/landing")
+    landing = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/landing")
+    _finish(jobs.stream_scores(landing, fitted, f"{out}/memory", f"{out}/table", f"{out}/checkpoint"))
+    batch = models.score(fitted, whole).select("pair", "date", F.struct(*fitted, "voting").alias("at_once"))
+    found = spark.read.parquet(f"{out}/table")
+    return found.join(batch, ["pair", "date"], "left").withColumn("same", F.struct(*fitted, "voting").eqNullSafe(F.col("at_once")))

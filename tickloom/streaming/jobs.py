@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from tickloom.operators import features, models, resume
 from tickloom.operators.bars import time_rank
 from tickloom.operators.quality import rejected_quotes, valid_quotes
-from tickloom.operators.upkeep import KEYS, upsert_months, write_by_month
+from tickloom.operators.select import last_n
+from tickloom.operators.upkeep import KEYS, newest_copy, upsert_months, write_by_month
 
 
 def stream_validate(quotes, good, bad, checkpoint):
@@ -76,6 +78,45 @@ def stream_upsert(bars, target, checkpoint, keys=KEYS, ts_col=None, run_ts=None)
     )
 
 
+BAR = ("pair", "date", "open", "high", "low", "close")
+
+
+def remember(bars, path, number=-1, tail=None, state=None):
+    """Store what scoring of later bars needs: the newest bars of each instrument, and the recursive state after them."""
+    seen = bars if tail is None else tail.select(*bars.columns).unionByName(bars)
+    last_n(seen, features.TAIL).write.mode("overwrite").parquet(f"{path}/tail/after={number}")
+    rows = resume.recursive_indicators(bars, state)
+    resume.state_after(rows, state).write.mode("overwrite").parquet(f"{path}/state/after={number}")
+
+
+def stream_scores(bars, fitted, memory, out, checkpoint):
+    """Score new daily bars as they come; ``memory`` is a folder that ``remember`` has started.
+
+    A batch reads its own bars, at most TAIL bars per instrument and one row of state each, however
+    long the history is.  It writes its predictions, the next tail and the next state under its
+    number, so a batch repeated after a failure replaces its first try.  Bars that are not newer
+    than the state of their instrument are dropped; of several bars of a day one counts.
+    """
+
+    def score(batch, number):
+        spark = batch.sparkSession
+        tail, state = (spark.read.parquet(f"{memory}/{kind}/after={number - 1}") for kind in ("tail", "state"))
+        fresh = newest_copy(resume.newer_bars(batch.select(*BAR), state)).select(*BAR).persist()
+        try:
+            rows = features.features_of_new(fresh, tail, state)
+            models.score(fitted, rows).write.mode("overwrite").parquet(f"{out}/batch={number}")
+            remember(fresh, memory, number, tail, state)
+        finally:
+            fresh.unpersist()
+
+    return (
+        bars.writeStream.foreachBatch(score)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def append_stream(rows, path, checkpoint):
     """Append a stream to Parquet files exactly once."""
     return (
