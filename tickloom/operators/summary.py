@@ -4,7 +4,7 @@ from pyspark.sql import Window, functions as F, types as T
 
 from tickloom.functions import dates
 from tickloom.functions.prices import change_percent, percent_of, spread_percent
-from tickloom.layout import over_series
+from tickloom.layout import layout_of, over_series
 from tickloom.operators.averages import add_means
 from tickloom.operators.changes import forward_fill
 from tickloom.operators.select import with_marks
@@ -71,9 +71,24 @@ def period_stats(bars, within=None, layout=None):
     on the date) picks the period after the trend's means were taken over all rows.
     """
 
+    layout = layout or layout_of(bars)
+    shown = F.lit(True) if within is None else within
+    ends = {"high": F.max, "low": F.min}
+
     def build(df, w):
         df = add_means(df, w, {"_fast": ("close", 50), "_slow": ("close", 200)}, full=True)
-        return df.withColumn("_prev", F.lag("close").over(w.spec))
+        df = df.withColumn("_prev", F.lag("close").over(w.spec))
+        if layout.split:
+            return df
+        series = Window.partitionBy(*w.by)
+        return df.withColumns({f"_{c}_end": end(F.when(shown, F.col(c))).over(series) for c, end in ends.items()})
+
+    def first_date(c):
+        """The first date of an extreme.  A daily series has it beside every row, so that the aggregate stays one of
+        fixed-width values; of a series in blocks, the extreme and its date are found together."""
+        if layout.split:
+            return F.min_by("date", F.struct(-F.col(c) if c == "high" else F.col(c), "date"))
+        return F.min(F.when(F.col(c) == F.col(f"_{c}_end"), F.col("date")))
 
     move, wide = change_percent(), spread_percent()
     rows = over_series(bars, build, back=200, layout=layout)
@@ -83,8 +98,8 @@ def period_stats(bars, within=None, layout=None):
         F.min_by("close", "date").alias("_first"),
         F.max("high").alias("period_high"),
         F.min("low").alias("period_low"),
-        F.min_by("date", F.struct(-F.col("high"), "date")).alias("high_date"),
-        F.min_by("date", F.struct("low", "date")).alias("low_date"),
+        first_date("high").alias("high_date"),
+        first_date("low").alias("low_date"),
         F.stddev_samp(move).alias("volatility"),
         F.avg(wide).alias("avg_daily_range"),
         F.max(wide).alias("max_daily_range"),

@@ -186,12 +186,24 @@ def newest_5(spark, sf):
 @query(
     "ohlc_daily",
     f"pair date:d avg_rate:4 {OHLC_4}",
-    """SELECT pair, CAST(ts AS DATE) AS date, avg(price) AS avg_rate, arg_min(price, ts) AS open,
-       max(price) AS high, min(price) AS low, arg_max(price, ts) AS close FROM ticks GROUP BY 1, 2""",
+    """SELECT pair, CAST(ts AS DATE) AS date, avg(price) AS avg_rate, arg_min(price, (ts, event_id)) AS open,
+       max(price) AS high, min(price) AS low, arg_max(price, (ts, event_id)) AS close FROM ticks GROUP BY 1, 2""",
 )
 def ohlc_daily(spark, sf):
     quotes = inputs.ticks(spark, sf).withColumn("date", F.to_date("ts"))
-    return bar_ops.build_bars(quotes, order="ts", average="avg_rate")
+    return bar_ops.build_bars(quotes, order=bar_ops.time_rank("ts", "event_id"), average="avg_rate")
+
+
+@query(
+    "ohlc_equal_times",
+    f"pair date:t avg_rate:4 {OHLC_4}",
+    """SELECT pair, date_trunc('hour', ts) AS date, avg(price) AS avg_rate, arg_min(price, (date_trunc('hour', ts), event_id)) AS open,
+       max(price) AS high, min(price) AS low, arg_max(price, (date_trunc('hour', ts), event_id)) AS close FROM ticks GROUP BY 1, 2""",
+)
+def ohlc_equal_times(spark, sf):
+    """Quotes that only know their hour: the event's number settles the order inside a bar."""
+    quotes = inputs.ticks(spark, sf).withColumn("ts", F.date_trunc("hour", "ts"))
+    return bar_ops.ohlc_bars(quotes, inputs.HOUR, tie="event_id")
 
 
 @query("ohlc_hourly", f"pair date:t avg_rate:4 {OHLC_4}", "SELECT * FROM hourly_bars")

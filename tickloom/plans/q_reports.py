@@ -62,11 +62,7 @@ def dashboard_period_stats(spark, sf):
     return summary.period_stats(bars, last_400(bars))
 
 
-@query(
-    "dashboard_indicators",
-    "pair date:d close:4 sma_20:4 sma_50:4 sma_200:4 ema_12:4 ema_26:4 macd:4 macd_signal:4 macd_histogram:4 "
-    "rsi:6 bb_upper:4 bb_lower:4 daily_change:4 daily_range:4 weekly_return:6 monthly_return:6",
-    f"""SELECT *, mid + 2 * sd AS bb_upper, mid - 2 * sd AS bb_lower FROM (
+INDICATORS_SQL = f"""SELECT *, mid + 2 * sd AS bb_upper, mid - 2 * sd AS bb_lower FROM (
         SELECT b.*, e.ema_12, e.ema_26, e.ema_12 - e.ema_26 AS macd, e.signal AS macd_signal,
           e.ema_12 - e.ema_26 - e.signal AS macd_histogram,
           CASE WHEN e.rn >= 14 THEN CASE WHEN down = 0 AND up > 0 THEN 100 WHEN down = 0 THEN NULL
@@ -79,7 +75,14 @@ def dashboard_period_stats(spark, sf):
               FROM bars WINDOW w AS {W}) b JOIN ema_run e USING (pair, date)
         JOIN (SELECT pair, date, avg(gain) OVER f AS up, avg(loss) OVER f AS down FROM moves
               WINDOW f AS (PARTITION BY pair ORDER BY date ROWS 13 PRECEDING)) m USING (pair, date))
-        WHERE {LAST_400}""",
+        WHERE {LAST_400}"""
+
+
+@query(
+    "dashboard_indicators",
+    "pair date:d close:4 sma_20:4 sma_50:4 sma_200:4 ema_12:4 ema_26:4 macd:4 macd_signal:4 macd_histogram:4 "
+    "rsi:6 bb_upper:4 bb_lower:4 daily_change:4 daily_range:4 weekly_return:6 monthly_return:6",
+    INDICATORS_SQL,
 )
 def dashboard_indicators(spark, sf):
     """Indicators of the whole series, shown for the last 400 days."""
@@ -87,6 +90,26 @@ def dashboard_indicators(spark, sf):
     return dashboard.add_indicators(bars).filter(last_400(bars))
 
 
+@query(
+    "dashboard_price_panel",
+    "pair date:d open:4 high:4 low:4 close:4 sma_20:4 sma_50:4 sma_200:4",
+    INDICATORS_SQL,
+)
+def dashboard_price_panel(spark, sf):
+    bars = inputs.bars(spark, sf)
+    return dashboard.price_panel(bars, last_400(bars))
+
+
+@query(
+    "dashboard_indicator_panel",
+    "pair date:d close:4 macd:4 macd_signal:4 macd_histogram:4 rsi:6 bb_upper:4 bb_middle:4 bb_lower:4",
+    f"SELECT *, mid AS bb_middle FROM ({INDICATORS_SQL})",
+)
+def dashboard_indicator_panel(spark, sf):
+    bars = inputs.bars(spark, sf)
+    return dashboard.indicator_panel(bars, last_400(bars))
+
+
 @query(
     "last_change",
     "pair latest_close:4 previous_close:4 daily_change:4 daily_change_pct:6 period_return:6",

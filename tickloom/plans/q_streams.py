@@ -91,15 +91,15 @@ def stream_upsert_bars(spark, sf):
 @query(
     "stream_daily_bars",
     "pair date:d open:4 high:4 low:4 close:4",
-    """SELECT pair, CAST(ts AS DATE) AS date, arg_min(price, ts) AS open, max(price) AS high, min(price) AS low,
-       arg_max(price, ts) AS close FROM ticks GROUP BY 1, 2""",
+    """SELECT pair, CAST(ts AS DATE) AS date, arg_min(price, (ts, event_id)) AS open, max(price) AS high, min(price) AS low,
+       arg_max(price, (ts, event_id)) AS close FROM ticks GROUP BY 1, 2""",
 )
 def stream_daily_bars(spark, sf):
     """Validated quotes streamed to files, then the batch bar operator over them."""
     out = scratch_path(spark, "daily")
     quotes = event_stream(spark, sf).withColumn("date", F.to_date("ts"))
     _finish(jobs.append_stream(quotes, f"{out}/table", f"{out}/checkpoint"))
-    return bar_ops.build_bars(spark.read.parquet(f"{out}/table"), order="ts")
+    return bar_ops.build_bars(spark.read.parquet(f"{out}/table"), order=bar_ops.time_rank("ts", "event_id"))
 
 
 SCORED = ("rsi", "macd", "stoch")
