@@ -139,9 +139,12 @@ def silver_rejects(spark, sf):
 
 @query("silver_union", f"pair date:d {OHLC_4}", f"SELECT DISTINCT * FROM dirty WHERE {_VALID}")
 def silver_union(spark, sf):
-    """The same rows loaded from one untagged table per instrument."""
-    rows, _ = stored(inputs.dirty_bars(spark, sf), "landed")
-    tables = {p: rows.filter(F.col("pair") == p).drop("pair") for p in inputs.PAIR_NAMES}
+    """The same rows loaded from one untagged table per instrument, which are the folders found."""
+    path = scratch_path(spark, "landed")
+    inputs.dirty_bars(spark, sf).write.partitionBy("pair").parquet(path)
+    landed = spark.read.parquet(path)
+    names = sorted(r["pair"] for r in landed.select("pair").distinct().collect())  # one row per table
+    tables = {p: landed.filter(F.col("pair") == p).drop("pair") for p in names}
     return quality.silver_rates(quality.union_tagged(tables), _as_of(spark, sf))
 
 

@@ -112,7 +112,7 @@ CUT = "1998-03-01"
     f"SELECT *, true AS same FROM ({FEATURES_SQL}) WHERE date > DATE '{CUT}'",
 )
 def stream_scores(spark, sf):
-    """Bars after a cut come in four files and are scored from the tail and the state before them: the features
+    """Bars after a cut come in two files and are scored from the tail and the state before them: the features
     and predictions are those of one batch over the whole history."""
     out = scratch_path(spark, "scores")
     rows = inputs.stored_bars(spark, sf).select(*jobs.BAR)
@@ -121,8 +121,7 @@ def stream_scores(spark, sf):
     fitted = {name: models.logistic(SCORED, whole.count(), c).fit(whole) for name, c in (("random_forest", 1.0), ("boosted_trees", 0.01), ("logistic_regression", 100.0))}
     jobs.remember(rows.filter(~later), f"{out}/memory")
     days = F.datediff("date", F.lit(CUT).cast("date"))
-    for part in range(4):
-        between = (days > 40 * part) & (days <= 40 * part + 40) if part < 3 else days > 120
+    for between in (days <= 60, days > 60):
         rows.filter(later & between).coalesce(1).write.mode("append").parquet(f"{out}/landing")
     landing = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/landing")
     _finish(jobs.stream_scores(landing, fitted, f"{out}/memory", f"{out}/table", f"{out}/checkpoint"))
