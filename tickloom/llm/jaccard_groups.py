@@ -17,8 +17,8 @@ node from the start. For the others:
 3. Matrix. Its rows are (token, group): the union of the group's tokens. Two groups are compared only when
    they share as many tokens as any linked pair across them must.
 4. Opening. A task has the shingle sets of two groups (or one). A set whose overlap with the other group's
-   union of shingles is below num / den of its size is passed over; the rest are counted exactly. Sets
-   already connected in the task are not compared again, and a task returns a spanning forest, not pairs.
+   union of shingles is below num / den of its size is passed over; the rest are counted exactly. A task
+   returns a spanning forest, not pairs.
 5. Components of all links.
 
 Shingles, sets and nodes are 64-bit hashes. Every step is exact otherwise: nothing is capped or sampled.
