@@ -44,6 +44,15 @@ def test_models_vote_and_compare(table):
     assert sum(r.support for r in report) == 60
 
 
+def test_models_are_fitted_side_by_side(table, monkeypatch):
+    """Every fit waits until all have begun."""
+    import threading
+
+    all_here, fit = threading.Barrier(4), models.Pipeline.fit
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, rows: all_here.wait(30) is not None and fit(self, rows))
+    assert list(models.fit_models(table, rounds=1)) == ["random_forest", "boosted_trees", "boosted_trees_deep", "logistic_regression"]
+
+
 def test_grid_search_and_folds(table):
     best, scores = models.grid_search(table, ["x", "y"], 300, grid=(0.01, 100.0), folds=2)
     assert best in scores and len(scores) == 2

@@ -1,5 +1,6 @@
 """Direction models on Spark ML: training, voting, comparison, tuning, persistence."""
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import add
 
@@ -9,6 +10,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Window, functions as F
+from pyspark.util import inheritable_thread_target
 
 from tickloom.operators.features import feature_columns
 
@@ -81,8 +83,11 @@ def majority(votes):
 
 
 def fit_models(train, label="target", rounds=BOOST_ROUNDS):
-    columns = feature_columns(train, (label,))
-    return {n: p.fit(train) for n, p in all_models(columns, train.count(), label, rounds).items()}
+    """All models, fitted side by side: each is a long chain of short jobs, which alone leaves most cores idle."""
+    pipelines = all_models(feature_columns(train, (label,)), train.count(), label, rounds)
+    with ThreadPoolExecutor(len(pipelines)) as pool:
+        fits = {n: pool.submit(inheritable_thread_target(train.sparkSession)(p.fit), train) for n, p in pipelines.items()}
+        return {n: fit.result() for n, fit in fits.items()}
 
 
 def score(models, rows):
