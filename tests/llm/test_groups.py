@@ -5,9 +5,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.llm import decontamination, jaccard_groups
-from tickloom.llm.components import components
+from tickloom.llm.components import LEAST_FILES, components, onward, roots
 from tickloom.llm.staging import staged
 from tickloom.llm.words import distinct
 
@@ -112,6 +113,53 @@ def test_components(spark):
     assert got == up
 
 
+def test_components_of_two_graphs(spark):
+    rows = [(0, 1, 2), (0, 3, 4), (1, 2, 3), (1, 4, 3), (1, 9, 8)]
+    found = components(staged(spark.createDataFrame(rows, "g int, a long, b long"), "edges"), by=("g",)).collect()
+    assert {(x.g, x.node, x.label) for x in found} == {(0, 1, 1), (0, 2, 1), (0, 3, 3), (0, 4, 3), (1, 2, 2), (1, 3, 2), (1, 4, 2), (1, 8, 8), (1, 9, 8)}
+
+
+def test_roots_of_a_forest(spark):
+    r = random.Random(8)
+    parents = {b: r.randrange(b) if b % 7 else b - 1 for b in range(1, 300) if b % 50} | {b: b - 1 for b in range(400, 460)}
+    found = {x.node: x.label for x in roots(staged(spark.createDataFrame([(a, b) for b, a in parents.items()], "a long, b long"), "forest")).collect()}
+    want = {}
+    for b in sorted(parents):
+        want[b] = want.get(parents[b], parents[b])
+    assert found == want
+
+
+def test_labels_renamed_by_a_graph_of_labels(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 1), (5, 4), (4, 4)], "node long, label long")
+    joined = spark.createDataFrame([(1, 1), (4, 1), (8, 8), (9, 8)], "node long, label long")
+    rows = lambda how: {tuple(r) for r in onward(labels, joined, how).collect()}
+    assert rows("left") == rows("inner") == {(1, 1), (2, 1), (5, 1), (4, 1), (8, 8), (9, 8)}
+    some = joined.where("node > 1")
+    assert {tuple(r) for r in onward(labels, some).collect()} == {(1, 1), (2, 1), (5, 1), (4, 1), (8, 8), (9, 8)}
+    assert {tuple(r) for r in onward(labels, some, "inner").collect()} == {(5, 1), (4, 1), (8, 8), (9, 8)}
+
+
+def test_many_partitions_make_few_jobs_and_files(spark):
+    """A filter comes to the driver by one job, and rounds over small tables are written in few files."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    last = lambda: max(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    try:
+        for k, v in zip(before, ("100", "false")):
+            spark.conf.set(k, v)
+        places = spark.range(0, 1 << 23, 1 << 14).select(F.col("id").alias("p"))
+        places.count()
+        start = last()
+        table = jaccard_groups.bit_filter(places, 1 << 23)
+        places.count()
+        assert last() - start < 10
+        assert np.flatnonzero(table).tolist() == list(range(0, 1 << 20, 1 << 11))
+        edges = staged(spark.range(2000).select(F.col("id").alias("a"), (F.col("id") + 5000).alias("b")), "edges")
+        assert len(components(edges).inputFiles()) <= LEAST_FILES
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def brute_leaks(docs, items, least=0.8):
     def shingles(text):
         import re

@@ -146,7 +146,7 @@ def bit_filter(values: DataFrame, bits: int) -> np.ndarray:
     """A table of `bits` bits (a multiple of 32,768) from a column `p` of places in it; it comes to the driver as rows of 4 KB."""
     out = np.zeros(bits // 8, np.uint8)
     maps = values.groupBy(F.expr("bitmap_bucket_number(p + 1)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p + 1))").alias("bits"))
-    for k, found in maps.toLocalIterator():
+    for k, found in maps.collect():  # bits / 8 bytes at most; an iterator would run a job per partition
         out[(k - 1) * 4096 : k * 4096] = np.frombuffer(bytes(found), np.uint8)
     return out
 

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.components import components
+from tickloom.llm.components import components, onward, roots
 from tickloom.llm.jaccard_groups import needed_sets, set_nodes, shingle_sets, unpacked
 from tickloom.llm.staging import staged
 from tickloom.llm.words import mix, nested, slices
@@ -186,6 +186,12 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.where("la <> lb")
 
 
+def linked(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after `links` (a, b), by the components of a graph whose nodes are the labels before."""
+    ends = apart(links, labels).select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
+    return staged(onward(labels, components(staged(ends, "label-links"))), "labels")
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
     """Rows sorted by `key`, put together so that no value is in two batches."""
     held: list[pa.RecordBatch] = []
@@ -345,12 +351,12 @@ def settled(members: DataFrame, nodes: DataFrame, sets: DataFrame, hashes: int,
     return staged(full.select("job", "side", "node", "label", "other", "sig", "shingles").mapInArrow(open_blocks, "a long, b long"), "links")
 
 
-def zones(pairs: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """zone, node, label, w: all nodes of the components that `pairs` (la, lb) join; w is a node's share of BLOCK_SHINGLES."""
-    joined = components(staged(pairs.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "zone-pairs")).toDF("label", "zone")
-    known = sets.where("node is not null").groupBy("node").agg((F.first("n") / BLOCK_SHINGLES).alias("w"))
+def zones(known: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """zone, node, label, w: all nodes of the zones (`known`: node, zone) that still hold several labels; w is a node's share of BLOCK_SHINGLES."""
     named = known.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    return staged(named.join(joined, "label").select("zone", "node", "label", "w"), "zones")
+    several = named.groupBy("zone").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most").select("zone")
+    sizes = sets.where("node is not null").groupBy("node").agg((F.first("n") / BLOCK_SHINGLES).alias("w"))
+    return staged(sizes.join(named.join(several, "zone"), "node").select("zone", "node", "label", "w"), "zones")
 
 
 def near_components(
@@ -377,19 +383,23 @@ def near_components(
 
     best = staged(found.groupBy("b").agg(F.max_by("a", "m").alias("a")).select("a", "b"), "best")
     texts = shingled(found)
-    links = confirmed(best, texts, num, den)
-    labels = components(links)
+    labels = roots(confirmed(best, texts, num, den))  # a leader is less than its node: a forest
     rest = staged(apart(found.select("a", "b").join(best, ["a", "b"], "left_anti"), labels).select("a", "b"), "rest")
-    links = staged(links.union(confirmed(rest, texts, num, den)), "links")
-    labels = components(links)
+    labels = linked(labels, confirmed(rest, texts, num, den))
     across = crossing(others.select("bucket", "node"), labels, nodes, hashes, rule)
     if across is not None and not (across := staged(across, "crossing")).isEmpty():
-        links = staged(links.union(confirmed(across, shingled(across), num, den)), "links")
-        labels = components(links)
-        members = zones(apart(across, labels), labels, sets)
+        # Two graphs of labels in the same rounds: of the links, and of all likely pairs, whose components are the zones.
+        across = staged(apart(across, labels), "across")
+        ends = lambda x, graph: x.select(F.lit(graph).alias("graph"), F.col("la").alias("a"), F.col("lb").alias("b"))
+        links = confirmed(across.select("a", "b"), shingled(across), num, den)
+        both = components(staged(ends(across.join(links, ["a", "b"]), 0).union(ends(across, 1)).distinct(), "graphs"), by=("graph",))
+        of = lambda graph: both.where(F.col("graph") == graph).select("node", "label")
+        known = onward(labels, of(1), "inner").toDF("node", "zone")
+        labels = staged(onward(labels, of(0)), "labels")
+        members = zones(known, labels, sets)
         more = settled(members, nodes, needed_sets(docs, sets, members, size, id_col, text_col), hashes, rule, num, den)
-        if more is not None:
-            labels = components(staged(links.union(more), "links"))
+        if more is not None and not more.isEmpty():
+            labels = linked(labels, more)
     firsts = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("first"))
     named = staged(firsts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
     least = staged(named.groupBy("label").agg(F.min("first").alias("component")), "least")
