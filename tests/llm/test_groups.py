@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,59 @@ def test_large_family_in_small_groups(spark, monkeypatch):
     assert got == dict(enumerate(labels)) and 1 < len(set(labels)) < 110
 
 
+def opened(monkeypatch):
+    """Nodes whose sets are built again, and the rounds of opening, of the calls that follow."""
+    nodes, rounds = [], []
+    build, stage = jaccard_groups.needed_sets, jaccard_groups.staged
+    monkeypatch.setattr(jaccard_groups, "needed_sets", lambda docs, sets, wanted, *more: nodes.append(wanted.count()) or build(docs, sets, wanted, *more))
+    monkeypatch.setattr(jaccard_groups, "staged", lambda df, name: (name == "links" and rounds.append(name)) or stage(df, name))
+    return nodes, rounds
+
+
+def test_sets_that_share_a_passage_only_are_not_opened(spark, monkeypatch):
+    """A common passage gives a few common tokens, fewer than a partner must have; only near copies are opened."""
+    nodes, _ = opened(monkeypatch)
+    r = random.Random(11)
+    passage = story(40, 24)
+    rows = [(i, f"{passage} " + " ".join(f"u{i}x{k}" for k in range(r.randrange(150, 400)))) for i in range(300)]
+    rows += [(300 + i, f"{t} end") for i, t in rows[:10]]
+    got = {x.id: x.component for x in jaccard_groups.jaccard_components(documents(spark, rows), 5, 80, 100).collect()}
+    assert got == {i: i - 300 if i >= 300 else i for i, _ in rows}
+    assert sum(nodes) < 100
+
+
+def test_a_family_is_opened_in_rounds(spark, monkeypatch):
+    """What travels at once is bounded: a family of many groups is opened in several rounds, with the same links."""
+    monkeypatch.setattr(jaccard_groups, "GROUP_NODES", 4)
+    monkeypatch.setattr(jaccard_groups, "ROUND_SHINGLES", 1, raising=False)
+    _, rounds = opened(monkeypatch)
+    r = random.Random(12)
+    base = story(2, 150).split()
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        for _ in range(r.randint(1, 5)):
+            copy[r.randrange(150)] = f"e{r.randrange(10**6)}"
+        rows.append((i, " ".join(copy)))
+    got = {x.id: x.component for x in jaccard_groups.jaccard_components(documents(spark, rows), 3, 90, 100).collect()}
+    assert got == dict(enumerate(jaccard_labels([shingle_set(t, 3) for _, t in rows], 90, 100)))
+    assert len(rounds) > 2
+
+
+def test_shared_tokens_have_two_nodes(spark):
+    """Each token of two nodes or more comes with all of them, and no other token; copies count once."""
+    rows = [*families(5, 12), *families(5, 12)]
+    rule = jaccard_groups.Schemes(80, 100)
+    values, at = jaccard_groups.shingle_sets(pa.RecordBatch.from_pydict({"text": sorted({t for _, t in rows})}), "text", 5)
+    tokens, of, _ = jaccard_groups.set_tokens(values, at, rule)
+    nodes = {}
+    for token, node in zip(tokens.view(np.int64).tolist(), jaccard_groups.set_nodes(values, at)[of].tolist()):
+        nodes.setdefault(token, set()).add(node)
+    want = Counter((token, node, min(all_)) for token, all_ in nodes.items() if len(all_) > 1 for node in all_)
+    got = Counter((x.token, x.node, x.owner) for x in jaccard_groups.shared_tokens(documents(spark, rows), rule, 5, "text").collect())
+    assert got == want and want
+
+
 def test_odd_documents(spark):
     rows = odd_texts()
     got = jaccard_groups.jaccard_components(documents(spark), 3, 90, 100).collect()

@@ -8,17 +8,18 @@ node from the start. For the others:
    so linked sets agree in a known number of parts. A part's content is the token of the matrix. The
    number of parts depends on the size, so sizes fall into classes by a factor of 1.5, and a set within
    reach of a class border also has tokens of a scheme across that border. Common passages don't fill
-   token lists, because a token stands for several shingles at once. Tokens are made twice: the first
-   time to find those of two nodes or more, the second time to keep only these (a bit filter of fixed
-   size passes them and few others), so that the many tokens of one node are never stored.
-2. Groups. A node joins the smallest node it shares a token with: similar documents come together. Groups
+   token lists, because a token stands for several shingles at once. One shuffle of all tokens finds those of
+   two nodes or more; the many tokens of one node are never stored.
+2. Groups. A node that shares fewer tokens, with all others together, than it must with any one partner has none and
+   goes: most nodes meet others by a few chance tokens only. Each node left joins the node that is the
+   smallest of most of its tokens: similar documents come together. Groups
    over a bound are dealt out by hash, so no group grows with the data. Small groups that the matrix finds
    similar are then put together up to the bound, so that a family of documents is in few groups.
 3. Matrix. Its rows are (token, group): the union of the group's tokens. Two groups are compared only when
    they share as many tokens as any linked pair across them must.
 4. Opening. A task has the shingle sets of two groups (or one). A set whose overlap with the other group's
    union of shingles is below num / den of its size is passed over; the rest are counted exactly. A task
-   returns a spanning forest, not pairs.
+   returns a spanning forest, not pairs. Jobs are opened in rounds of bounded size.
 5. Components of all links.
 
 Shingles, sets and nodes are 64-bit hashes. Every step is exact otherwise: nothing is capped or sampled.
@@ -31,22 +32,26 @@ other columns are ignored but for those named in `carry`.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
 from tickloom.llm.staging import staged
-from tickloom.llm.words import distinct, hashes, mix, nested, shingles, slices, spans, text_bytes
+from tickloom.llm.words import distinct, hashes, mix, shingles, slices, spans, text_bytes
 from tickloom.llm.workers import ship
 
 #: A group holds at most so many nodes, and about so many shingles.
 GROUP_NODES, GROUP_SHINGLES = 2048, 1 << 21
-#: Bits of the filters that pass shared tokens, and documents whose sets must be built again.
-TOKEN_BITS, FILTER_BITS = 1 << 26, 1 << 23
+#: Shingles that may travel in any round.
+ROUND_SHINGLES = 1 << 27
+#: Bits of the filters that pass documents whose needs and sets must be worked out.
+FILTER_BITS = 1 << 23
 _NODE, _PART = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
@@ -128,18 +133,26 @@ def set_tokens(values: np.ndarray, at: np.ndarray, rule: Schemes) -> tuple[np.nd
 
 
 def shared_tokens(docs: DataFrame, rule: Schemes, size: int, text_col: str) -> DataFrame:
-    """token, owner: the tokens of two nodes or more, and the smallest node of each."""
+    """token, node, owner: the tokens of two nodes or more with all their nodes, and the smallest node of each."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text"):
                 values, at = shingle_sets(part, "text", size)
+                nodes = set_nodes(values, at)
                 tokens, owner, _ = set_tokens(values, at, rule)
-                yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(set_nodes(values, at)[owner])], ["token", "node"])
+                fresh = np.zeros(len(nodes), bool)
+                for i, node in enumerate(nodes.tolist()):
+                    fresh[i] = node not in given
+                    given.add(node)
+                kept = fresh[owner]
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[kept].view(np.int64)), pa.array(nodes[owner[kept]])], ["token", "node"])
 
     tokens = docs.select(F.col(text_col).alias("text")).mapInArrow(build, "token long, node long")
-    both = tokens.groupBy("token").agg(F.min("node").alias("owner"), F.max("node").alias("last"))
-    return staged(both.where("owner < last").select("token", "owner"), "owners")
+    same = Window.partitionBy("token")
+    both = tokens.select("token", "node", F.min("node").over(same).alias("owner"), F.max("node").over(same).alias("last"))
+    return staged(both.where("owner < last").select("token", "node", "owner").distinct(), "shared")
 
 
 def bit_filter(values: DataFrame, bits: int) -> np.ndarray:
@@ -155,37 +168,33 @@ def passes(table: np.ndarray, places: np.ndarray) -> np.ndarray:
     return table[places >> 3] >> (places & 7).astype(np.uint8) & 1 > 0
 
 
-def document_sets(docs: DataFrame, owners: DataFrame, rule: Schemes, size: int, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
-    """id, carried columns, n, node (NULL for the empty set), need, tokens (shared ones, and few others): one row per document."""
-    spark = docs.sparkSession
-    wanted = spark.sparkContext.broadcast(bit_filter(owners.select(F.col("token").bitwiseAND(TOKEN_BITS - 1).alias("p")), TOKEN_BITS))
+def document_sets(docs: DataFrame, shared: DataFrame, rule: Schemes, size: int, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+    """id, carried columns, n, node (NULL for the empty set), need (0 for most sets that share no token): one row per document."""
+    bits = bit_filter(shared.select(F.col("node").bitwiseAND(FILTER_BITS - 1).alias("p")), FILTER_BITS)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = wanted.value
         for batch in batches:
             for part in slices(batch, "text"):
                 values, at = shingle_sets(part, "text", size)
-                n = np.diff(at)
-                tokens, owner, need = set_tokens(values, at, rule)
-                kept = passes(table, (tokens & np.uint64(TOKEN_BITS - 1)).view(np.int64))
-                ends = np.concatenate([[0], np.cumsum(np.bincount(owner[kept], minlength=len(n)))])
-                nodes = pa.array(set_nodes(values, at), mask=n == 0)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("id", *carry)), pa.array(n), nodes, pa.array(need.astype(np.int32)), nested(tokens[kept], ends, pa.int64())],
-                    ["id", *carry, "n", "node", "need", "tokens"],
-                )
+                n, nodes = np.diff(at), set_nodes(values, at)
+                asked = (n > 0) & passes(bits, nodes & (FILTER_BITS - 1))
+                need = np.zeros(len(n), np.int32)
+                need[asked] = set_tokens(values[np.repeat(asked, n)], np.concatenate([[0], np.cumsum(n[asked])]), rule)[2]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", *carry)), pa.array(n), pa.array(nodes, mask=n == 0), pa.array(need)], ["id", *carry, "n", "node", "need"])
 
     rows = docs.select(F.col(id_col).alias("id"), *carry, F.col(text_col).alias("text"))
     kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in ("id", *carry))
-    return rows.mapInArrow(build, f"{kept}, n long, node long, need int, tokens array<long>")
+    return rows.mapInArrow(build, f"{kept}, n long, node long, need int")
 
 
-def candidate_groups(sets: DataFrame, owners: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes that share a token (node, grp), and the groups on both sides of every comparison (job, side, grp)."""
-    tokens = sets.where("n > 0").select(F.explode("tokens").alias("token"), "node")
-    shared = staged(tokens.join(owners, "token").groupBy("token", "node").agg(F.first("owner").alias("owner")), "shared")
+def candidate_groups(sets: DataFrame, shared: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes that share as many tokens as any partner must (node, grp, n), and the groups on both sides of every comparison (job, side, grp)."""
     facts = sets.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("need").alias("need"))
-    nodes = staged(shared.groupBy("node").agg(F.min("owner").alias("key")).join(facts, "node"), "nodes")
+    owned = shared.select("node", "owner").repartition("node").groupBy("node", "owner").agg(F.count("*").alias("c"))
+    # Of the owners of most of a node's tokens, the smallest.
+    most = F.max(F.struct("c", F.bitwise_not("owner").alias("other"))).alias("most")
+    owned = owned.groupBy("node").agg(F.sum("c").alias("c"), most).join(facts, "node").where("c >= need")
+    nodes = staged(owned.select("node", F.bitwise_not("most.other").alias("key"), "n", "need"), "nodes")
     large = nodes.groupBy("key").agg(F.count("*").alias("c"), room_of("n").alias("room")).where("c > room")
     # The few large keys are repeated per salt, so that one key's nodes need not meet in one task.
     large = staged(large.select("key", F.ceil(F.col("c") / F.col("room")).alias("chunks"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt")), "large")
@@ -206,7 +215,7 @@ def merged(nodes: DataFrame, pairs: DataFrame, room: Column) -> tuple[DataFrame,
     """Small groups put together with those that pairs connect them to, as far as there is room, and the pairs that are left.
 
     Two groups of a pair are either in one larger group now or in two that are opened together, so no comparison
-    is lost; only the groups of such pairs come to the task of two larger ones. Returns (node, grp) and (job, side, grp).
+    is lost; only the groups of such pairs come to the task of two larger ones. Returns (node, grp, n) and (job, side, grp).
     """
     sizes = nodes.groupBy("grp").agg(F.count("*").alias("c"), room.alias("room"))
     near = components(pairs.toDF("a", "b")).toDF("grp", "head")
@@ -224,7 +233,7 @@ def merged(nodes: DataFrame, pairs: DataFrame, room: Column) -> tuple[DataFrame,
     across = ends.select("job", (1 - first).alias("side"), F.col("g1").alias("grp")).union(ends.select("job", first.alias("side"), F.col("g2").alias("grp"))).distinct()
     several = place.groupBy("home").agg(F.sum("c").alias("total")).where("total > 1").select("home")
     within = place.join(several, "home", "left_semi").select(F.struct(F.col("home").alias("one"), F.col("home").alias("two")).alias("job"), F.lit(0).alias("side"), "grp")
-    return nodes.select("node", "grp"), staged(across.union(within), "opened")
+    return nodes.select("node", "grp", "n"), staged(across.union(within), "opened")
 
 
 def needed_sets(docs: DataFrame, sets: DataFrame, nodes: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -305,7 +314,11 @@ def open_groups(left: list[np.ndarray], right: list[np.ndarray], num: int, den:
 
 
 def links(groups: DataFrame, sides: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """a, b: per task a spanning forest of the links between two groups."""
+    """a, b: per task a spanning forest of the links between two groups.
+
+    A set travels to every job of its group. Jobs are opened in rounds, so that what travels at once is no more than about
+    twice all sets (or ROUND_SHINGLES), however many jobs a family has.
+    """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(held: dict[tuple[int, int], bytes]) -> list[tuple[int, int]]:
@@ -329,17 +342,23 @@ def links(groups: DataFrame, sides: DataFrame, sets: DataFrame, num: int, den: i
         if edges := close(job):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*edges, strict=True)], ["a", "b"])
 
-    rows = sides.join(groups, "grp").join(sets, "node").select("job", "side", "node", "shingles")
-    return staged(rows.repartition("job").sortWithinPartitions("job").mapInArrow(verify, "a long, b long"), "links")
+    members = groups.groupBy("grp").agg(F.sum("n").alias("n"))
+    held, travel = (x.agg(F.sum("n")).first()[0] or 0 for x in (members, sides.join(members, "grp")))
+    rounds, found = max(1, math.ceil(travel / max(2 * held, ROUND_SHINGLES))), []
+    for k in range(rounds):
+        own = sides.where(F.pmod(F.xxhash64("job"), F.lit(rounds)) == k)
+        rows = own.join(groups.select("node", "grp"), "grp").join(sets, "node").select("job", "side", "node", "shingles")
+        found.append(staged(rows.repartition("job").sortWithinPartitions("job").mapInArrow(verify, "a long, b long"), "links"))
+    return found[0] if rounds == 1 else staged(reduce(DataFrame.union, found), "links")
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """id, carried columns, n_shingles, node, label (one for each group), component (smallest id reachable by links) for every row."""
     rule, carry = Schemes(num, den), list(carry)
     ship(docs.sparkSession)
-    owners = shared_tokens(docs, rule, size, text_col)
-    sets = staged(document_sets(docs, owners, rule, size, id_col, text_col, carry), "documents")
-    groups, sides = candidate_groups(sets, owners)
+    shared = shared_tokens(docs, rule, size, text_col)
+    sets = staged(document_sets(docs, shared, rule, size, id_col, text_col, carry), "documents")
+    groups, sides = candidate_groups(sets, shared)
     shingled = needed_sets(docs, sets, groups, size, id_col, text_col)
     labels = components(links(groups, sides, shingled, num, den))
     firsts = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("first"))
